@@ -5,12 +5,14 @@ from __future__ import annotations
 from .minhash import op8_minhash_near_dedup
 from .packing import op4_packing
 from .quality_rules import OP5_SQL, op5_quality_rules
+from .suffix_dedup import op6_suffix_dedup
 from .token_counts import op2_token_counts
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
