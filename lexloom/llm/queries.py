@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chunk_dedup import op3_chunk_dedup
 from .minhash import op8_minhash_near_dedup
 from .packing import op4_packing
 from .quality_rules import OP5_SQL, op5_quality_rules
@@ -10,6 +11,7 @@ from .token_counts import op2_token_counts
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
+    "op3_chunk_dedup": op3_chunk_dedup,
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_dedup": op6_suffix_dedup,

@@ -19,19 +19,14 @@ identifiers, never pairs of documents.
 
 from __future__ import annotations
 
-import hashlib
-import math
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, raw_bytes, saved, texts
+from .common import documents, saved, texts
 from .minhash import scramble
+from .text_blocks import cut, drop_shuffles, is_known, known_keys, opened, parts, shared_keys, text_blocks, with_blocks
 
 #: Bytes of the first bucket and of a match; a run has at most as many suffixes as a match has first buckets.
 GRAM, MATCH = 16, 50
@@ -39,8 +34,6 @@ RUN = MATCH - GRAM + 1
 _RNG = np.random.default_rng(50)
 _BYTES = _RNG.integers(0, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULS = _RNG.integers(0, 2**63, (2, 6), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Bytes that are worked on at once.
-_PART = 1 << 20
 
 
 def _refined(x: np.ndarray, family: int, level: int, offset: int) -> np.ndarray:
@@ -57,18 +50,6 @@ def _grams(data: np.ndarray, family: int) -> np.ndarray:
     return x
 
 
-def _parts(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``_PART`` bytes together."""
-    at, total = 0, 0
-    for i, n in enumerate(lengths):
-        total += int(n)
-        if total >= _PART:
-            yield at, i + 1
-            at, total = i + 1, 0
-    if at < len(lengths):
-        yield at, len(lengths)
-
-
 def runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of texts laid end to end: text index, first suffix (in its text), suffixes,
     bucket of the least string, identifier of the run's bytes."""
@@ -113,72 +94,20 @@ def suffix_keys(text: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out[0], out[1]
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """Documents as compressed blocks: block, nbytes, doc_id array, lengths array, texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, part, k = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            rows, ids = raw_bytes(batch.column(1)), batch.column(0).to_pylist()
-            at = 0
-            for i in range(len(rows)):
-                if i + 1 == len(rows) or sum(map(len, rows[at : i + 1])) >= 4 * _PART or i - at >= 4000:
-                    own = rows[at : i + 1]
-                    yield pa.RecordBatch.from_arrays([pa.array([part << 32 | k], pa.int64()), pa.array([sum(map(len, own))], pa.int64()), pa.array([ids[at : i + 1]], pa.list_(pa.int64())), pa.array([[len(x) for x in own]], pa.list_(pa.int64())), pa.array([pack.compress(b"".join(own))], pa.binary())], ["block", "nbytes", "ids", "lengths", "texts"])
-                    at, k = i + 1, k + 1
-
-    return docs.mapInArrow(run, "block long, nbytes long, ids array<long>, lengths array<long>, texts binary")
-
-
-def _opened(row: dict) -> tuple[list, np.ndarray, bytes]:
-    return row["ids"], np.array(row["lengths"], np.int64), zstandard.ZstdDecompressor().decompress(row["texts"], max_output_size=max(1, row["nbytes"]))
-
-
 def _block_runs(ids: list, lengths: np.ndarray, data: bytes) -> tuple[np.ndarray, ...]:
     """``runs`` over a block, part by part, without the texts that have no id."""
     known = np.array([x is not None for x in ids], bool)
     edges, found = np.concatenate([[0], np.cumsum(lengths)]), []
-    for i, j in _parts(lengths):
+    for i, j in parts(lengths):
         part = runs(np.frombuffer(data, np.uint8, edges[j] - edges[i], edges[i]), lengths[i:j])
         use = known[part[0] + i]
         found.append([part[0][use] + i, *(x[use] for x in part[1:])])
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _buckets(held: DataFrame, spread: int) -> DataFrame:
-    """Each block's least strings by a part of their hash: part, block, buckets, and which of them two documents of the block share."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, lengths, data = _opened(row)
-                which, _, _, h, _ = _block_runs(ids, lengths, data)
-                doc = np.array([x or 0 for x in ids], np.int64)[which]
-                order = np.lexsort((doc, h))
-                h, doc = h[order], doc[order]
-                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-                last = np.append(first[1:], len(h)) - 1
-                many, h = (doc[first] != doc[last]) if len(h) else np.zeros(0, bool), h[first]
-                part = (h >> np.uint64(24)) % np.uint64(spread)
-                order = np.argsort(part, kind="stable")
-                cuts = np.flatnonzero(np.append(True, np.diff(part[order].view(np.int64)) != 0)) if len(h) else []
-                groups = np.split(order, cuts[1:]) if len(h) else []
-                yield pa.RecordBatch.from_arrays([pa.array([int(part[g[0]]) for g in groups], pa.int64()), pa.array([row["block"]] * len(groups), pa.int64()), pa.array([h[g].tobytes() for g in groups], pa.binary()), pa.array([np.packbits(many[g]).tobytes() for g in groups], pa.binary())], ["part", "block", "h", "many"])
-
-    return held.mapInArrow(run, "part long, block long, h binary, many binary")
-
-
-def _shared(part: pa.Table) -> pa.Table:
-    """Of one part's buckets, for each block those that a second document reaches."""
-    blocks, blobs, flags = (part.column(c).to_pylist() for c in ("block", "h", "many"))
-    own = [np.frombuffer(x, np.uint64) for x in blobs]
-    every = np.sort(np.concatenate(own))
-    twice = every[1:][every[1:] == every[:-1]]
-    multi = np.concatenate([x[np.unpackbits(np.frombuffer(f, np.uint8), count=len(x)).astype(bool)] for x, f in zip(own, flags, strict=True)])
-    keep = np.unique(np.concatenate([twice, multi]))
-    found = [(b, x[np.isin(x, keep, assume_unique=True)]) for b, x in zip(blocks, own, strict=True)]
-    found = [(b, x) for b, x in found if len(x)]
-    return pa.table({"block": pa.array([b for b, _ in found], pa.int64()), "h": pa.array([x.tobytes() for _, x in found], pa.binary())})
+def _least(ids: list, lengths: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    which, _, _, h, _ = _block_runs(ids, lengths, data)
+    return which, h
 
 
 _RUN_ROWS = pa.schema([("h", pa.int64()), ("k", pa.int64()), ("doc", pa.int64()), ("block", pa.int64()), ("row", pa.int32()), ("a", pa.int64()), ("n", pa.int32())])
@@ -188,11 +117,11 @@ def _open_runs(left: pa.Table, right: pa.Table) -> pa.Table:
     """Runs of a block in shared buckets."""
     out = [_RUN_ROWS.empty_table()]
     if right.num_rows:
-        keep = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in right.column("h").to_pylist()]))
+        keep = known_keys(right)
         for row in left.to_pylist():
-            ids, lengths, data = _opened(row)
+            ids, lengths, data = opened(row)
             which, a, n, h, k = _block_runs(ids, lengths, data)
-            use = keep[np.minimum(np.searchsorted(keep, h), len(keep) - 1)] == h
+            use = is_known(h, keep)
             doc = np.array([x or 0 for x in ids], np.int64)[which]
             out.append(pa.table([h[use].view(np.int64), k[use].view(np.int64), doc[use], np.full(use.sum(), row["block"], np.int64), which[use], a[use], n[use].astype(np.int32)], schema=_RUN_ROWS))
     return pa.concat_tables(out)
@@ -204,9 +133,9 @@ _SUFFIX_ROWS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("doc", pa.int
 def _suffixes(left: pa.Table, right: pa.Table) -> pa.Table:
     """Every suffix of a block's runs that are still open, in its bucket of 50 bytes."""
     out = [_SUFFIX_ROWS.empty_table()]
-    asked = right.select(["row", "a", "n"]).to_pandas().groupby("row")
-    for row in left.to_pylist() if right.num_rows else []:
-        ids, lengths, data = _opened(row)
+    asked = right.select(["row", "a", "n"]).to_pandas().groupby("row") if right.num_rows else ()
+    for row in left.to_pylist():
+        ids, lengths, data = opened(row)
         edges = np.concatenate([[0], np.cumsum(lengths)])
         for i, own in asked:
             n = own["n"].to_numpy(np.int64)
@@ -216,38 +145,6 @@ def _suffixes(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.concat_tables(out)
 
 
-_RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
-
-
-def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of a set of half-open ranges."""
-    if not len(begin):
-        return begin, end
-    order = np.argsort(begin, kind="stable")
-    begin, top = begin[order], np.maximum.accumulate(end[order])
-    new = np.append(True, begin[1:] > top[:-1])
-    return begin[new], top[np.append(np.flatnonzero(new)[1:], len(begin)) - 1]
-
-
-def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Each document of a block without its removed ranges."""
-    ranges = {i: (g["a"].to_numpy(np.int64), g["z"].to_numpy(np.int64)) for i, g in right.select(["row", "a", "z"]).to_pandas().groupby("row")}
-    none, out = (np.zeros(0, np.int64),) * 2, []
-    for row in left.to_pylist():
-        ids, lengths, data = _opened(row)
-        edges = np.concatenate([[0], np.cumsum(lengths)]).tolist()
-        for i, doc in enumerate(ids):
-            text = data[edges[i] : edges[i + 1]]
-            begin, end = (x.tolist() for x in merged(*ranges.get(i, none)))
-            kept = b"".join(text[a:b] for a, b in zip([0, *end], [*begin, len(text)], strict=True))
-            out.append((doc, len(text), len(text) - len(kept), len(begin), hashlib.sha256(kept).hexdigest(), [{"start": a, "end": b} for a, b in zip(begin, end, strict=True)]))
-    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _RESULT, strict=True)], schema=_RESULT) if out else _RESULT.empty_table()
-
-
-def _with_blocks(held: DataFrame, side: DataFrame, f, schema: str) -> DataFrame:
-    return held.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(f, schema)
-
-
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans: one row a row of ``docs``.
 
@@ -257,29 +154,25 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     under 50 bytes lose nothing, rows without a doc_id lose nothing and take nothing,
     rows that repeat a doc_id take nothing from each other. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    collect = lambda: spark.sparkContext._jvm.System.gc()  # noqa: E731  lets Spark drop the shuffles of finished steps
-    held = saved(_blocks(texts(docs, id_col, text_col)), "suffix-blocks", "uncompressed")
-    total = held.agg(F.sum("nbytes")).first()[0] or 0
-    spread = max(256, math.ceil(total / (64 << 20)))
-    shared = saved(_buckets(held, spread).groupBy("part").applyInArrow(_shared, "block long, h binary"), "suffix-shared", "uncompressed")
-    collect()
-    found = saved(_with_blocks(held, shared, _open_runs, "h long, k long, doc long, block long, row int, a long, n int"), "suffix-runs")
-    collect()
+    held = saved(text_blocks(texts(docs, id_col, text_col)), "suffix-blocks", "uncompressed")
+    shared = shared_keys(held, _least, "suffix-shared")
+    drop_shuffles(held)
+    found = saved(with_blocks(held, shared, _open_runs, "h long, k long, doc long, block long, row int, a long, n int"), "suffix-runs")
+    drop_shuffles(held)
     firsts = found.groupBy("h", "k").agg(F.min("doc").alias("f"))
     judged = saved(found.join(firsts, ["h", "k"]).select("h", "block", "row", "doc", "a", "n", (F.col("doc") > F.col("f")).alias("again")), "suffix-judged")
-    collect()
+    drop_shuffles(held)
     # Runs that are first with their bytes stay open where another document is first with other bytes of the same bucket.
     first_runs = judged.where("NOT again")
     reached = first_runs.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
     left_open = first_runs.join(reached, "h").select("block", "row", "a", "n")
-    single = saved(_with_blocks(held, left_open, _suffixes, "k1 long, k2 long, doc long, block long, row int, a long"), "suffix-single")
-    collect()
+    single = saved(with_blocks(held, left_open, _suffixes, "k1 long, k2 long, doc long, block long, row int, a long"), "suffix-single")
+    drop_shuffles(held)
     first = single.groupBy("k1", "k2").agg(F.min("doc").alias("f"))
     late = single.join(first, ["k1", "k2"]).where("doc > f")
     gone = judged.where("again").select("block", "row", "a", (F.col("a") + F.col("n") + (MATCH - 1)).alias("z"))
     gone = gone.unionByName(late.select("block", "row", "a", (F.col("a") + MATCH).alias("z")))
-    return _with_blocks(held, gone, _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")
+    return with_blocks(held, gone, lambda left, right: cut(left, right), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
