@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chunk_dedup import op3_chunk_dedup
 from .minhash import op8_minhash_near_dedup
 from .packing import op4_packing
+from .quality_classifier import op7_quality_classifier
 from .quality_rules import OP5_SQL, op5_quality_rules
 from .suffix_dedup import op6_suffix_dedup
 from .token_counts import op2_token_counts
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
