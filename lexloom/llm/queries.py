@@ -7,10 +7,12 @@ from .minhash import op8_minhash_near_dedup
 from .packing import op4_packing
 from .quality_classifier import op7_quality_classifier
 from .quality_rules import OP5_SQL, op5_quality_rules
+from .secrets import op1_secret_scan
 from .suffix_dedup import op6_suffix_dedup
 from .token_counts import op2_token_counts
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_token_counts": op2_token_counts,
     "op3_chunk_dedup": op3_chunk_dedup,
     "op4_packing": op4_packing,
