@@ -10,6 +10,7 @@ from .quality_rules import OP5_SQL, op5_quality_rules
 from .secrets import op1_secret_scan
 from .suffix_dedup import op6_suffix_dedup
 from .token_counts import op2_token_counts
+from .vector_graph import op9_vector_graph
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_vector_graph": op9_vector_graph,
 }
 
 ORACLE_SQL = {
