@@ -150,6 +150,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables:
     return rows_out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
+    """``docs`` without the rows that ``near_duplicates`` does not keep; columns stay as they are."""
+    gone = near_duplicates(docs, id_col=id_col, text_col=text_col, **kwargs).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")
+
+
 def _buckets(classes: DataFrame, tables: int) -> DataFrame:
     """(key, node, n) for table keys that two classes or more share.
 

@@ -8,6 +8,7 @@ rejects, needs bitwise work on the ledger and never the texts.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, raw_bytes, texts
+from .common import documents, raw_bytes, small_batches, texts
 
 SYMBOLS = b"#*$%&|<>"
 _SPACES_AND_TAILS = bytes([32, *range(9, 14), *range(0x80, 0xC0)])
@@ -101,6 +102,22 @@ def apply_policy(held: DataFrame, version: str = "v2", policies: dict[str, int]
     return held.withColumn("rejected_by", F.col("failed_bits").bitwiseAND(F.lit(mask).cast("long"))).withColumn("kept", F.col("rejected_by") == 0)
 
 
+def passing(docs: DataFrame, version: str = "v2", rules: tuple[Rule, ...] = RULES, policies: dict[str, int] = POLICIES, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that a policy keeps, all columns as they are and without a shuffle."""
+    small_batches(docs.sparkSession)
+
+    @F.arrow_udf("struct<" + ", ".join(f"{x}: bigint" for x in MEASURES) + ">")
+    def measures(column: pa.Array) -> pa.Array:
+        found = [measure(x) for x in raw_bytes(column)]
+        columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * len(MEASURES)
+        return pa.StructArray.from_arrays(columns, MEASURES)
+
+    own = re.compile(r"\b(" + "|".join(MEASURES) + r")\b")
+    failing = " OR ".join("(" + own.sub(r"__measures.\1", r.fails) + ")" for r in rules if policies[version] >> r.bit & 1)
+    measured = docs.withColumn("__measures", measures(F.col(f"`{text_col}`").cast("string")))
+    return measured.where(F.expr(f"NOT ({failing or 'false'})")).drop("__measures")
+
+
 def ablation(held: DataFrame, version: str = "v2", rules: tuple[Rule, ...] = RULES, policies: dict[str, int] = POLICIES) -> DataFrame:
     """For each rule of a policy: documents it fails, those only it rejects, and the
     documents kept without it. The ledger first shrinks to one row a bit pattern."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chunk_dedup import op3_chunk_dedup
 from .minhash import op8_minhash_near_dedup
+from .mixing import op10_mixing
 from .packing import op4_packing
 from .quality_classifier import op7_quality_classifier
 from .quality_rules import OP5_SQL, op5_quality_rules
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_vector_graph": op9_vector_graph,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL = {
