@@ -5,10 +5,19 @@ document's shingles; every pair of one half-key from either collection is a tabl
 key. So ``tables ** 2`` table keys cost ``2 * tables`` half-keys. Documents that meet
 under a table key are candidates.
 
-Equal shingle sets collapse to one class first. A bucket is then worked off by
-stars, not by pairs: all members are compared with one hub, what is confirmed
-joins components, and a bucket goes on with another hub only for as long as it
-holds members of different components that were not compared with each other.
+Equal shingle sets collapse to one class first. A group of classes that share table
+keys is then worked off against one of its own, not pair by pair:
+
+* Each class is compared with its hub P, the most central class it meets.
+* If x and y are linked but x isn't linked with P, then at most (5|x| - 4|y|) / 9
+  elements of x are missing from y, and more than (5|x| - 4|P|) / 9 are missing from P.
+  So wherever x \\ P has more than (5|x| - 4|y|) / 9 elements, x and y share one that P
+  lacks. Classes therefore only need to meet under (hub, element the hub lacks).
+* Pairs for which that reasoning fails (different hubs, or x just short of the link
+  while y is smaller than P) meet under their table keys.
+
+So every candidate pair is confirmed or ruled out, and what is compared stays close to the
+number of classes even where thousands of variants of one text share every bucket.
 """
 
 from __future__ import annotations
@@ -104,16 +113,16 @@ def full_sets(docs: DataFrame, words: int = 4) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) with ``linked``, by the exact sizes of intersection and union."""
+def _confirmed(pairs: DataFrame, full: DataFrame, percent: int, more: bool = False) -> DataFrame:
+    """Pairs (u, v) with ``linked``, by the exact sizes of intersection and union, and if asked for ``more``: v without u."""
     left = full.select(F.col("node").alias("u"), F.col("shingles").alias("su"))
     right = full.select(F.col("node").alias("v"), F.col("shingles").alias("sv"))
-    both = F.size(F.array_intersect("su", "sv"))
-    joined = pairs.join(left, "u").join(right, "v")
-    return joined.select("u", "v", (both * 100 >= (F.size("su") + F.size("sv") - both) * percent).alias("linked"))
+    joined = pairs.join(left, "u").join(right, "v").withColumn("more", F.array_except("sv", "su"))
+    both = F.size("sv") - F.size("more")
+    return joined.select("u", "v", (both * 100 >= (F.size("su") + F.size("more")) * percent).alias("linked"), *(["more"] if more else []))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables: int = 9, rows: int = 2, seed: int = 11, star_rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables: int = 9, rows: int = 2, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row a row of ``docs``.
 
     Links documents whose shingle sets have ``100 * intersection >= percent * union``;
@@ -134,16 +143,28 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables:
     classes = saved(some.groupBy("hi", "lo").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.first("a").alias("a"), F.first("b").alias("b")), "minhash-classes")
     bucket = saved(_buckets(classes, tables), "minhash-buckets")
     full = _needed_sets(view, bucket, words)
-    tested, label = [], None
-    for step in range(star_rounds + 1):
-        pairs = _star_pairs(bucket, label, step, percent) if step < star_rounds else _rest_pairs(bucket, label, percent)
+    hubs = saved(_hubs(bucket), "minhash-hubs")
+    first = saved(_confirmed(hubs.where("hub != node").select(F.col("hub").alias("u"), F.col("node").alias("v")), full, percent, True), "minhash-first")
+    tested = [first.select("u", "v", "linked")]
+
+    def labels() -> DataFrame:
+        links = tested[0]
+        for t in tested[1:]:
+            links = links.unionByName(t)
+        return saved(components(links.where("linked").select("u", "v")), "minhash-components")
+
+    def test(pairs: DataFrame) -> None:
         for known in tested:
-            pairs = pairs.join(known, ["u", "v"], "left_anti")
+            same = known.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+            pairs = pairs.join(same, ["u", "v"], "left_anti")
         tested.append(saved(_confirmed(pairs, full, percent), "minhash-tested"))
-        links = tested[0]
-        for more in tested[1:]:
-            links = links.unionByName(more)
-        label = saved(components(links.where("linked")), "minhash-components")
+
+    label = labels()
+    finer = saved(_finer(first, hubs, label), "minhash-finer")
+    test(_star_pairs(finer, label, percent))
+    label = labels()
+    test(_rest_pairs(finer, finer, label, percent).unionByName(_rest_pairs(_exceptions(bucket, hubs, first, percent), bucket, label, percent)).distinct())
+    label = labels()
     by_set = classes.join(label, "node", "left").select("hi", "lo", F.coalesce("component", "node").alias("component"))
     rows_out = held.select("doc_id", "n_shingles", "hi", "lo").join(by_set, ["hi", "lo"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
@@ -185,28 +206,56 @@ def _sized(small: str, large: str, percent: int) -> F.Column:
     return F.expr(f"least({small}, {large}) * 100 >= greatest({small}, {large}) * {percent}")
 
 
-def _star_pairs(bucket: DataFrame, label: DataFrame | None, step: int, percent: int) -> DataFrame:
-    """Each member with its bucket's hub of this step, if they are not yet in one component."""
-    if label is not None:
-        bucket = bucket.join(label, "node", "left").withColumn("c", F.coalesce("component", "node"))
-        open_keys = bucket.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-        bucket = bucket.join(open_keys, "key")
-    else:
-        bucket = bucket.withColumn("c", F.col("node"))
-    order = F.struct(F.xxhash64("node", F.lit(step)), "node") if step else F.struct(F.lit(0), "node")
-    hubs = bucket.groupBy("key").agg(F.min_by(F.struct("node", "n", "c"), order).alias("hub"))
-    met = bucket.join(hubs, "key").where("hub.node != node AND hub.c != c").where(_sized("n", "hub.n", percent))
+def _hubs(bucket: DataFrame) -> DataFrame:
+    """node, n, hub: of all classes that a class meets, itself included, the one that meets most."""
+    sizes = bucket.groupBy("key").agg(F.count("*").alias("c"))
+    weight = bucket.join(sizes, "key").groupBy("node").agg(F.sum("c").alias("w"))
+    central = bucket.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", (-F.col("node")).alias("minus"))).alias("top"))
+    return bucket.join(central, "key").groupBy("node").agg(F.max("n").alias("n"), (-F.max("top")["minus"]).alias("hub"))
+
+
+def _finer(first: DataFrame, hubs: DataFrame, label: DataFrame) -> DataFrame:
+    """(key, node, n): classes of one hub by each element that they have and the hub lacks, where two components meet."""
+    rows = first.select(F.col("v").alias("node"), F.col("u").alias("hub"), F.explode("more").alias("e")).select("node", F.xxhash64("hub", "e").alias("key"))
+    several = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    return _open(rows.join(several, "key").join(hubs.select("node", "n"), "node"), label).select("key", "node", "n")
+
+
+def _open(bucket: DataFrame, label: DataFrame) -> DataFrame:
+    """Buckets whose members are in different components, with the component ``c``."""
+    own = bucket.join(label, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    keys = own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    return own.join(keys, "key")
+
+
+def _star_pairs(bucket: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Each member with its bucket's smallest, if they are in different components."""
+    own = _open(bucket, label)
+    tops = own.groupBy("key").agg(F.min_by(F.struct("node", "n", "c"), "node").alias("hub"))
+    met = own.join(tops, "key").where("hub.c != c").where(_sized("n", "hub.n", percent))
     return met.select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct()
 
 
-def _rest_pairs(bucket: DataFrame, label: DataFrame | None, percent: int) -> DataFrame:
-    """What the stars left open, in full: members of one bucket that are in different components."""
-    bucket = bucket.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c"))
-    open_keys = bucket.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    left = bucket.join(open_keys, "key")
-    right = left.select("key", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-    met = left.join(right, "key").where("node < node2 AND c != c2").where(_sized("n", "n2", percent))
-    return met.select(F.col("node").alias("u"), F.col("node2").alias("v")).distinct()
+def _exceptions(bucket: DataFrame, hubs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n) of members for which a shared element beyond the hub isn't certain: their hub isn't
+    the one that most members of the bucket have, or they are not linked with it, but nearly, and some member is smaller than the hub."""
+    sizes = hubs.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
+    extra = first.select(F.col("v").alias("node"), F.size("more").alias("extra"), "linked")
+    marked = hubs.join(sizes, "hub").join(extra, "node", "left").select("node", "hub", "extra", F.coalesce("linked", F.lit(True)).alias("linked"))
+    rows = bucket.join(marked, "node")
+    counted = rows.groupBy("key", "hub").agg(F.count("*").alias("c"), F.min("n").alias("least"))
+    usual = counted.groupBy("key").agg(F.max(F.struct("c", "hub")).alias("m"), F.min("least").alias("least"))
+    # |x without y| <= (100 |x| - percent |y|) / (100 + percent)
+    short = ~F.col("linked") & (F.col("extra") * (100 + percent) <= F.col("n") * 100 - F.col("least") * percent)
+    return rows.join(usual, "key").where((F.col("hub") != F.col("m.hub")) | short).select("key", "node", "n")
+
+
+def _rest_pairs(some: DataFrame, bucket: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Members out of ``some`` with all members of the same bucket that are in another component."""
+    own = _open(bucket, label)
+    left = some.select("key", F.col("node").alias("x")).join(own.select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc")), ["key", "x"])
+    met = left.join(own, "key").where("x != node AND xc != c").where(_sized("n", "xn", percent))
+    return met.select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
