@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, saved, texts
+from .common import documents, forget, saved, texts
 from .text_blocks import cut, drop_shuffles, is_known, known_keys, opened, parts, shared_keys, text_blocks, with_blocks
 
 _GEAR = np.random.default_rng(3).integers(0, 2**32, 256, dtype=np.uint32)
@@ -106,6 +106,7 @@ def chunk_dedup(docs: DataFrame, least: int = 64, id_col: str = "doc_id", text_c
     drop_shuffles(held)
     found = saved(with_blocks(held, shared, _repeated, "h long, k long, doc long, block long, row int, a long, z long"), "chunk-rows")
     drop_shuffles(held)
+    forget(shared)
     firsts = found.groupBy("h", "k").agg(F.min("doc").alias("f"))
     late = found.join(firsts, ["h", "k"]).where("doc > f").select("block", "row", "a", "z")
     return with_blocks(held, late, lambda left, right: cut(left, right, least), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")

@@ -39,14 +39,17 @@ def saved(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.saved_at = path
+    return found
 
 
-def forget(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this module wrote."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def forget(*tables: DataFrame) -> None:
+    """Delete tables from ``saved`` that nothing still to be computed reads."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -1,13 +1,13 @@
 """Substring dedup over suffixes by bucket-pointer refinement.
 
-A suffix starts out in the bucket of its first 16 bytes. A bucket that one document
+A suffix starts out in the bucket of its first 24 bytes. A bucket that one document
 alone reaches is finished. The others are refined by the bucket identifiers found at
-later offsets of the same text: 16 bytes refined at offset 16 give buckets of 32,
-those refined at offset 18 give buckets of 50, and the identifiers of one level are
+later offsets of the same text: 24 bytes refined at offset 24 give buckets of 48,
+those refined at offset 2 give buckets of 50, and the identifiers of one level are
 reused by the next. Identifiers are 64-bit (two of them where they decide), so that
 no global ranks have to be agreed upon.
 
-Not every suffix has to be followed alone. Any 50 bytes hold one 16-byte string that
+Not every suffix has to be followed alone. Any 50 bytes hold one 24-byte string that
 is least under a fixed order, and neighbouring suffixes mostly share it: a *run* is a
 stretch of suffixes with the same least string. All suffixes of a run whose whole
 stretch of bytes occurs in an earlier document are decided at once; only runs that
@@ -19,21 +19,24 @@ identifiers, never pairs of documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, saved, texts
+from .common import documents, forget, saved, texts
 from .minhash import scramble
-from .text_blocks import cut, drop_shuffles, is_known, known_keys, opened, parts, shared_keys, text_blocks, with_blocks
+from .text_blocks import KEY_ROWS, KEY_SCHEMA, cut, drop_shuffles, is_known, key_parts, key_rows, known_keys, opened, parts, reduce_keys, shared_keys, text_blocks, with_blocks
 
 #: Bytes of the first bucket and of a match; a run has at most as many suffixes as a match has first buckets.
-GRAM, MATCH = 16, 50
+GRAM, MATCH = 24, 50
 RUN = MATCH - GRAM + 1
 _RNG = np.random.default_rng(50)
 _BYTES = _RNG.integers(0, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_MULS = _RNG.integers(0, 2**63, (2, 6), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MULS = _RNG.integers(0, 2**63, (2, 8), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _refined(x: np.ndarray, family: int, level: int, offset: int) -> np.ndarray:
@@ -45,7 +48,7 @@ def _refined(x: np.ndarray, family: int, level: int, offset: int) -> np.ndarray:
 
 def _grams(data: np.ndarray, family: int) -> np.ndarray:
     x = _BYTES[family][data]
-    for level, offset in enumerate((1, 2, 4, 8)):
+    for level, offset in enumerate((1, 2, 4, 8, 8)):  # 2, 4, 8, 16, 24 bytes
         x = _refined(x, family, level, offset) if len(x) > offset else x
     return x
 
@@ -59,9 +62,8 @@ def runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         return tuple(np.zeros(0, t) for t in (np.int32, np.int64, np.int64, np.uint64, np.uint64))
     order = scramble(_grams(data, 0))
     least = order
-    for offset in (1, 2, 4, 8, 16):
+    for offset in (1, 2, 4, 8, RUN - 16):  # over 2, 4, 8, 16, RUN starts
         least = np.minimum(least[:-offset], least[offset:])
-    least = np.minimum(least[: -(RUN - 32)], least[RUN - 32 :])  # over RUN starts
     m = n - MATCH + 1
     least = least[:m]
     text = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[:m]
@@ -77,9 +79,9 @@ def runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         at = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start, size = np.repeat(start, pieces) + at * RUN, np.minimum(RUN, np.repeat(size, pieces) - at * RUN)
     ids = _grams(data, 1)
-    two = lambda x: scramble(ids[x] * _MULS[1, 4] + ids[x + GRAM])
-    span = size + MATCH - 1  # 50 to 84 bytes: three buckets of 32 cover them
-    key = scramble((two(start) * _MULS[1, 5] + two(start + (span - 32) // 2)) * _MULS[1, 5] + two(start + span - 32) + span.astype(np.uint64))
+    two = lambda x: scramble(ids[x] * _MULS[1, 5] + ids[x + 32 - GRAM])
+    span = size + MATCH - 1  # 50 to 76 bytes: three buckets of 32 cover them
+    key = scramble((two(start) * _MULS[1, 6] + two(start + (span - 32) // 2)) * _MULS[1, 6] + two(start + span - 32) + span.astype(np.uint64))
     which = text[start]
     return which, start - (ends - lengths)[which], size, least[start], key
 
@@ -89,8 +91,8 @@ def suffix_keys(text: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     data = np.frombuffer(text, np.uint8)
     out = []
     for family in (0, 1):
-        x = _refined(_grams(data, family), family, 4, GRAM)
-        out.append(scramble(x[starts] * _MULS[family, 5] + x[starts + MATCH - 32]))
+        x = _refined(_grams(data, family), family, 6, GRAM)
+        out.append(scramble(x[starts] * _MULS[family, 7] + x[starts + MATCH - 2 * GRAM]))
     return out[0], out[1]
 
 
@@ -130,18 +132,38 @@ def _open_runs(left: pa.Table, right: pa.Table) -> pa.Table:
 _SUFFIX_ROWS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("doc", pa.int64()), ("block", pa.int64()), ("row", pa.int32()), ("a", pa.int64())])
 
 
-def _suffixes(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Every suffix of a block's runs that are still open, in its bucket of 50 bytes."""
-    out = [_SUFFIX_ROWS.empty_table()]
-    asked = right.select(["row", "a", "n"]).to_pandas().groupby("row") if right.num_rows else ()
-    for row in left.to_pylist():
+def _open_suffixes(left: pa.Table, right: pa.Table) -> Iterator[tuple]:
+    """For every text of a block with runs still open: block, row, doc, suffixes, both identifiers of their 50 bytes."""
+    runs_ = right.filter(pc.is_valid(right.column("row"))) if right.num_rows else right
+    asked = list(runs_.select(["row", "a", "n"]).to_pandas().groupby("row")) if runs_.num_rows else []
+    for row in left.to_pylist() if asked else []:
         ids, lengths, data = opened(row)
         edges = np.concatenate([[0], np.cumsum(lengths)])
         for i, own in asked:
             n = own["n"].to_numpy(np.int64)
             starts = np.repeat(own["a"].to_numpy(np.int64) - np.cumsum(n) + n, n) + np.arange(n.sum())
-            k1, k2 = suffix_keys(data[edges[i] : edges[i + 1]], starts)
-            out.append(pa.table([k1.view(np.int64), k2.view(np.int64), np.full(len(starts), ids[i], np.int64), np.full(len(starts), row["block"], np.int64), np.full(len(starts), i, np.int32), starts], schema=_SUFFIX_ROWS))
+            yield (row["block"], int(i), ids[int(i)], starts, *suffix_keys(data[edges[int(i)] : edges[int(i) + 1]], starts))
+
+
+def _suffix_buckets(left: pa.Table, right: pa.Table, spread: int) -> pa.Table:
+    """The open suffixes' buckets, to learn which of them two documents reach."""
+    found = list(_open_suffixes(left, right))
+    if not found:
+        return KEY_ROWS.empty_table()
+    doc = np.concatenate([np.full(len(x[3]), x[2], np.int64) for x in found])
+    return key_rows(found[0][0], doc, np.concatenate([x[4] for x in found]), spread)
+
+
+def _suffixes(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The open suffixes of a block in shared buckets. The right side holds open runs, and rows of shared buckets."""
+    out = [_SUFFIX_ROWS.empty_table()]
+    shared = right.filter(pc.is_valid(right.column("h"))) if right.num_rows else right
+    if shared.num_rows:
+        known = known_keys(shared)
+        for block, i, doc, starts, k1, k2 in _open_suffixes(left, right):
+            use = is_known(k1, known)
+            n = int(use.sum())
+            out.append(pa.table([k1[use].view(np.int64), k2[use].view(np.int64), np.full(n, doc, np.int64), np.full(n, block, np.int64), np.full(n, i, np.int32), starts[use]], schema=_SUFFIX_ROWS))
     return pa.concat_tables(out)
 
 
@@ -159,15 +181,24 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     drop_shuffles(held)
     found = saved(with_blocks(held, shared, _open_runs, "h long, k long, doc long, block long, row int, a long, n int"), "suffix-runs")
     drop_shuffles(held)
+    forget(shared)
     firsts = found.groupBy("h", "k").agg(F.min("doc").alias("f"))
     judged = saved(found.join(firsts, ["h", "k"]).select("h", "block", "row", "doc", "a", "n", (F.col("doc") > F.col("f")).alias("again")), "suffix-judged")
     drop_shuffles(held)
+    forget(found)
     # Runs that are first with their bytes stay open where another document is first with other bytes of the same bucket.
     first_runs = judged.where("NOT again")
     reached = first_runs.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
-    left_open = first_runs.join(reached, "h").select("block", "row", "a", "n")
-    single = saved(with_blocks(held, left_open, _suffixes, "k1 long, k2 long, doc long, block long, row int, a long"), "suffix-single")
+    left_open = saved(first_runs.join(reached, "h").select("block", "row", "a", "n"), "suffix-open")
+    drop_shuffles(held)
+    spread = key_parts(held)
+    buckets = with_blocks(held, left_open, lambda left, right: _suffix_buckets(left, right, spread), KEY_SCHEMA)
+    twice = reduce_keys(buckets, "suffix-twice")
+    drop_shuffles(held)
+    side = left_open.select("*", F.lit(None).cast("binary").alias("h")).unionByName(twice, allowMissingColumns=True)
+    single = saved(with_blocks(held, side, _suffixes, "k1 long, k2 long, doc long, block long, row int, a long"), "suffix-single")
     drop_shuffles(held)
+    forget(twice, left_open)
     first = single.groupBy("k1", "k2").agg(F.min("doc").alias("f"))
     late = single.join(first, ["k1", "k2"]).where("doc > f")
     gone = judged.where("again").select("block", "row", "a", (F.col("a") + F.col("n") + (MATCH - 1)).alias("z"))

@@ -8,6 +8,7 @@ network once and as bare numbers.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 from collections.abc import Callable, Iterator
@@ -61,27 +62,33 @@ def opened(row: dict) -> tuple[list, np.ndarray, bytes]:
     return row["ids"], np.array(row["lengths"], np.int64), zstandard.ZstdDecompressor().decompress(row["texts"], max_output_size=max(1, row["nbytes"]))
 
 
-def _block_keys(held: DataFrame, spread: int, keys: Keys) -> DataFrame:
-    """Each block's distinct keys by a part of their hash: part, block, keys, and which of them two documents of the block share."""
+KEY_ROWS = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("h", pa.binary()), ("many", pa.binary())])
+KEY_SCHEMA = "part long, block long, h binary, many binary"
+
+
+def key_rows(block: int, doc: np.ndarray, h: np.ndarray, spread: int) -> pa.Table:
+    """A block's distinct keys by a part of their hash: part, block, keys, and which of them two documents of the block share."""
+    if not len(h):
+        return KEY_ROWS.empty_table()
+    order = np.lexsort((doc, h))
+    h, doc = h[order], doc[order]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    many, h = doc[first] != doc[np.append(first[1:], len(h)) - 1], h[first]
+    part = (h >> np.uint64(24)) % np.uint64(spread)
+    order = np.argsort(part, kind="stable")
+    groups = np.split(order, np.flatnonzero(np.diff(part[order].view(np.int64))) + 1)
+    return pa.table([[int(part[g[0]]) for g in groups], [block] * len(groups), [h[g].tobytes() for g in groups], [np.packbits(many[g]).tobytes() for g in groups]], schema=KEY_ROWS)
 
+
+def _block_keys(held: DataFrame, spread: int, keys: Keys) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 ids, lengths, data = opened(row)
                 which, h = keys(ids, lengths, data)
-                doc = np.array([x or 0 for x in ids], np.int64)[which]
-                order = np.lexsort((doc, h))
-                h, doc = h[order], doc[order]
-                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-                last = np.append(first[1:], len(h)) - 1
-                many, h = (doc[first] != doc[last]) if len(h) else np.zeros(0, bool), h[first]
-                part = (h >> np.uint64(24)) % np.uint64(spread)
-                order = np.argsort(part, kind="stable")
-                cuts = np.flatnonzero(np.append(True, np.diff(part[order].view(np.int64)) != 0)) if len(h) else []
-                groups = np.split(order, cuts[1:]) if len(h) else []
-                yield pa.RecordBatch.from_arrays([pa.array([int(part[g[0]]) for g in groups], pa.int64()), pa.array([row["block"]] * len(groups), pa.int64()), pa.array([h[g].tobytes() for g in groups], pa.binary()), pa.array([np.packbits(many[g]).tobytes() for g in groups], pa.binary())], ["part", "block", "h", "many"])
+                yield from key_rows(row["block"], np.array([x or 0 for x in ids], np.int64)[which], h, spread).to_batches()
 
-    return held.mapInArrow(run, "part long, block long, h binary, many binary")
+    return held.mapInArrow(run, KEY_SCHEMA)
 
 
 def _shared(part: pa.Table) -> pa.Table:
@@ -97,11 +104,18 @@ def _shared(part: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([b for b, _ in found], pa.int64()), "h": pa.array([x.tobytes() for _, x in found], pa.binary())})
 
 
+def key_parts(held: DataFrame) -> int:
+    """Into how many parts the keys of these blocks are dealt: as many as keep a part small."""
+    return max(256, math.ceil((held.agg(F.sum("nbytes")).first()[0] or 0) / KEYS_OF))
+
+
+def reduce_keys(rows: DataFrame, name: str) -> DataFrame:
+    return saved(rows.groupBy("part").applyInArrow(_shared, "block long, h binary"), name, "uncompressed")
+
+
 def shared_keys(held: DataFrame, keys: Keys, name: str) -> DataFrame:
     """block and its keys (unsigned 64-bit, several rows a block) that two documents have, anywhere."""
-    total = held.agg(F.sum("nbytes")).first()[0] or 0
-    spread = max(256, math.ceil(total / KEYS_OF))
-    return saved(_block_keys(held, spread, keys).groupBy("part").applyInArrow(_shared, "block long, h binary"), name, "uncompressed")
+    return reduce_keys(_block_keys(held, key_parts(held), keys), name)
 
 
 def known_keys(right: pa.Table) -> np.ndarray:
@@ -114,6 +128,7 @@ def is_known(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def drop_shuffles(df: DataFrame) -> None:
     """Let Spark delete the shuffle files of steps whose result is written."""
+    gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
