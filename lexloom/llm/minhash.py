@@ -160,10 +160,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables:
         tested.append(saved(_confirmed(pairs, full, percent), "minhash-tested"))
 
     label = labels()
-    finer = saved(_finer(first, hubs, label), "minhash-finer")
+    finer = saved(_finer(first, hubs, label, percent), "minhash-finer")
     test(_star_pairs(finer, label, percent))
     label = labels()
-    test(_rest_pairs(finer, finer, label, percent).unionByName(_rest_pairs(_exceptions(bucket, hubs, first, percent), bucket, label, percent)).distinct())
+    test(_rest_pairs(finer, label, percent).unionByName(_exception_pairs(bucket, hubs, first, label, percent)).distinct())
     label = labels()
     by_set = classes.join(label, "node", "left").select("hi", "lo", F.coalesce("component", "node").alias("component"))
     rows_out = held.select("doc_id", "n_shingles", "hi", "lo").join(by_set, ["hi", "lo"], "left")
@@ -207,18 +207,29 @@ def _sized(small: str, large: str, percent: int) -> F.Column:
 
 
 def _hubs(bucket: DataFrame) -> DataFrame:
-    """node, n, hub: of all classes that a class meets, itself included, the one that meets most."""
+    """node, n, hub: of all classes that a class meets, itself included, the one that meets
+    most; then that one's hub, and again, so that the classes about one text have one hub."""
     sizes = bucket.groupBy("key").agg(F.count("*").alias("c"))
     weight = bucket.join(sizes, "key").groupBy("node").agg(F.sum("c").alias("w"))
     central = bucket.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", (-F.col("node")).alias("minus"))).alias("top"))
-    return bucket.join(central, "key").groupBy("node").agg(F.max("n").alias("n"), (-F.max("top")["minus"]).alias("hub"))
-
-
-def _finer(first: DataFrame, hubs: DataFrame, label: DataFrame) -> DataFrame:
-    """(key, node, n): classes of one hub by each element that they have and the hub lacks, where two components meet."""
-    rows = first.select(F.col("v").alias("node"), F.col("u").alias("hub"), F.explode("more").alias("e")).select("node", F.xxhash64("hub", "e").alias("key"))
+    own = saved(bucket.join(central, "key").groupBy("node").agg(F.max("n").alias("n"), (-F.max("top")["minus"]).alias("hub")), "minhash-own-hubs")
+    further = own
+    for _ in range(2):
+        step = own.select(F.col("node").alias("hub"), F.col("hub").alias("next"))
+        further = further.join(step, "hub").select("node", "n", F.col("next").alias("hub"))
+    return further
+
+
+def _finer(first: DataFrame, hubs: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n): classes of one hub by elements that they have and the hub lacks, where two components meet.
+
+    Of a linked pair's elements at most (100 - percent) % are missing from the other, so it
+    is enough that each class offers one more than that, the first in the order of their hashes."""
+    one = first.select(F.col("v").alias("node"), F.col("u").alias("hub"), "more").join(hubs.select("node", "n"), "node")
+    offered = F.slice(F.sort_array("more"), 1, F.expr(f"cast(n * {100 - percent} div 100 + 1 as int)"))
+    rows = one.select("node", "n", "hub", F.explode(offered).alias("e")).select("node", "n", F.xxhash64("hub", "e").alias("key"))
     several = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    return _open(rows.join(several, "key").join(hubs.select("node", "n"), "node"), label).select("key", "node", "n")
+    return _open(rows.join(several, "key"), label).select("key", "node", "n")
 
 
 def _open(bucket: DataFrame, label: DataFrame) -> DataFrame:
@@ -236,26 +247,31 @@ def _star_pairs(bucket: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct()
 
 
-def _exceptions(bucket: DataFrame, hubs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
-    """(key, node, n) of members for which a shared element beyond the hub isn't certain: their hub isn't
-    the one that most members of the bucket have, or they are not linked with it, but nearly, and some member is smaller than the hub."""
-    sizes = hubs.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
+def _exception_pairs(bucket: DataFrame, hubs: DataFrame, first: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs that need not share an element beyond their hub: members whose hub isn't the one that most of a bucket
+    have, with those of other hubs; and members not linked with their hub, but so nearly that
+    smaller ones could be linked with them, with those smaller ones."""
     extra = first.select(F.col("v").alias("node"), F.size("more").alias("extra"), "linked")
-    marked = hubs.join(sizes, "hub").join(extra, "node", "left").select("node", "hub", "extra", F.coalesce("linked", F.lit(True)).alias("linked"))
-    rows = bucket.join(marked, "node")
+    # |x without y| <= (100 |x| - percent |y|) / (100 + percent), so a partner y is at most this large.
+    most = F.when(~F.col("linked"), F.floor((F.col("n") * 100 - F.col("extra") * (100 + percent)) / percent)).otherwise(0)
+    marked = hubs.join(extra, "node", "left").select("node", "hub", F.coalesce(most, F.lit(0)).alias("most"))
+    rows = saved(_open(bucket, label).join(marked, "node"), "minhash-open")
     counted = rows.groupBy("key", "hub").agg(F.count("*").alias("c"), F.min("n").alias("least"))
     usual = counted.groupBy("key").agg(F.max(F.struct("c", "hub")).alias("m"), F.min("least").alias("least"))
-    # |x without y| <= (100 |x| - percent |y|) / (100 + percent)
-    short = ~F.col("linked") & (F.col("extra") * (100 + percent) <= F.col("n") * 100 - F.col("least") * percent)
-    return rows.join(usual, "key").where((F.col("hub") != F.col("m.hub")) | short).select("key", "node", "n")
+    minor = F.col("hub") != F.col("m.hub")
+    short = (F.col("most") >= F.col("least")) & (F.col("most") * 100 >= F.col("n") * percent)
+    some = rows.join(usual, "key").withColumn("minor", minor).where(minor | short).select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"), F.col("hub").alias("xhub"), F.col("most").alias("xmost"), "minor")
+    due = (F.col("minor") & (F.col("xhub") != F.col("hub"))) | ((F.col("xhub") == F.col("hub")) & (F.col("n") <= F.col("xmost")))
+    met = some.join(rows, "key").where((F.col("x") != F.col("node")) & (F.col("xc") != F.col("c")) & due).where(_sized("n", "xn", percent))
+    return met.select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
 
 
-def _rest_pairs(some: DataFrame, bucket: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Members out of ``some`` with all members of the same bucket that are in another component."""
+def _rest_pairs(bucket: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Members of one bucket that are in different components."""
     own = _open(bucket, label)
-    left = some.select("key", F.col("node").alias("x")).join(own.select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc")), ["key", "x"])
-    met = left.join(own, "key").where("x != node AND xc != c").where(_sized("n", "xn", percent))
-    return met.select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
+    other = own.select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))
+    met = own.join(other, "key").where("node < x AND xc != c").where(_sized("n", "xn", percent))
+    return met.select(F.col("node").alias("u"), F.col("x").alias("v")).distinct()
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
