@@ -1,6 +1,8 @@
-"""Registered queries over the driver's tables."""
+"""Registered queries over the driver's tables, and DuckDB's form of each."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import corpus, mining, structure
+
+QUERIES = mining.QUERIES | corpus.QUERIES | structure.QUERIES
+ORACLE_SQL = mining.ORACLE_SQL | corpus.ORACLE_SQL | structure.ORACLE_SQL
