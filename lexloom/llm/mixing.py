@@ -15,7 +15,6 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import documents, saved
 
@@ -78,7 +77,7 @@ def segments(blocks: dict[str, int], weights: dict[str, float], period: int = PE
     return out
 
 
-_SEGMENTS = T.StructType.fromDDL("src string, first long, n long, start long, share int, places array<int>")
+_SEGMENTS = "src string, first long, n long, start long, share int, places array<int>"
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, block_chars: int = BLOCK_CHARS, period: int = PERIOD, seed: int = 13, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

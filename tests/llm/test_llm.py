@@ -1,0 +1,375 @@
+"""Every operator against a brute-force version, over ordinary and odd rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from lexloom.llm import chunk_dedup, components, minhash, mixing, packing, quality_classifier, quality_rules, secrets, suffix_dedup, token_counts, vector_graph
+from lexloom.llm.common import shared_path
+from lexloom.llm.tokens import encoder
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, block long, row int, h string, part string, ids string"
+WORDS = [f"{a}{b}" for a in "ba de ki lo mu na re so tu vi".split() for b in "lan mer nos pit ras sel tor ven".split()]
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(WORDS, n))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = np.random.default_rng(0)
+    passage, base = sentence(rng, 80), sentence(rng, 150)
+    texts = [sentence(rng, int(rng.integers(1, 200))) for _ in range(40)]
+    texts += [texts[3], texts[3], texts[7], base]
+    for k in range(12):  # near copies, some near enough, some not
+        words = base.split()
+        for i in rng.choice(len(words), 1 + k, replace=False):
+            words[i] = f"x{k}y{i}"
+        texts.append(" ".join(words))
+    texts += [sentence(rng, 30) + " " + passage + " " + sentence(rng, 30) for _ in range(4)]
+    texts += [None, "", "  \n ", "a", "Ünï cödé " * 20, "go go go " * 300, "long " + sentence(rng, 20_000), "a  b\n c", "<|endoftext|> is text", "### *** $$$ " * 40, " x   y", "tab\tand\r\nnewline", 'token = "%s" and' % ("0f3a9c" * 7)]
+    out = [(i, t) for i, t in enumerate(texts)]
+    out += [(None, texts[0]), (5, texts[5]), (None, None)]  # without an id; a repeated row
+    return [(i, t, "en", None if i == 2 else f"src{(i or 0) % 3}", len(t or ""), 1, 2, "h", "p", "i") for i, t in out]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def ids_of(text, whole=[]):
+    if not whole:
+        import public_tokenizers
+
+        whole.append(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    return whole[0].encode(text or "", add_special_tokens=False).ids
+
+
+def test_tokens(rows):
+    import pyarrow as pa
+
+    texts = [r[1] for r in rows]
+    assert [x.tolist() for x in encoder().encode(pa.array(texts, pa.string()))] == [ids_of(t) for t in texts]
+    assert encoder().encode(pa.array([], pa.string())) == []
+
+
+@pytest.mark.parametrize("in_order", [False, True])
+def test_packing(spark, docs, empty, rows, in_order):
+    pieces = packing.pack(docs, in_file_order=in_order)
+    got = packing.digest(pieces).collect()
+    want = Counter()
+    for r in rows:
+        want[(r[0], tuple(ids_of(r[1]) + [0]))] += 1
+    assert Counter(r["doc_id"] for r in got if r["start"] == 0) == Counter(r[0] for r in rows)
+    by_seq = defaultdict(list)
+    for r in got:
+        by_seq[r["sequence_id"]].append((r["offset"], r["length"]))
+    for s, spans in by_seq.items():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at and length > 0
+            at += length
+        assert at == 1024 or s == max(by_seq)
+    assert sorted(by_seq) == list(range(len(by_seq)))
+    by_id = {r[0]: np.array(ids_of(r[1]) + [0], "<u4") for r in rows if r[0] is not None}
+    for r in got:
+        if r["doc_id"] is not None:
+            own = by_id[r["doc_id"]]
+            assert r["doc_tokens"] == len(own) and zlib.crc32(own[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
+    stream = b"".join(r["ids"] for r in packing.assemble(pieces).orderBy("sequence_id").collect())
+    assert len(stream) == 4 * sum(len(k[1]) * n for k, n in want.items())
+    assert packing.pack(empty).count() == 0
+
+
+@pytest.mark.parametrize("block", [64, 4096, 4 << 20])
+def test_token_counts(spark, docs, rows, block):
+    folder = shared_path(spark, "test-files")
+    manifest = token_counts.write_token_files(docs, folder)
+    counted = token_counts.separator_scan(token_counts.blocks(spark, token_counts.list_files(spark, folder), block), block_bytes=block)
+    got = Counter((r["doc_id"], r["n_tokens"]) for r in manifest.join(counted, ["file", "ordinal"]).collect())
+    assert got == Counter((r[0], len(ids_of(r[1]))) for r in rows)
+    assert counted.count() == len(rows)
+
+
+def test_separator_scan_tail(spark, tmp_path):
+    ids = np.array([9, 9, 5, 9, 1, 2, 3, 9, 4], "<u2")
+    (tmp_path / "x.bin").write_bytes(ids.tobytes())
+    (tmp_path / "y.bin").write_bytes(b"")
+    for block in (2, 4, 64):
+        got = token_counts.separator_scan(token_counts.blocks(spark, token_counts.list_files(spark, str(tmp_path)), block), end_id=9, block_bytes=block)
+        assert [tuple(r)[1:] for r in got.orderBy("ordinal").collect()] == [(0, 0, 0, True), (1, 1, 0, True), (2, 2, 1, True), (3, 4, 3, True), (4, 8, 1, False)]
+
+
+def test_quality_rules(spark, docs, empty, rows):
+    held = quality_rules.ledger(docs).collect()
+    assert len(held) == len(rows)
+    want = {}
+    for r in rows:
+        t = r[1] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        tri = Counter(zip(words, words[1:], words[2:], strict=False))
+        repeat = {i + k for i in range(len(words) - 2) if tri[tuple(words[i : i + 3])] > 1 for k in range(3)}
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        want[(r[0], t)] = (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t), len(lines), len(lines) - len(set(lines)), len(repeat), t.count("!"))
+    assert Counter(tuple(r)[:8] for r in held) == Counter((r[0], *want[(r[0], r[1] or "")]) for r in rows)
+    applied = quality_rules.apply_policy(quality_rules.ledger(docs), "v2")
+    kept = applied.where("kept").count()
+    assert kept == quality_rules.passing(docs, "v2").count()
+    assert quality_rules.passing(docs, "v2").columns == docs.columns
+    for r in quality_rules.ablation(quality_rules.ledger(docs), "v2").collect():
+        bit = next(1 << x.bit for x in quality_rules.RULES if x.name == r["rule"])
+        bits = [x["failed_bits"] for x in applied.collect()]
+        assert (r["n_failed"], r["n_only"], r["n_kept_without"]) == (sum(bool(b & bit) for b in bits), sum(b == bit for b in bits), sum(b & ~bit == 0 for b in bits))
+    assert quality_rules.ledger(empty).count() == 0 and quality_rules.passing(empty).count() == 0
+    assert quality_rules.repeated_words(b"a b c a b c".split()) == 6 and quality_rules.repeated_words(b"a a a".split()) == 0
+
+
+def shingles(text, n):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+@pytest.mark.parametrize("words, percent", [(4, 80), (5, 80)])
+def test_minhash(spark, docs, empty, rows, words, percent):
+    got = minhash.near_duplicates(docs, percent=percent, words=words).collect()
+    sets_ = {r[0]: shingles(r[1], words) for r in rows if r[0] is not None}
+    up = {i: i for i in sets_}
+    find = lambda x: x if up[x] == x else find(up[x])
+    for a in sets_:
+        for b in sets_:
+            both = len(sets_[a] & sets_[b])
+            if a < b and both and 100 * both >= percent * len(sets_[a] | sets_[b]):
+                x, y = sorted((find(a), find(b)))
+                up[y] = x
+    assert len(got) == len(rows)
+    for r in got:
+        if r["doc_id"] is not None:
+            assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(sets_[r["doc_id"]]), find(r["doc_id"]), find(r["doc_id"]) == r["doc_id"])
+        else:
+            assert r["component_id"] is None and r["kept"]
+    left = minhash.distinct_documents(docs, percent=percent, words=words)
+    assert left.columns == docs.columns and left.count() == sum(r["kept"] for r in got)
+    assert minhash.near_duplicates(empty).count() == 0
+
+
+def test_minhash_variants_of_one_text(spark):
+    """Many variants of one text: links, near misses and variants of variants."""
+    rng = np.random.default_rng(4)
+    base, made = sentence(rng, 140).split(), []
+    for i in range(150):
+        words = list(base if i < 100 or not made else made[int(rng.integers(0, 60))])
+        for j in rng.choice(len(words), int(rng.integers(0, 9)), replace=False):
+            words[j] = f"v{i}w{j}"
+        made.append(words[: int(rng.integers(120, 141))])
+    rows = [(i, " ".join(w)) for i, w in enumerate(made)]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), tables=14).collect()}
+    sets_ = [shingles(t, 4) for _, t in rows]
+    edges = [(a, b) for a in range(len(rows)) for b in range(a) if 100 * len(sets_[a] & sets_[b]) >= 80 * len(sets_[a] | sets_[b])]
+    up = list(range(len(rows)))
+    find = lambda x: x if up[x] == x else find(up[x])
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        up[y] = x
+    assert [got[i] for i in range(len(rows))] == [find(i) for i in range(len(rows))]
+
+
+def test_components(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (8, 7), (7, 7), (3, 1), (20, 21), (21, 22), (22, 23), (23, 24)], "u long, v long")
+    assert {r[0]: r[1] for r in components.components(edges).collect()} == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7, 20: 20, 21: 20, 22: 20, 23: 20, 24: 20}
+
+
+def test_suffix_dedup(spark, docs, empty, rows):
+    got = Counter(tuple(r)[:5] for r in suffix_dedup.suffix_dedup(docs).collect())
+    known = sorted({(r[0], r[1]) for r in rows if r[0] is not None})
+    seen, cut = {}, {}
+    for i, t in known:
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - 49):
+            if seen.setdefault(b[k : k + 50], i) < i:
+                gone[k : k + 50] = True
+        cut[i] = gone
+    want = Counter()
+    for r in rows:
+        b = np.frombuffer((r[1] or "").encode(), np.uint8)
+        gone = cut[r[0]] if r[0] is not None else np.zeros(len(b), bool)
+        spans = int((np.diff(np.concatenate([[False], gone]).astype(int)) == 1).sum())
+        want[(r[0], len(b), int(gone.sum()), spans, hashlib.sha256(b[~gone].tobytes()).hexdigest())] += 1
+    assert got == want
+    assert suffix_dedup.suffix_dedup(empty).count() == 0
+
+
+def test_chunk_dedup(spark, docs, empty, rows):
+    got = chunk_dedup.chunk_dedup(docs).collect()
+    assert len(got) == len(rows)
+    texts = {r[0]: (r[1] or "").encode() for r in rows if r[0] is not None}
+    digests = {}
+    for i in sorted(texts):
+        data = np.frombuffer(texts[i], np.uint8)
+        _, a, z = chunk_dedup.chunks(data, np.array([len(data)]))
+        assert b"".join(texts[i][x:y] for x, y in zip(a, z, strict=True)) == texts[i]
+        digests[i] = [texts[i][x:y] for x, y in zip(a, z, strict=True)]
+    first = {}
+    for i in sorted(texts):
+        for c in digests[i]:
+            first.setdefault(c, i)
+    for r in got:
+        if r["doc_id"] is not None:
+            gone = [first[c] < r["doc_id"] for c in digests[r["doc_id"]]]
+            total, run = 0, 0
+            for c, g in [*zip(digests[r["doc_id"]], gone, strict=True), (b"", False)]:
+                if g:
+                    run += len(c)
+                else:
+                    total, run = total + (run if run >= 64 else 0), 0
+            assert r["n_removed"] == total
+        else:
+            assert r["n_removed"] == 0
+    passages = [r["n_removed"] for r in got if r["doc_id"] in range(57, 60)]
+    assert min(passages) > 250  # the passage that four documents share
+    assert chunk_dedup.chunk_dedup(empty).count() == 0
+
+
+def test_quality_classifier(spark, docs, empty):
+    rng = np.random.default_rng(1)
+    good = [(i, sentence(rng, 100)) for i in range(300)]
+    bad = [(300 + i, " ".join(w + "***" for w in sentence(rng, 100).split())) for i in range(200)]
+    table = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(0, 500, 2)] + [(None, 1), (7, None)], "doc_id long, quality int")
+    model = quality_classifier.fit(table, labels, trees=20)
+    got = {r["doc_id"]: r["score"] for r in quality_classifier.score(table, model).collect()}
+    assert np.mean([(got[i] >= 0.3) == (i < 300) for i in range(1, 500, 2)]) > 0.98
+    scored = quality_classifier.score(docs, model)
+    assert scored.count() == docs.count() and scored.where("score >= 0 AND score <= 1").count() == docs.count()
+    nothing = quality_classifier.fit(table, labels.where("false"))
+    assert {r["score"] for r in quality_classifier.score(table, nothing).collect()} == {0.5}
+    assert quality_classifier.score(empty, model).count() == 0
+
+
+def test_secrets(spark, docs, empty, rows):
+    detector = secrets.train(trees=20)
+    held_out = [(x, l, f[-1][3] >= 0.5) for x, p, l in secrets.written_findings(1500, seed=99) if (f := detector.findings(x, p))]
+    assert np.mean([l == p for _, l, p in held_out]) > 0.97
+    found = secrets.scan(docs, detector).where("is_secret").collect()
+    texts = {r[0]: r[1] for r in rows if r[0] is not None}
+    assert [texts[r["doc_id"]][r["start"] : r["end"]] for r in found] == ["0f3a9c" * 7]
+    clean = secrets.redacted(docs, detector)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    assert Counter(r["text"] for r in clean.collect()) == Counter(None if r[1] is None else r[1].replace("0f3a9c" * 7, "[REDACTED]") for r in rows)
+    assert clean.where("n_chars != length(text)").count() == 0
+    assert secrets.scan(empty, detector).count() == 0
+    taught = secrets.train(spark.createDataFrame([(x.decode(), p.decode(), l) for x, p, l in secrets.written_findings(600)], "line string, path string, label int"), trees=10)
+    assert taught.findings(b'secret = "9f8e7d6c5b4a39281706f5e4d3c2b1a0"')[0][3] > 0.5
+
+
+def test_vector_graph(spark, empty):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1200, 16)).astype(np.float32)
+    x[100:300] = x[100]
+    rows = [(i, v.tolist(), "c") for i, v in enumerate(x)]
+    rows += [(2000, None, "c"), (2050, [0.0] * 16, "c"), (2100, [float("nan")] * 16, "c"), (2150, [None] * 16, "c"), (2200, [1.0, 2.0], "c"), (2201, [2.0, 1.0], "c"), (None, x[0].tolist(), "c"), (0, x[0].tolist(), "c")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, shard string")
+    got = defaultdict(list)
+    for r in vector_graph.search(vector_graph.index(table, shard_rows=300), table.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hits = total = 0
+    for q in range(0, 1200, 50):
+        score = np.round(unit @ unit[q], 12)
+        score[q] = -9
+        want = np.lexsort((np.arange(1200), -score))[:5]
+        hits += len({i for i, _ in got[q]} & set(want.tolist()))
+        total += 5
+        assert np.allclose([s for _, s in got[q]], [unit[i] @ unit[q] for i, _ in got[q]], atol=1e-12)
+    assert hits / total >= 0.9
+    assert [i for i, _ in got[100]] == [101, 102, 103, 104, 105] and [i for i, _ in got[2200]] == [2201]
+    assert set(got) == {*range(0, 1200, 50), 2200}
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert vector_graph.search(vector_graph.index(none), none).count() == 0
+
+
+def test_schedule():
+    weights = {"a": 5.0, "b": 3.0, "c": 1.7, "d": 0.3}
+    slots = mixing.whole_weights(weights, 100)
+    assert sum(slots.values()) == 100
+    placed = mixing.schedule(slots, 100)
+    assert sorted(s for p in placed.values() for s in p) == list(range(100))
+    for t in range(101):
+        for x, p in placed.items():
+            assert abs(sum(s < t for s in p) - t * slots[x] / 100) < 1
+    with pytest.raises(ValueError):
+        mixing.whole_weights({"a": 0.0})
+
+
+def test_mixing(spark, docs, empty, rows):
+    weights = {"src0": 3.0, "src1": 1.0, "src2": 1.0, None: 1.0}
+    got = mixing.mix(docs, weights, block_chars=500, period=50).collect()
+    assert sum(r["copies"] for r in got) == len(rows)
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    by = defaultdict(list)
+    for r in got:
+        by[r["source"]].append(r)
+    for own in by.values():
+        own.sort(key=lambda r: (r["position"], r["size"]))
+        at = 0
+        for r in own:
+            assert r["position"] == at and r["block"] == min(at // 500, max(0, -(-sum(x["size"] for x in own) // 500) - 1))
+            at += r["size"]
+    assert len({(r["source"], r["block"]) for r in got}) == len({r["slot"] for r in got})
+    # As long as all sources have blocks, each is less than one block away from its share.
+    blocks = {x: max(1, -(-sum(r["size"] for r in own) // 500)) for x, own in by.items()}
+    plan = mixing.segments({str(x): n for x, n in blocks.items()}, {str(x): weights[x] for x in blocks}, 50)
+    assert sum(p[2] for p in plan) == sum(blocks.values())
+    out = mixing.mixed(docs, weights=weights, block_chars=500, period=50)
+    assert out.columns == docs.columns and Counter(map(tuple, out.collect())) == Counter(rows)
+    assert mixing.mix(empty).count() == 0 and mixing.mixed(empty).count() == 0
+
+
+def test_pipeline(spark, docs, rows, tmp_path):
+    import corpus_pipeline
+
+    docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    good = [r for r in rows if not any(eval(x.fails, {}, dict(zip(quality_rules.MEASURES, quality_rules.measure((r[1] or "").encode()), strict=True))) for x in quality_rules.RULES)]  # noqa: S307
+    sets_ = {r[0]: shingles(r[1], 5) for r in good if r[0] is not None}
+    up = {i: i for i in sets_}
+    find = lambda x: x if up[x] == x else find(up[x])
+    for a in sets_:
+        for b in sets_:
+            if a < b and 100 * len(sets_[a] & sets_[b]) >= 80 * len(sets_[a] | sets_[b]) > 0:
+                x, y = sorted((find(a), find(b)))
+                up[y] = x
+    kept = [r for r in good if r[0] is None or find(r[0]) == r[0]]
+    want = Counter()
+    for r in kept:
+        want[(r[0], len(ids_of(r[1].replace("0f3a9c" * 7, "[REDACTED]"))) + 1)] += 1
+    assert Counter((r["doc_id"], r["doc_tokens"]) for r in packed if r["start"] == 0) == want
+    assert sum(r["length"] for r in packed) == sum(k[1] * n for k, n in want.items())
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "MinHash near-dedup", "secret scans", "mixing sources to target weights", "packing"]
+
+
+def test_rules_sql(spark, tmp_path):
+    import duckdb
+
+    from lexloom.llm.queries import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    want = con.sql(ORACLE_SQL["op5_quality_rules"]).df()
+    got = QUERIES["op5_quality_rules"](spark, "/root/testdata/sf0.001").toPandas()
+    assert sorted(map(str, got[sorted(got.columns)].values.tolist())) == sorted(map(str, want[sorted(want.columns)].values.tolist()))
+
