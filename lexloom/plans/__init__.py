@@ -1,0 +1 @@
+"""Whole flows, from tables to tables, out of the operators."""

@@ -145,3 +145,34 @@ def test_stream(spark, tmp_path):
         crawl.append_audited(crawl.once(stream, "id", "ts"), str(tmp_path / "out"), str(tmp_path / "audit"), str(tmp_path / "cp")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 2 and sorted(r["month"] for r in crawl.by_month(got, "ts").collect()) == ["1995-05", "1995-06"]
+
+
+def test_plan(spark):
+    from lexloom.plans import dictionary
+
+    text = "La reĝino vidis la reĝon. Kongreso kaj kongresoj, Hutton!\n" * 3
+    docs = spark.createDataFrame([("pg-1", text), ("pg-2", text), ("pg-3", text), ("wp-1", "kongreson"), ("skip", "x y z")], "source string, text string")
+    entries = spark.createDataFrame([("reĝo", "reĝ", None), ("vidi", "vid", None)], "word string, root string, stem string")
+    found = dictionary.mined(docs, entries, without=spark.createDataFrame([("skip",)], "source string"))
+    got = {r["lemma"]: r for r in found.collect()}
+    assert got["kongreso"]["count"] == 19 and got["kongreso"]["forms"] == {"kongreso": 9, "kongresoj": 9, "kongreson": 1}
+    assert got["reĝino"]["kind"] == "derived" and got["hutton"]["kind"] == "name" and "la" not in got
+    assert got["reĝ"]["kind"] == "known" and len(got["kongreso"]["citations"]) == 3
+    ledger = spark.createDataFrame([("reĝino", "lemma", "queen", None, 1)], "lemma string, verdict string, gloss string, note string, ord int")
+    english = C.english_words(spark.createDataFrame([("a congress",)], "english string"))
+    buckets = {r["lemma"]: (r["bucket"], r["tier"]) for r in dictionary.review_queue(found, entries, ledger, english).collect()}
+    assert buckets["kongreso"] == ("queue", "broad") and buckets["reĝino"][0] == "reviewed" and buckets["hutton"][0] == "closed-class"
+    counts = spark.createDataFrame([("reĝino", 9, 3)], "word string, occurrences long, sources long")
+    stock = spark.createDataFrame([("reĝ", 0, 0)], "root string, rank int, neg_prod int")
+    new = dictionary.promoted(ledger, entries, counts, stock).first()
+    assert new["word"] == "reĝino" and new["morphology"]["stem"] == "reĝ" and new["derived"] and new["occurrences"] == 9
+
+
+def test_reports(spark):
+    from lexloom.operators import reports
+
+    out = reports.markdown_html("# 2 Words\n\n| a | b |\n|---|---|\n| *x* | `y` |\n\n- one\n- two\n\nText.")
+    assert '<h1 id="section-2">' in out and "<td><em>x</em></td>" in out and "<li>one</li>" in out and "<p>Text.</p>" in out
+    rows = spark.createDataFrame([("shard-0-of-3",), ("shard-2-of-3",)], "shard string")
+    assert [r["i"] for r in reports.missing_shards(rows, 3).collect()] == [1]
+    assert reports.addition_counts(spark.createDataFrame([("ReVo/OA-2",), ("x",)], "source string")).first()["n"] == 1
