@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, raw_bytes, saved, texts
-from .components import components
+from .components import components, merged
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD)
@@ -147,11 +147,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables:
     first = saved(_confirmed(hubs.where("hub != node").select(F.col("hub").alias("u"), F.col("node").alias("v")), full, percent, True), "minhash-first")
     tested = [first.select("u", "v", "linked")]
 
-    def labels() -> DataFrame:
-        links = tested[0]
-        for t in tested[1:]:
-            links = links.unionByName(t)
-        return saved(components(links.where("linked").select("u", "v")), "minhash-components")
+    linked = lambda t: t.where("linked").select("u", "v")
 
     def test(pairs: DataFrame) -> None:
         for known in tested:
@@ -159,12 +155,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables:
             pairs = pairs.join(same, ["u", "v"], "left_anti")
         tested.append(saved(_confirmed(pairs, full, percent), "minhash-tested"))
 
-    label = labels()
+    label = saved(components(linked(tested[0])), "minhash-components")
     finer = saved(_finer(first, hubs, label, percent), "minhash-finer")
     test(_star_pairs(finer, label, percent))
-    label = labels()
+    label = merged(label, linked(tested[1]))
     test(_rest_pairs(finer, label, percent).unionByName(_exception_pairs(bucket, hubs, first, label, percent)).distinct())
-    label = labels()
+    label = merged(label, linked(tested[2]))
     by_set = classes.join(label, "node", "left").select("hi", "lo", F.coalesce("component", "node").alias("component"))
     rows_out = held.select("doc_id", "n_shingles", "hi", "lo").join(by_set, ["hi", "lo"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
