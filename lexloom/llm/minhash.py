@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, raw_bytes, saved, texts
@@ -220,12 +220,14 @@ def _finer(first: DataFrame, hubs: DataFrame, label: DataFrame, percent: int) ->
     """(key, node, n): classes of one hub by elements that they have and the hub lacks, where two components meet.
 
     Of a linked pair's elements at most (100 - percent) % are missing from the other, so it
-    is enough that each class offers one more than that, the first in the order of their hashes."""
-    one = first.select(F.col("v").alias("node"), F.col("u").alias("hub"), "more").join(hubs.select("node", "n"), "node")
-    offered = F.slice(F.sort_array("more"), 1, F.expr(f"cast(n * {100 - percent} div 100 + 1 as int)"))
-    rows = one.select("node", "n", "hub", F.explode(offered).alias("e")).select("node", "n", F.xxhash64("hub", "e").alias("key"))
-    several = rows.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    return _open(rows.join(several, "key"), label).select("key", "node", "n")
+    is enough that each class offers one more than that, its rarest first: elements that it
+    has alone come before those that many variants share."""
+    one = first.select(F.col("v").alias("node"), F.col("u").alias("hub"), F.explode("more").alias("e")).join(hubs.select("node", "n"), "node")
+    rows = one.select("node", "n", F.xxhash64("hub", "e").alias("key"))
+    counted = rows.join(rows.groupBy("key").agg(F.count("*").alias("c")), "key")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("c", "key"))
+    offered = counted.withColumn("r", rank).where(f"r <= n * {100 - percent} div 100 + 1 AND c > 1")
+    return _open(offered.select("key", "node", "n"), label).select("key", "node", "n")
 
 
 def _open(bucket: DataFrame, label: DataFrame) -> DataFrame:
