@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, forget, saved, texts
 from .minhash import scramble
-from .text_blocks import KEY_ROWS, KEY_SCHEMA, cut, drop_shuffles, is_known, key_parts, key_rows, known_keys, opened, parts, reduce_keys, shared_keys, text_blocks, with_blocks
+from .text_blocks import KEY_ROWS, KEY_SCHEMA, copies, cut, drop_shuffles, is_known, key_parts, key_rows, known_keys, opened, parts, reduce_keys, text_blocks, with_blocks
 
 #: Bytes of the first bucket and of a match; a run has at most as many suffixes as a match has first buckets.
 GRAM, MATCH = 24, 50
@@ -96,9 +96,10 @@ def suffix_keys(text: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out[0], out[1]
 
 
-def _block_runs(ids: list, lengths: np.ndarray, data: bytes) -> tuple[np.ndarray, ...]:
-    """``runs`` over a block, part by part, without the texts that have no id."""
+def _block_runs(ids: list, lengths: np.ndarray, data: bytes, without: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``runs`` over a block, part by part, without the texts that have no id and those listed."""
     known = np.array([x is not None for x in ids], bool)
+    known[without] = False
     edges, found = np.concatenate([[0], np.cumsum(lengths)]), []
     for i, j in parts(lengths):
         part = runs(np.frombuffer(data, np.uint8, edges[j] - edges[i], edges[i]), lengths[i:j])
@@ -107,9 +108,19 @@ def _block_runs(ids: list, lengths: np.ndarray, data: bytes) -> tuple[np.ndarray
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _least(ids: list, lengths: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    which, _, _, h, _ = _block_runs(ids, lengths, data)
-    return which, h
+def _copied(right: pa.Table) -> np.ndarray:
+    """Rows of a block that are whole copies."""
+    return right.filter(pc.is_valid(right.column("row"))).column("row").to_numpy().astype(np.int64) if right.num_rows else np.zeros(0, np.int64)
+
+
+def _least(left: pa.Table, right: pa.Table, spread: int) -> pa.Table:
+    """The least strings of a block's runs, copies left out."""
+    out = [KEY_ROWS.empty_table()]
+    for row in left.to_pylist():
+        ids, lengths, data = opened(row)
+        which, _, _, h, _ = _block_runs(ids, lengths, data, _copied(right))
+        out.append(key_rows(row["block"], np.array([x or 0 for x in ids], np.int64)[which], h, spread))
+    return pa.concat_tables(out)
 
 
 _RUN_ROWS = pa.schema([("h", pa.int64()), ("k", pa.int64()), ("doc", pa.int64()), ("block", pa.int64()), ("row", pa.int32()), ("a", pa.int64()), ("n", pa.int32())])
@@ -118,11 +129,12 @@ _RUN_ROWS = pa.schema([("h", pa.int64()), ("k", pa.int64()), ("doc", pa.int64())
 def _open_runs(left: pa.Table, right: pa.Table) -> pa.Table:
     """Runs of a block in shared buckets."""
     out = [_RUN_ROWS.empty_table()]
-    if right.num_rows:
-        keep = known_keys(right)
+    shared = right.filter(pc.is_valid(right.column("h"))) if right.num_rows else right
+    if shared.num_rows:
+        keep = known_keys(shared)
         for row in left.to_pylist():
             ids, lengths, data = opened(row)
-            which, a, n, h, k = _block_runs(ids, lengths, data)
+            which, a, n, h, k = _block_runs(ids, lengths, data, _copied(right))
             use = is_known(h, keep)
             doc = np.array([x or 0 for x in ids], np.int64)[which]
             out.append(pa.table([h[use].view(np.int64), k[use].view(np.int64), doc[use], np.full(use.sum(), row["block"], np.int64), which[use], a[use], n[use].astype(np.int32)], schema=_RUN_ROWS))
@@ -177,9 +189,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows that repeat a doc_id take nothing from each other. An empty table gives no rows.
     """
     held = saved(text_blocks(texts(docs, id_col, text_col)), "suffix-blocks", "uncompressed")
-    shared = shared_keys(held, _least, "suffix-shared")
+    spread = key_parts(held)
+    # A whole copy of an earlier document loses all and gives nothing that the earlier one doesn't.
+    copied = copies(held, MATCH)
+    shared = reduce_keys(with_blocks(held, copied, lambda left, right: _least(left, right, spread), KEY_SCHEMA), "suffix-shared")
     drop_shuffles(held)
-    found = saved(with_blocks(held, shared, _open_runs, "h long, k long, doc long, block long, row int, a long, n int"), "suffix-runs")
+    known = copied.select("block", "row", F.lit(None).cast("binary").alias("h")).unionByName(shared, allowMissingColumns=True)
+    found = saved(with_blocks(held, known, _open_runs, "h long, k long, doc long, block long, row int, a long, n int"), "suffix-runs")
     drop_shuffles(held)
     forget(shared)
     firsts = found.groupBy("h", "k").agg(F.min("doc").alias("f"))
@@ -191,7 +207,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     reached = first_runs.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
     left_open = saved(first_runs.join(reached, "h").select("block", "row", "a", "n"), "suffix-open")
     drop_shuffles(held)
-    spread = key_parts(held)
     buckets = with_blocks(held, left_open, lambda left, right: _suffix_buckets(left, right, spread), KEY_SCHEMA)
     twice = reduce_keys(buckets, "suffix-twice")
     drop_shuffles(held)
@@ -203,6 +218,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     late = single.join(first, ["k1", "k2"]).where("doc > f")
     gone = judged.where("again").select("block", "row", "a", (F.col("a") + F.col("n") + (MATCH - 1)).alias("z"))
     gone = gone.unionByName(late.select("block", "row", "a", (F.col("a") + MATCH).alias("z")))
+    gone = gone.unionByName(copied.select("block", "row", F.lit(0).cast("long").alias("a"), "z"))
     return with_blocks(held, gone, lambda left, right: cut(left, right), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")
 
 

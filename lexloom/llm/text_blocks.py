@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -42,7 +43,7 @@ def parts(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def text_blocks(docs: DataFrame) -> DataFrame:
-    """Documents as compressed blocks: block, nbytes, doc_id array, lengths array, texts."""
+    """Documents as compressed blocks: block, nbytes, doc_ids, lengths, 128-bit digests, texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack, part, k = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId(), 0
@@ -52,10 +53,10 @@ def text_blocks(docs: DataFrame) -> DataFrame:
             for i in range(len(rows)):
                 if i + 1 == len(rows) or sum(map(len, rows[at : i + 1])) >= 4 * PART or i - at >= 4000:
                     own = rows[at : i + 1]
-                    yield pa.RecordBatch.from_arrays([pa.array([part << 32 | k], pa.int64()), pa.array([sum(map(len, own))], pa.int64()), pa.array([ids[at : i + 1]], pa.list_(pa.int64())), pa.array([[len(x) for x in own]], pa.list_(pa.int64())), pa.array([pack.compress(b"".join(own))], pa.binary())], ["block", "nbytes", "ids", "lengths", "texts"])
+                    yield pa.RecordBatch.from_arrays([pa.array([part << 32 | k], pa.int64()), pa.array([sum(map(len, own))], pa.int64()), pa.array([ids[at : i + 1]], pa.list_(pa.int64())), pa.array([[len(x) for x in own]], pa.list_(pa.int64())), pa.array([[xxhash.xxh3_128_digest(x) for x in own]], pa.list_(pa.binary())), pa.array([pack.compress(b"".join(own))], pa.binary())], ["block", "nbytes", "ids", "lengths", "digests", "texts"])
                     at, k = i + 1, k + 1
 
-    return docs.mapInArrow(run, "block long, nbytes long, ids array<long>, lengths array<long>, texts binary")
+    return docs.mapInArrow(run, "block long, nbytes long, ids array<long>, lengths array<long>, digests array<binary>, texts binary")
 
 
 def opened(row: dict) -> tuple[list, np.ndarray, bytes]:
@@ -109,6 +110,15 @@ def key_parts(held: DataFrame) -> int:
     return max(256, math.ceil((held.agg(F.sum("nbytes")).first()[0] or 0) / KEYS_OF))
 
 
+def copies(docs_held: DataFrame, least: int) -> DataFrame:
+    """block, row, z (its bytes): texts of ``least`` bytes or more that a document with a smaller id has whole.
+    Works on 128-bit digests; the smallest id of a text is found map-side first."""
+    rows = docs_held.select("block", F.posexplode(F.arrays_zip("ids", "lengths", "digests")).alias("row", "t")).select("block", "row", F.col("t.ids").alias("doc"), F.col("t.lengths").alias("z"), F.col("t.digests").alias("d"))
+    rows = rows.where(f"doc IS NOT NULL AND z >= {least}")
+    firsts = rows.groupBy("d").agg(F.min("doc").alias("f"), F.max("doc").alias("last")).where("f < last").select("d", "f")
+    return saved(rows.join(firsts, "d").where("doc > f").select("block", "row", "z"), "copies")
+
+
 def reduce_keys(rows: DataFrame, name: str) -> DataFrame:
     return saved(rows.groupBy("part").applyInArrow(_shared, "block long, h binary"), name, "uncompressed")
 
