@@ -1,134 +1,164 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source is cut into blocks of equal size. The i-th block of a source of weight w
-may be placed from slot ``floor((i - 1) / w)`` and before slot ``ceil(i / w)``; one
-block is placed in each slot, the one with the earliest deadline among those
-released. So after every slot each source is less than one block away from its share.
-Weights are whole numbers of slots in a period, hence the schedule of one period,
-which is small, gives the slot of every block by arithmetic.
+Each source is cut into blocks of equal size. While all sources have blocks, the i-th
+block of a source of weight w may be placed from slot ``floor((i - 1) / w)`` and before
+slot ``ceil(i / w)``; one block is placed in each slot, the one with the earliest deadline
+among those released. When a source is used up, the others share its part by their
+weights. So after every slot each source is less than one block away from the share that
+the given weights call for. All of this is computed in whole numbers from the weights as
+they are given: they are not rounded to slots of a period.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_left
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, saved
 
-#: Slots of a period; a source needs one at least, so this also bounds the number of sources.
+#: Sources at most.
 PERIOD = 1000
 #: Characters of a block.
 BLOCK_CHARS = 100_000
+#: Blocks of a batch of the schedule.
+BATCH = 50_000
 
 
-def whole_weights(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Weights as whole slots of a period by largest remainders, one at least for each source."""
-    names = sorted(weights)
-    if len(names) > period:
-        raise ValueError(f"{len(names)} sources, but a period of {period} slots")
-    if any(not (math.isfinite(weights[x]) and weights[x] > 0) for x in names):
+def whole_weights(weights: dict[str, float], period: int | None = None) -> dict[str, int]:
+    """Whole numbers in the exact proportion of the weights; with a ``period``, that many
+    slots by largest remainders instead."""
+    if any(not (math.isfinite(w) and w > 0) for w in weights.values()):
         raise ValueError("weights must be positive and finite")
-    spare, total = period - len(names), math.fsum(weights.values())
-    exact = {x: spare * weights[x] / total for x in names}
-    slots = {x: 1 + int(exact[x]) for x in names}
-    rest = period - sum(slots.values())
-    for x in sorted(names, key=lambda x: (int(exact[x]) - exact[x], x))[:rest]:
+    parts = {x: Fraction(weights[x]) for x in sorted(weights)}
+    if period is None:
+        scale = math.lcm(*(w.denominator for w in parts.values()))
+        return {x: int(w * scale) for x, w in parts.items()}
+    total = sum(parts.values())
+    exact = {x: period * w / total for x, w in parts.items()}
+    slots = {x: int(w) for x, w in exact.items()}
+    for x in sorted(parts, key=lambda x: (slots[x] - exact[x], x))[: period - sum(slots.values())]:
         slots[x] += 1
     return slots
 
 
-def schedule(slots: dict[str, int], period: int) -> dict[str, list[int]]:
-    """Earliest deadline first over one period: the slots of each source's blocks."""
-    waiting = sorted((0, -(-period // c), x, 1) for x, c in slots.items())
+def placements(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, slot, release, deadline) of every block, by slot.
+
+    A source that is served at the rate of its whole weight w for its n blocks ends at
+    n / w. Until v all sources together get ``sum(min(w v, n))`` blocks, which is the slot
+    of v: between two ends it is ``gone + rate v``.
+    """
+    blocks = {x: n for x, n in blocks.items() if n > 0}
+    whole = whole_weights({x: weights[x] for x in blocks})
+    ends: list[Fraction] = []
+    gone, rate = [0], [sum(whole.values())]
+    for end, x in sorted((Fraction(n, whole[x]), x) for x, n in blocks.items()):
+        if not ends or ends[-1] != end:
+            ends.append(end)
+            gone.append(gone[-1])
+            rate.append(rate[-1])
+        gone[-1] += blocks[x]
+        rate[-1] -= whole[x]
+
+    def window(x: str, i: int) -> tuple[int, int]:
+        w = whole[x]
+        a, b = bisect_left(ends, Fraction(i, w)), bisect_left(ends, Fraction(i + 1, w))
+        return gone[a] + rate[a] * i // w, gone[b] - (-rate[b] * (i + 1) // w)
+
+    waiting = [(*window(x, 0), x, 0) for x in blocks]
     heapq.heapify(waiting)  # (release, deadline, source, block)
-    ready: list[tuple[int, str, int]] = []
-    placed: dict[str, list[int]] = {x: [] for x in slots}
-    for slot in range(period):
+    ready: list[tuple[int, str, int, int]] = []
+    for slot in range(sum(blocks.values())):
         while waiting and waiting[0][0] <= slot:
-            _, deadline, x, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (deadline, x, i))
-        deadline, x, i = heapq.heappop(ready)
+            release, deadline, x, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (deadline, x, i, release))
+        deadline, x, i, release = heapq.heappop(ready)
         assert slot < deadline, "a feasible set misses no deadline"
+        yield x, i, slot, release, deadline
+        if i + 1 < blocks[x]:
+            heapq.heappush(waiting, (*window(x, i + 1), x, i + 1))
+
+
+def schedule(slots: dict[str, int], period: int) -> dict[str, list[int]]:
+    """Earliest deadline first over one period: the slots of each source's blocks."""
+    placed: dict[str, list[int]] = {x: [] for x in slots}
+    for x, _, slot, _, _ in islice(placements(slots, {x: c or 1 for x, c in slots.items()}), period):
         placed[x].append(slot)
-        if i < slots[x]:
-            heapq.heappush(waiting, (i * period // slots[x], -(-(i + 1) * period // slots[x]), x, i + 1))
     return placed
 
 
-def segments(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[tuple]:
-    """(source, first block, blocks, first slot, slots in a period, their places): who is
-    served how until some source has no block left; then the others share anew."""
-    left, done, start, out = {x: n for x, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
-    while left:
-        share = whole_weights({x: weights[x] for x in left}, period)
-        places = schedule(share, period)
-        end = min((n - 1) // share[x] * period + places[x][(n - 1) % share[x]] + 1 for x, n in left.items())
-        for x in sorted(left):
-            served = end // period * share[x] + sum(p < end % period for p in places[x])
-            if served:
-                out.append((x, done[x], served, start, share[x], places[x]))
-            done[x] += served
-            left[x] -= served
-        left = {x: n for x, n in left.items() if n}
-        start += end
-    return out
+def segments(blocks: dict[str, int], weights: dict[str, float], period: int | None = None) -> list[tuple]:
+    """(source, first block, blocks, first slot, slots) of every source with a block. The
+    schedule has no period; the argument is taken for callers that still give one."""
+    placed: dict[str, list[int]] = {x: [] for x in sorted(blocks) if blocks[x] > 0}
+    for x, _, slot, _, _ in placements(blocks, weights):
+        placed[x].append(slot)
+    return [(x, 0, len(p), p[0], p) for x, p in placed.items()]
 
 
-_SEGMENTS = "src string, first long, n long, start long, share int, places array<int>"
+_PLACED = "src string, block long, slot long, release long, deadline long"
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, block_chars: int = BLOCK_CHARS, period: int = PERIOD, seed: int = 13, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, block_chars: int = BLOCK_CHARS, period: int | None = None, seed: int = 13, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row a distinct (doc_id, source, text): doc_id, source, text_hash, copies, size, block, position, slot, release, deadline.
 
     ``slot`` orders the blocks of all sources from 0 without gaps, ``position`` (a number of
     characters) the documents of a source. Nothing is dropped or repeated: when a source is used
-    up the others go on with their weights. Without ``weights`` a source weighs its
+    up the others go on with their weights. ``period`` is no longer used: the weights are
+    scheduled as they are given, and ``release`` and ``deadline`` follow from them. Without ``weights`` a source weighs its
     characters to the power ``temperature``; a source missing from ``weights`` weighs as
     much as the least. Documents are shuffled by a hash inside their source. A null
     source (written as null) is a source of its own; a null or empty text has size 0 and goes with its
     place; equal rows share one place; an empty table gives no rows. A document longer than a
     block uses up the blocks it covers.
     """
-    spark = docs.sparkSession
     src = F.coalesce(F.concat(F.lit("s"), F.col(f"`{source_col}`").cast("string")), F.lit("n"))
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(src.alias("src"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("chars"))
     once = rows.groupBy("src", "doc_id", "text_hash").agg(F.count("*").alias("copies"), F.sum("chars").alias("size"))
     once = saved(once.withColumn("at", F.xxhash64("doc_id", "text_hash", F.lit(seed))), "mixing-rows")
-    found = once.groupBy("src").agg(F.sum("size").alias("chars"), F.count("*").alias("n")).orderBy("src").limit(period + 1).collect()
-    if not found:
-        return once.select("doc_id", F.lit(None).cast("string").alias("source"), "text_hash", "copies", "size", *(F.lit(0).cast("long").alias(x) for x in ("block", "position", "slot", "release", "deadline")))
-    chars = {r["src"]: r["chars"] for r in found}
-    if weights is None:
-        target = {x: max(1, n) ** temperature for x, n in chars.items()}
-    else:
-        given = {("n" if x is None else "s" + x): w for x, w in weights.items()}
-        target = {x: given.get(x, min(given.values(), default=1.0)) for x in chars}
-    plan = segments({x: max(1, -(-n // block_chars)) for x, n in chars.items()}, target, period)
+    totals = saved(once.groupBy("src").agg(F.sum("size").alias("chars"), F.count("*").alias("n")), "mixing-sources")
+    if totals.limit(PERIOD + 1).count() > PERIOD:
+        raise ValueError(f"more than {PERIOD} sources")
+    given = None if weights is None else {("n" if x is None else "s" + x): w for x, w in weights.items()}
+    least = min(given.values(), default=1.0) if given is not None else 1.0
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chars = {x: n for batch in batches for x, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)}
+        target = {x: max(1, n) ** temperature if given is None else given.get(x, least) for x, n in chars.items()}
+        rows = placements({x: max(1, -(-n // block_chars)) for x, n in chars.items()}, target) if chars else iter(())
+        while some := list(islice(rows, BATCH)):
+            types = [pa.string(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), types, strict=True)], ["src", "block", "slot", "release", "deadline"])
+
+    # The schedule is one task over the sources; its rows are as many as blocks and never pass through the driver.
+    own = saved(totals.select("src", "chars").coalesce(1).mapInArrow(plan, _PLACED), "mixing-schedule")
     # Prefix sums in two levels: in ranges of the hash, and over a source's ranges. Their
     # number follows the rows of a source, so that a large source has no large range.
-    rows_in_range = max(2000, math.isqrt(sum(r["n"] for r in found)))
-    ranges = spark.createDataFrame([(r["src"], max(1, -(-r["n"] // rows_in_range))) for r in found], "src string, ranges long")
+    rows_in_range = max(2000, math.isqrt(totals.agg(F.sum("n")).first()[0] or 0))
+    # An empty text at a source's very end would open a block that isn't there.
+    last = F.expr(f"greatest(1, (chars + {block_chars - 1}) div {block_chars}) - 1")
+    ranges = totals.select("src", F.expr(f"greatest(1, (n + {rows_in_range - 1}) div {rows_in_range})").alias("ranges"), last.alias("last"))
     part = F.floor((F.shiftright(F.col("at"), 33) + F.lit(2**30)) * F.col("ranges") / F.lit(float(2**31))).cast("long")
-    dealt = once.join(F.broadcast(ranges), "src").select(*once.columns, part.alias("part"))
+    dealt = once.join(ranges, "src").select(*once.columns, "last", part.alias("part"))
     inside = Window.partitionBy("src", "part").orderBy("at", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     bases = dealt.groupBy("src", "part").agg(F.sum("size").alias("total")).select("src", "part", F.coalesce(F.sum("total").over(before), zero).alias("base"))
     placed = dealt.withColumn("own", F.coalesce(F.sum("size").over(inside), zero)).join(bases, ["src", "part"])
     position = F.col("base") + F.col("own")
-    # An empty text at a source's very end would open a block that isn't there.
-    last = F.create_map(*[F.lit(v) for x, n in chars.items() for v in (x, max(1, -(-n // block_chars)) - 1)])
-    block = F.least(F.expr(f"(base + own) div {block_chars}"), last[F.col("src")].cast("long"))
+    block = F.expr(f"least((base + own) div {block_chars}, last)")
     numbered = placed.select("src", "doc_id", "text_hash", "copies", "size", position.alias("position"), block.alias("block"))
-    # At most ``period`` sources in at most ``period`` segments each.
-    own = F.broadcast(spark.createDataFrame(plan, _SEGMENTS))
-    met = numbered.join(own, "src").where("block >= first AND block < first + n").withColumn("k", F.col("block") - F.col("first"))
-    slot = F.expr(f"start + (k div share) * {period} + places[cast(k % share as int)]")
-    return met.select("doc_id", F.expr("if(src = 'n', null, substring(src, 2))").alias("source"), "text_hash", "copies", "size", "block", "position", slot.alias("slot"), F.expr(f"start + k * {period} div share").alias("release"), F.expr(f"start + ((k + 1) * {period} + share - 1) div share").alias("deadline"))
+    met = numbered.join(own, ["src", "block"])
+    return met.select("doc_id", F.expr("if(src = 'n', null, substring(src, 2))").alias("source"), "text_hash", "copies", "size", "block", "position", "slot", "release", "deadline")
 
 
 def mixed(docs: DataFrame, partitions: int | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kwargs) -> DataFrame:

@@ -1,12 +1,16 @@
 """Every operator against a brute-force version, over ordinary and odd rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
+from itertools import islice
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lexloom.llm import chunk_dedup, components, minhash, mixing, packing, quality_classifier, quality_rules, secrets, suffix_dedup, token_counts, vector_graph
@@ -315,6 +319,30 @@ def test_schedule():
         mixing.whole_weights({"a": 0.0})
 
 
+def test_schedule_by_given_weights():
+    weights = {f"s{i:03}": 0.5 / 99 for i in range(98)} | {"half": 0.5, "small": 0.0001}
+    total = sum(map(Fraction, weights.values()))
+    blocks = {x: 40 + 4000 * (w == 0.5) for x, w in weights.items()}
+    seen = Counter()
+    for x, i, slot, release, deadline in islice(mixing.placements(blocks, weights), 3000):
+        share = Fraction(weights[x]) / total
+        assert (release, deadline) == (math.floor(i / share), math.ceil((i + 1) / share)) and release <= slot < deadline and seen[x] == i
+        seen[x] += 1
+        assert all(abs(seen[y] - (slot + 1) * Fraction(w) / total) < 1 for y, w in weights.items()) if slot % 50 == 0 else True
+    assert seen["half"] > 1490 and seen["small"] <= 1
+    # A source that is used up leaves its part to the others, by their weights.
+    plan = list(mixing.placements({"a": 3, "b": 30, "c": 30}, {"a": 0.5, "b": 0.3, "c": 0.2}))
+    assert [p[2] for p in plan] == list(range(63)) and Counter(p[0] for p in plan) == {"a": 3, "b": 30, "c": 30}
+    assert abs(sum(p[0] == "b" for p in plan[:36]) - (6 * 0.3 + 30 * 0.6)) < 1.1
+
+
+def test_mixing_weights(spark):
+    weights = {"big": 0.5, **{f"s{i}": 0.5 / 99 for i in range(99)}}
+    table = spark.createDataFrame([(i, "x" * 10, "big" if i % 100 == 0 else f"s{i % 100 - 1}") for i in range(10_000)], "doc_id long, text string, source string")
+    got = mixing.mix(table, weights, block_chars=10).where("slot < 150").groupBy().agg(F.count_if(F.col("source") == "big"), F.count("*")).first()
+    assert abs(got[0] - 75) < 1.01 and got[1] == 150
+
+
 def test_mixing(spark, docs, empty, rows):
     weights = {"src0": 3.0, "src1": 1.0, "src2": 1.0, None: 1.0}
     got = mixing.mix(docs, weights, block_chars=500, period=50).collect()
