@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 
 from .common import documents, saved
 
-#: Sources at most.
-PERIOD = 1000
 #: Characters of a block.
 BLOCK_CHARS = 100_000
 #: Blocks of a batch of the schedule.
@@ -126,8 +124,6 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     once = rows.groupBy("src", "doc_id", "text_hash").agg(F.count("*").alias("copies"), F.sum("chars").alias("size"))
     once = saved(once.withColumn("at", F.xxhash64("doc_id", "text_hash", F.lit(seed))), "mixing-rows")
     totals = saved(once.groupBy("src").agg(F.sum("size").alias("chars"), F.count("*").alias("n")), "mixing-sources")
-    if totals.limit(PERIOD + 1).count() > PERIOD:
-        raise ValueError(f"more than {PERIOD} sources")
     given = None if weights is None else {("n" if x is None else "s" + x): w for x, w in weights.items()}
     least = min(given.values(), default=1.0) if given is not None else 1.0
 

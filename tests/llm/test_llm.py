@@ -343,6 +343,14 @@ def test_mixing_weights(spark):
     assert abs(got[0] - 75) < 1.01 and got[1] == 150
 
 
+def test_mixing_many_sources(spark):
+    table = spark.createDataFrame([(i, "x" * (1 + i % 90), f"host{i % 2500}" if i % 4 else "large") for i in range(8000)], "doc_id long, text string, source string")
+    got = mixing.mix(table, block_chars=40).collect()
+    assert len(got) == 8000 and len({r["source"] for r in got}) == len({f"host{i % 2500}" for i in range(8000) if i % 4}) + 1 > 1000
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    assert len({(r["source"], r["block"]) for r in got}) == len({r["slot"] for r in got})
+
+
 def test_mixing(spark, docs, empty, rows):
     weights = {"src0": 3.0, "src1": 1.0, "src2": 1.0, None: 1.0}
     got = mixing.mix(docs, weights, block_chars=500, period=50).collect()
