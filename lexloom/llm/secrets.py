@@ -13,7 +13,7 @@ import hashlib
 import math
 import random
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -40,8 +40,8 @@ WORDS = ("access account admin api application argument array auth backup base b
 _TEST = re.compile(rb"test|spec|example|fixture|sample|mock|doc", re.I)
 _CONFIG = re.compile(rb"config|\.env|secret|credential|settings|\.pem|\.ya?ml|\.ini|\.tf", re.I)
 _BLOCK = rb"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[^-]{16,}-----END (?:[A-Z]+ )*PRIVATE KEY-----"
-_NAMED = rb"(?i:token|secret|passwd|password|pwd|api_?key|access_?key|auth|credential|passphrase)[\"']?[ \t]{0,4}(?:=>|:=|=|:)[ \t]{0,4}[\"']([^\"'\s]{8,256})[\"']"
-_LONG = rb"(?<![A-Za-z0-9+/_\-.])[A-Za-z0-9+/_\-.]{16,512}={0,2}(?![A-Za-z0-9+/_\-.])"
+_NAMED = rb"(?i:token|secret|passwd|password|pwd|api_?key|access_?key|auth|credential|passphrase)[\"']?[ \t]{0,4}(?:=>|:=|=|:)[ \t]{0,4}[\"']([^\"'\s]{8,}+)[\"']"
+_LONG = rb"(?<![A-Za-z0-9+/_\-.])[A-Za-z0-9+/_\-.]{16,}+={0,2}(?![A-Za-z0-9+/_\-.])"
 CANDIDATE = re.compile(b"(?P<block>" + _BLOCK + b")|(?:" + _NAMED.replace(b"([^", b"(?P<named>[^") + b")|(?P<long>" + _LONG + b")")
 _DIGIT = re.compile(rb"[0-9]")
 _WORD = re.compile(rb"[A-Za-z0-9_]+")
@@ -69,6 +69,10 @@ def _transitions() -> np.ndarray:
     return np.log2(seen / seen.sum(axis=1, keepdims=True))
 
 
+#: Of each byte: 0 digit, 1 lower case, 2 upper case, 3 other; and its letter from 0, -1 for none.
+_KIND = np.array([0 if 48 <= c < 58 else 1 if 97 <= c < 123 else 2 if 65 <= c < 91 else 3 for c in range(256)])
+_LETTER = np.array([(c | 32) - 97 if 65 <= c < 91 or 97 <= c < 123 else -1 for c in range(256)])
+
 _BY_START: dict[str, list[str]] = {}
 for _w in sorted((w for w in WORDS if len(w) >= 4), key=lambda w: (-len(w), w)):
     _BY_START.setdefault(_w[:4], []).append(_w)
@@ -85,33 +89,30 @@ def _covered(value: str) -> float:
 
 def describe(text: bytes, begin: int, end: int, path: bytes) -> list[float]:
     """The features of one candidate."""
-    value = text[begin:end][:512]
-    n = len(value)
-    kinds = [0 if 48 <= c < 58 else 1 if 97 <= c < 123 else 2 if 65 <= c < 91 else 3 for c in value]
-    counts = np.bincount(np.frombuffer(value, np.uint8), minlength=256)
+    value = text[begin:end]
+    n, codes = len(value), np.frombuffer(value, np.uint8)
+    kinds = _KIND[codes]
+    counts = np.bincount(codes, minlength=256)
     p = counts[counts > 0] / max(1, n)
-    low = [c | 32 if 65 <= c < 91 or 97 <= c < 123 else 0 for c in value]
-    table = _transitions()
-    steps = [table[a - 97, b - 97] for a, b in zip(low, low[1:], strict=False) if a and b]
+    letters = _LETTER[codes]
+    both = (letters[:-1] >= 0) & (letters[1:] >= 0)
+    steps = _transitions()[letters[:-1][both], letters[1:][both]]
+    share = np.bincount(kinds, minlength=4) / max(1, n)
+    changes = np.flatnonzero(codes[1:] != codes[:-1])
+    longest = int(np.diff(np.concatenate([[-1], changes, [n - 1]])).max()) if n else 0
     before = [w.lower() for w in _WORD.findall(text[max(0, begin - AROUND) : begin])][-4:]
     after = [w.lower() for w in _WORD.findall(text[end : end + AROUND])][:3]
     near = lambda words, known: sum(any(k == w or (len(k) > 3 and k in w) for k in known) for w in words)
     return [
-        n, float(-(p * np.log2(p)).sum()), float(np.mean(steps)) if steps else -5.0, sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, n - 1),
-        kinds.count(0) / max(1, n), kinds.count(2) / max(1, n), kinds.count(3) / max(1, n), float(bool(_HEX.fullmatch(value))), float(bool(_UUID.fullmatch(value))),
-        _covered(value.decode("latin-1")), len(p) / max(1, n), max((sum(1 for _ in g) for g in _runs(value)), default=0) / max(1, n),
+        n, float(-(p * np.log2(p)).sum()), float(np.mean(steps)) if len(steps) else -5.0, float((kinds[1:] != kinds[:-1]).sum() / max(1, n - 1)),
+        float(share[0]), float(share[2]), float(share[3]), float(bool(_HEX.fullmatch(value))), float(bool(_UUID.fullmatch(value))),
+        _covered(value.decode("latin-1")), len(p) / max(1, n), longest / max(1, n),
         float(value.startswith(PREFIXES)), float(text[begin : begin + 5] == b"-----"), near(before, NAMES), near(before, OTHERS), near(after, OTHERS),
         float(text[max(0, begin - 4) : begin].rstrip(b"\"' ").endswith((b"=", b":"))), float(text[max(0, begin - 1) : begin] in (b'"', b"'")), value.count(b"/") + value.count(b"."),
         float(bool(_TEST.search(path))), float(bool(_CONFIG.search(path))),
     ]
 
 
-def _runs(value: bytes) -> Iterator[Iterable[int]]:
-    from itertools import groupby
-
-    return (g for _, g in groupby(value))
-
-
 def written_findings(n: int = 6000, seed: int = 7) -> list[tuple[bytes, bytes, int]]:
     """(line, path, label) by a seeded generator; the candidate is what the patterns find in the line."""
     r = random.Random(seed)
@@ -145,6 +146,13 @@ def written_findings(n: int = 6000, seed: int = 7) -> list[tuple[bytes, bytes, i
     body = lambda: base64.b64encode(r.randbytes(240)).decode()
     for _ in range(n // 60):
         out.append((f"-----BEGIN RSA PRIVATE KEY-----\n{body()}\n-----END RSA PRIVATE KEY-----".encode(), b"id_rsa.pem", 1))
+    for _ in range(n // 60):  # long ones: signed tokens, and data written out in text
+        token = "eyJ" + any_(r.randint(20, 60)) + "." + any_(r.randint(200, 1500)) + "." + any_(r.choice([43, 86, 342]))
+        long_ = [f'{name()} = "{token}"', f"Authorization: Bearer {token}", f"{name()}: {token}", token]
+        out.append((f"{prose()} {r.choice(long_)}".encode(), r.choice(paths).encode(), 1))
+        blob = base64.b64encode(r.randbytes(r.randint(300, 3000))).decode()
+        long_ = [f"data:image/png;base64,{blob}", f'src="data:font/woff2;base64,{blob}"', f"{other()}: {hexed(r.choice([520, 600, 1024]))}", "/".join(r.choices(WORDS, k=100)) + str(r.randint(1, 99)), "".join(r.choices("0123456789", k=r.randint(520, 2000))), words(90, "-") + "1"]
+        out.append((f"{prose()} {r.choice(long_)}".encode(), r.choice(paths).encode(), 0))
     return out
 
 

@@ -280,6 +280,22 @@ def test_secrets(spark, docs, empty, rows):
     assert taught.findings(b'secret = "9f8e7d6c5b4a39281706f5e4d3c2b1a0"')[0][3] > 0.5
 
 
+def test_secrets_of_any_length(spark):
+    rng = np.random.default_rng(5)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    any_ = lambda n: "".join(rng.choice(letters, n))
+    token, odd = f"eyJ{any_(33)}.{any_(600)}.{any_(65)}", "!" + any_(319)
+    texts = [f"so {token} it is", f'then token = "{token}" ends', f'and secret = "{odd}" too']
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    detector = secrets.train()
+    found = {r["doc_id"]: texts[r["doc_id"]][r["start"] : r["end"]] for r in secrets.scan(table, detector).where("is_secret").collect()}
+    assert found == {0: token, 1: token, 2: odd}
+    assert [r["text"] for r in secrets.redacted(table, detector).orderBy("doc_id").collect()] == ["so [REDACTED] it is", 'then token = "[REDACTED]" ends', 'and secret = "[REDACTED]" too']
+    assert secrets.describe(token.encode(), 0, len(token), b"")[0] == len(token) == 703
+    many = b'token = "' * 40_000 + b"a1" * 400_000 + b" x"
+    assert sum(b - a for _, a, b in secrets.candidates(many)) >= 800_000
+
+
 def test_vector_graph(spark, empty):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(1200, 16)).astype(np.float32)
