@@ -39,23 +39,53 @@ OTHERS = (b"commit", b"sha", b"sha1", b"sha256", b"md5", b"checksum", b"hash", b
 WORDS = ("access account admin api application argument array auth backup base block buffer build bytes cache change changeme class client cloud code commit config connection container content context control count create data database date default delete demo digest directory document domain element email empty encode encrypt enter entity error event example expected factory fake field file filter format from function generator global handler header hello host image index input insert instance integer internal invalid item json kernel label length library license list load local location login manager master message method model module name network number object offset option output package page parameter parser password path pattern placeholder plugin pointer policy port private process profile project provider public query random reader record reference register release remote replace request resource response result return root sample schema script search secret section select server service session setting shared simple size source stack start state status storage stream string system table target task template test text thread time title token type unique unknown update upload user util validate value variable vector version view window write your").split()
 _TEST = re.compile(rb"test|spec|example|fixture|sample|mock|doc", re.I)
 _CONFIG = re.compile(rb"config|\.env|secret|credential|settings|\.pem|\.ya?ml|\.ini|\.tf", re.I)
-_BLOCK = rb"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[^-]{16,}-----END (?:[A-Z]+ )*PRIVATE KEY-----"
-_NAMED = rb"(?i:token|secret|passwd|password|pwd|api_?key|access_?key|auth|credential|passphrase)[\"']?[ \t]{0,4}(?:=>|:=|=|:)[ \t]{0,4}[\"']([^\"'\s]{8,}+)[\"']"
-_LONG = rb"(?<![A-Za-z0-9+/_\-.])[A-Za-z0-9+/_\-.]{16,}+={0,2}(?![A-Za-z0-9+/_\-.])"
-CANDIDATE = re.compile(b"(?P<block>" + _BLOCK + b")|(?:" + _NAMED.replace(b"([^", b"(?P<named>[^") + b")|(?P<long>" + _LONG + b")")
-_DIGIT = re.compile(rb"[0-9]")
+#: A key block reaches to its END line, over headers with hyphens.
+_BLOCK = re.compile(rb"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----(?:[^-]++|-(?!----))++-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----")
+#: A password in a URL.
+_URL = re.compile(rb"://[^\s:/@\"']*+:([^\s/@\"']++)@")
+#: A value behind a name, between quotes or up to white space, a tag or a next name=value.
+_IS = re.compile(rb"=>|:=|=|:")
+_VALUE = re.compile(rb"[ \t]{0,4}+(?:[\"']([^\"'\s]{4,}+)[\"']|((?![=:>])(?:[^\s\"'<&;,]|<(?!/|[A-Za-z]{1,12}[ />])|[&;,](?![ \t]*[\w.\-]{1,40}[=:]))++))")
+_NAME = re.compile(rb"(?:token|secret|passwd|password|pwd|api_?key|access_?key|auth|credential|passphrase)(?:_?key)?[\"']?[ \t]{0,4}$", re.I)
+_LONG = re.compile(rb"(?<![A-Za-z0-9+/_\-.])[A-Za-z0-9+/_\-.]{16,}+={0,2}(?![A-Za-z0-9+/_\-.])")
 _WORD = re.compile(rb"[A-Za-z0-9_]+")
 _UUID = re.compile(rb"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 _HEX = re.compile(rb"[0-9a-fA-F]+")
 
 
-def candidates(text: bytes) -> Iterator[tuple[str, int, int]]:
-    """(rule, begin, end) in bytes. Long strings without a digit are words, not candidates."""
-    for m in CANDIDATE.finditer(text):
-        kind = m.lastgroup or ""
-        begin, end = m.span(kind)
-        if kind != "long" or _DIGIT.search(text, begin, end):
-            yield kind, begin, end
+def _named(text: bytes) -> Iterator[tuple[int, int]]:
+    done = 0
+    for sign in _IS.finditer(text):
+        if sign.start() < done or not _NAME.search(text[max(0, sign.start() - 40) : sign.start()]) or not (m := _VALUE.match(text, sign.end())):
+            continue
+        begin, end = m.span(m.lastindex)
+        if m.lastindex == 2:
+            end = begin + len(text[begin:end].rstrip(b",;.)]}"))
+        if end - begin >= 4:
+            yield begin, end
+            done = m.end()
+
+
+def candidates(text: bytes) -> list[tuple[str, int, int]]:
+    """(rule, begin, end) in bytes, from the left, without overlaps: key blocks go before
+    named values, these before passwords of URLs, and those before long strings."""
+    found: list[tuple[int, int, str]] = []
+    ways = [
+        ("block", (m.span() for m in _BLOCK.finditer(text)) if b"PRIVATE KEY" in text else ()),
+        ("named", _named(text)),
+        ("url", (m.span(1) for m in _URL.finditer(text)) if b"://" in text else ()),
+        ("long", (m.span() for m in _LONG.finditer(text))),
+    ]
+    for rule, spans in ways:
+        held = found[:]
+        i = 0
+        for begin, end in spans:
+            while i < len(held) and held[i][1] <= begin:
+                i += 1
+            if i == len(held) or held[i][0] >= end:
+                found.append((begin, end, rule))
+        found.sort()
+    return [(rule, begin, end) for begin, end, rule in found]
 
 
 @lru_cache(maxsize=1)
@@ -109,7 +139,7 @@ def describe(text: bytes, begin: int, end: int, path: bytes) -> list[float]:
         _covered(value.decode("latin-1")), len(p) / max(1, n), longest / max(1, n),
         float(value.startswith(PREFIXES)), float(text[begin : begin + 5] == b"-----"), near(before, NAMES), near(before, OTHERS), near(after, OTHERS),
         float(text[max(0, begin - 4) : begin].rstrip(b"\"' ").endswith((b"=", b":"))), float(text[max(0, begin - 1) : begin] in (b'"', b"'")), value.count(b"/") + value.count(b"."),
-        float(bool(_TEST.search(path))), float(bool(_CONFIG.search(path))),
+        float(text[end : end + 1] == b"@"), float(bool(_TEST.search(path))), float(bool(_CONFIG.search(path))),
     ]
 
 
@@ -153,6 +183,30 @@ def written_findings(n: int = 6000, seed: int = 7) -> list[tuple[bytes, bytes, i
         blob = base64.b64encode(r.randbytes(r.randint(300, 3000))).decode()
         long_ = [f"data:image/png;base64,{blob}", f'src="data:font/woff2;base64,{blob}"', f"{other()}: {hexed(r.choice([520, 600, 1024]))}", "/".join(r.choices(WORDS, k=100)) + str(r.randint(1, 99)), "".join(r.choices("0123456789", k=r.randint(520, 2000))), words(90, "-") + "1"]
         out.append((f"{prose()} {r.choice(long_)}".encode(), r.choice(paths).encode(), 0))
+    low = lambda k: "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=k))
+    odd = lambda: any_(r.randint(3, 8)) + r.choice("!#%$*?") + any_(r.randint(2, 6))
+    letters = lambda k: "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", k=k))
+    human = lambda: r.choice(WORDS) + str(r.randint(1, 9999)) + r.choice(["", "!", "#"]) + r.choice(["", any_(2)])
+    put = lambda v: r.choice([f"{name()}={v}", f"{name().upper()}={v}", f"DB_{name().upper()}={v}", f"{name()}: {v}", f'{name()} = "{v}"', f"--{name()}={v}"])
+    scheme = lambda: r.choice(["postgres", "mysql", "redis", "amqp", "https", "mongodb", "ftp"])
+    host = lambda: r.choice(["db.host", "localhost", "10.0.0.5", "db", "mq.local"])
+    plain = lambda: "".join(r.choices("etaoinshrdlu", k=r.randint(4, 12)))
+    upper = lambda: "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=16))
+    real = [
+        lambda: put(odd()), lambda: put(any_(r.randint(8, 15))), lambda: put(human()), lambda: put(low(r.randint(8, 15))), lambda: put(letters(r.randint(14, 40))), lambda: r.choice(["{}", "key {} is", "access_key={}", 'aws = "{}"']).format("AKIA" + upper()),
+        lambda: r.choice(["ghp_", "sk_live_", "glpat-", "hf_"]) + letters(30), lambda: f"{scheme()}://{r.choice(WORDS)}:{r.choice([odd, human, lambda: any_(r.randint(6, 24)), lambda: low(r.randint(6, 12)), lambda: r.choice('abcdefgkmprst') + low(7)])().replace('?', '.').replace('#', '.')}@{host()}", lambda: letters(r.randint(24, 64)),
+    ]
+    false = [
+        lambda: f"{name()}: {plain()}", lambda: f"{name()} = {r.choice(WORDS)}", lambda: f"{name()} = {words(2, '_')}()", lambda: f"{name()}={words(2, '.')}", lambda: f"{name()}=${{{words(2, '_').upper()}}}", lambda: f"{name()} = os.environ[{words(1, '').upper()}]", lambda: f'{name()} = "{r.choice(WORDS)}"',
+        lambda: f"{name()}: {r.choice(['true', 'false', 'null', 'None', 'none', 'required', 'string', 'Optional[str]', 'changeme', '********', 'xxxxxxxx', '<hidden>', 'redacted', 'self.' + r.choice(WORDS)])}", lambda: f"{scheme()}://{r.choice(WORDS)}:{r.choice(['password', 'pass', 'PASSWORD', '${' + words(1, '').upper() + '}', '****', 'xxxx', r.choice(WORDS)])}@{host()}",
+        lambda: words(r.randint(3, 6), r.choice("_-./")), lambda: "".join(w.title() for w in r.choices(WORDS, k=4)), lambda: r.choice("-._") * r.randint(16, 90), lambda: "/".join(["", *r.choices(WORDS, k=4)]), lambda: "https://www." + words(2, "-") + ".org/" + words(2, "/"), lambda: "".join(r.choices("etaoinshrdlucmfwyp", k=r.randint(16, 24))), lambda: words(3, "_").upper(), lambda: "".join(r.choices(WORDS, k=4)), lambda: f"{plain()}...{plain()}-{plain()}--{plain()}",
+    ]
+    for i in range(2 * (n // 5)):
+        line = r.choice(real if i % 2 else false)()
+        out.append((f"{prose()} {line} {prose()}".encode(), r.choice(paths).encode(), i % 2))
+    for _ in range(n // 60):
+        head = f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,{hexed(32).upper()}\n\n"
+        out.append((f"-----BEGIN RSA PRIVATE KEY-----\n{head}{body()}\n-----END RSA PRIVATE KEY-----".encode(), b"id_rsa.pem", 1))
     return out
 
 
@@ -162,7 +216,7 @@ class Detector:
 
     def findings(self, text: bytes, path: bytes = b"") -> list[tuple[str, int, int, float]]:
         """(rule, begin, end, score) of every candidate."""
-        found = list(candidates(text))
+        found = candidates(text)
         if not found:
             return []
         scores = self.forest.sum(np.array([describe(text, a, b, path) for _, a, b in found]))
@@ -180,7 +234,7 @@ def train(labelled: DataFrame | None = None, most: int = MOST_FINDINGS, trees: i
         rows = [(a.encode(), b.encode(), c) for a, b, c in taken]
     x, y = [], []
     for line, path, label in rows[:most]:
-        if found := list(candidates(line)):
+        if found := candidates(line):
             x.append(describe(line, found[-1][1], found[-1][2], path))
             y.append(label)
     if not x:
