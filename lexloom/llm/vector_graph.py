@@ -33,14 +33,12 @@ def beam_search(unit: np.ndarray, edges: np.ndarray, entry: np.ndarray, queries:
     ids = np.full((q, beam), -1, np.int64)
     far = np.full((q, beam), np.inf, np.float32)
     done = np.zeros((q, beam), bool)
-    start = entry[: min(beam, len(entry))]
-    ids[:, : len(start)] = start
-    far[:, : len(start)] = 2 - 2 * queries @ unit[start].T
-    order = np.argsort(far, axis=1, kind="stable")
-    ids, far = np.take_along_axis(ids, order, 1), np.take_along_axis(far, order, 1)
+    first = 2 - 2 * queries @ unit[entry].T
+    order = np.argsort(first, axis=1, kind="stable")[:, :beam]
+    ids[:, : order.shape[1]], far[:, : order.shape[1]] = entry[order], np.take_along_axis(first, order, 1)
     active = np.arange(q)
     seen = np.zeros((q, n), bool)
-    seen[:, start] = True
+    seen[:, entry] = True
     while len(active):
         open_ = ~done[active] & (ids[active] >= 0)
         has = open_.any(axis=1)
@@ -116,15 +114,34 @@ def build(unit: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float
             found, _ = beam_search(unit, edges, entry, unit[points], beam)
             new[points] = robust_prune(unit, points, np.concatenate([found, edges[points]], axis=1), degree, relaxed)
         edges = _with_incoming(unit, new, degree, relaxed)
-    # Whatever no edge leads to gets one from the point that comes first in its own list.
-    reached = np.zeros(n, bool)
-    reached[entry] = True
-    front = entry
-    while len(front):
-        near = np.unique(edges[front])
-        front = near[(near >= 0)][~reached[near[near >= 0]]]
+    return _linked(unit, edges, entry), entry
+
+
+def _linked(unit: np.ndarray, edges: np.ndarray, entry: np.ndarray) -> np.ndarray:
+    """Edges by which every point is reached from the entries: a point that none leads to gets
+    one from the nearest reached point that has a place left."""
+    reached = np.zeros(len(unit), bool)
+
+    def reach(front: np.ndarray) -> None:
         reached[front] = True
-    return edges, np.unique(np.concatenate([entry, np.flatnonzero(~reached)]))
+        while len(front):
+            near = np.unique(edges[front])
+            near = near[near >= 0]
+            front = near[~reached[near]]
+            reached[front] = True
+
+    reach(entry)
+    for point in np.flatnonzero(~reached):
+        if reached[point]:
+            continue
+        places = reached & (edges < 0).any(axis=1)
+        if not places.any():
+            edges = np.concatenate([edges, np.full((len(edges), 1), -1, edges.dtype)], axis=1)
+            places = reached
+        at = int(np.where(places, unit @ unit[point], -np.inf).argmax())
+        edges[at, int((edges[at] < 0).argmax())] = point
+        reach(np.array([point]))
+    return edges
 
 
 def vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:

@@ -338,6 +338,23 @@ def test_vector_graph(spark, empty):
     assert vector_graph.search(vector_graph.index(none), none).count() == 0
 
 
+def test_vector_graph_reaches_every_point():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2000, 16))
+    for g in range(6):  # copies of one direction at other lengths
+        x[g * 250 : (g + 1) * 250] = x[g * 250] * rng.uniform(0.1, 10, 250)[:, None]
+    edges, entry = vector_graph.build(vector_graph._unit(x))
+    reached, front = set(entry.tolist()), entry.tolist()
+    while front:
+        front = [int(j) for j in np.unique(edges[front]) if j >= 0 and j not in reached]
+        reached.update(front)
+    assert len(reached) == 2000 and len(entry) <= 17
+    unit = vector_graph._unit(rng.normal(size=(50, 8)))
+    # The nearest of more entries than the beam holds, whatever its number.
+    ids, _ = vector_graph.beam_search(unit, np.full((50, 1), -1), np.arange(50), unit[40:], 4)
+    assert ids[:, 0].tolist() == list(range(40, 50))
+
+
 def test_schedule():
     weights = {"a": 5.0, "b": 3.0, "c": 1.7, "d": 0.3}
     slots = mixing.whole_weights(weights, 100)
