@@ -156,7 +156,8 @@ def index(table: DataFrame, shard_rows: int = SHARD, keep: int = 6, degree: int
     """One row a shard: dim, shard, vectors, ids (of equal vectors, the ``keep`` smallest), edges and entry points.
 
     Every vector is in the index. Equal vectors are one point of the graph, so a vector
-    that very many rows share costs no more than another."""
+    that very many rows share costs no more than another. A search for the k nearest needs
+    ``keep`` to be k + 1 where that many vectors are equal."""
     own = vectors(table, id_col, vector_col).distinct()
     # Spark keeps the first ranks of a key before the shuffle, too.
     ranked = own.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("r") <= keep)
@@ -169,9 +170,9 @@ def index(table: DataFrame, shard_rows: int = SHARD, keep: int = 6, degree: int
         x = np.array(part.column("v").to_pylist(), np.float64)
         ids = part.column("ids").to_pylist()
         edges, entry = build(_unit(x), degree, beam, alpha)
-        return pa.table({"dim": pa.array([x.shape[1]], pa.int32()), "shard": pa.array([part.column("shard")[0].as_py()], pa.int64()), "x": pa.array([x.tobytes()], pa.binary()), "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))), "edges": pa.array([edges.astype(np.int32).tobytes()], pa.binary()), "entry": pa.array([entry], pa.list_(pa.int64()))})
+        return pa.table({"dim": pa.array([x.shape[1]], pa.int32()), "shard": pa.array([part.column("shard")[0].as_py()], pa.int64()), "x": pa.array([x.tobytes()], pa.binary()), "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))), "keep": pa.array([keep], pa.int32()), "edges": pa.array([edges.astype(np.int32).tobytes()], pa.binary()), "entry": pa.array([entry], pa.list_(pa.int64()))})
 
-    built = dealt.withColumn("first", F.col("ids")[0]).groupBy("dim", "shard").applyInArrow(one, "dim int, shard long, x binary, ids array<array<long>>, edges binary, entry array<long>")
+    built = dealt.withColumn("first", F.col("ids")[0]).groupBy("dim", "shard").applyInArrow(one, "dim int, shard long, x binary, ids array<array<long>>, keep int, edges binary, entry array<long>")
     return saved(built, "vector-index")
 
 
@@ -191,7 +192,7 @@ def search(held: DataFrame, queries: DataFrame, k: int = 5, beam: int = 2 * BEAM
     part = F.pmod(F.xxhash64("vec_id"), F.greatest(F.lit(1), F.ceil(F.col("c") / block))).cast("long")
     blocks = saved(of.join(counted, "dim").groupBy("dim", part.alias("part")).agg(F.collect_list(F.struct("vec_id", "v")).alias("q")), "vector-queries")
     pairs = blocks.select("dim", "part").join(held.select("dim", "shard"), "dim").repartition("dim", "part", "shard")
-    met = pairs.join(blocks, ["dim", "part"]).join(held, ["dim", "shard"]).select("dim", "q", "x", "ids", "edges", "entry")
+    met = pairs.join(blocks, ["dim", "part"]).join(held, ["dim", "shard"]).select("dim", "q", "x", "ids", "keep", "edges", "entry")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,8 +202,9 @@ def search(held: DataFrame, queries: DataFrame, k: int = 5, beam: int = 2 * BEAM
                 graph = np.frombuffer(row["edges"], np.int32).reshape(len(x), -1).astype(np.int64)
                 names = np.array([z["vec_id"] for z in row["q"]], np.int64)
                 asked = np.array([z["v"] for z in row["q"]], np.float64)
-                near, _ = beam_search(_unit(x), graph, np.array(row["entry"]), _unit(asked), beam)
-                near = near[:, : k + 3]
+                if k >= row["keep"] and any(len(z) >= row["keep"] for z in row["ids"]):
+                    raise ValueError(f"an index that keeps {row['keep']} ids of equal vectors can't give {k} nearest: build it with keep={k + 1}")
+                near, _ = beam_search(_unit(x), graph, np.array(row["entry"]), _unit(asked), max(beam, k + 1))
                 rows, cols = np.nonzero(near >= 0)
                 point = near[rows, cols]
                 a, b = asked[rows], x[point]
@@ -210,8 +212,11 @@ def search(held: DataFrame, queries: DataFrame, k: int = 5, beam: int = 2 * BEAM
                 many = [row["ids"][p] for p in point.tolist()]
                 size = np.array([len(z) for z in many], np.int64)
                 query, vec, score = np.repeat(names[rows], size), np.array([z for ids in many for z in ids], np.int64), np.repeat(score, size)
-                other = query != vec
-                yield pa.RecordBatch.from_arrays([pa.array(query[other]), pa.array(vec[other]), pa.array(score[other])], ["query_id", "vec_id", "score"])
+                # The shard's k best of the whole beam, by the scores and ties that count in the end.
+                order = np.lexsort((vec, -score, query))
+                order = order[(query != vec)[order]]
+                order = order[np.arange(len(order)) - np.searchsorted(query[order], query[order]) < k]
+                yield pa.RecordBatch.from_arrays([pa.array(query[order]), pa.array(vec[order]), pa.array(score[order])], ["query_id", "vec_id", "score"])
 
     found = met.mapInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))

@@ -355,6 +355,25 @@ def test_vector_graph_reaches_every_point():
     assert ids[:, 0].tolist() == list(range(40, 50))
 
 
+def test_vector_graph_close_and_equal(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 16))
+    x[200:260] = x[200] + rng.normal(size=(60, 16)) * 1e-6  # next to one direction, beyond what float32 tells apart
+    x[300:320] = x[300]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    asked = table.where("vec_id in (205, 230, 300)")
+    for r in vector_graph.search(vector_graph.index(table, keep=11), asked, k=10).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for q in (205, 230):
+        score = x @ x[q] / (np.linalg.norm(x, axis=1) * np.linalg.norm(x[q]))
+        score[q] = -9
+        assert np.allclose([s for _, s in got[q]], np.sort(score)[::-1][:10], rtol=0, atol=2e-15)
+    assert [i for i, _ in got[300]] == list(range(301, 311))
+    with pytest.raises(Exception, match="keep=11"):
+        vector_graph.search(vector_graph.index(table), asked, k=10).collect()
+
+
 def test_schedule():
     weights = {"a": 5.0, "b": 3.0, "c": 1.7, "d": 0.3}
     slots = mixing.whole_weights(weights, 100)
