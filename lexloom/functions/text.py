@@ -83,7 +83,7 @@ def inflected(word: Column, pos: Column, participles: bool = False) -> Column:
     low = F.lower(word)
     stem = F.substring(low, F.lit(1), F.length(low) - 1)
     of = lambda *ends: [F.concat(stem, F.lit(e)) for e in ends]
-    extra = [f"{v}{t}{e}" for v in ("ant", "int", "ont") for t, e in (("a", ""), ("e", ""), ("o", ""))] if participles else []
+    extra = ["ante", "inte", "onte", "ata", "ita", "ota", "anta", "inta", "onta"] if participles else []
     return F.when((pos == "noun") | (pos == "adj"), F.array(low, *(F.concat(low, F.lit(x)) for x in ("j", "n", "jn")))).when(pos == "adv", F.array(low, F.concat(low, F.lit("n")))).when(pos == "verb", F.array(*of("i", "as", "is", "os", "us", "u", *extra))).otherwise(F.array(low))
 
 

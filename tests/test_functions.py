@@ -82,3 +82,10 @@ def test_analyse():
     assert M.analyse("treege", roots, words)[1] == "known"
     assert M.analyse("vortlibr", roots, words)[1] == "known"
     assert M.analyse("zzz", roots, words) == ("zzz", "unknown")
+
+
+def test_inflected_participles(spark):
+    """The forms that the surveyed concordance counts, tools/mine_concordance.py:31-56."""
+    got = one(spark, T.inflected(F.col("w"), F.col("p"), True), w="vidi", p="verb")
+    assert got[:6] == ["vidi", "vidas", "vidis", "vidos", "vidus", "vidu"]
+    assert sorted(got[6:]) == sorted(["vidante", "vidinte", "vidonte", "vidata", "vidita", "vidota", "vidanta", "vidinta", "vidonta"])
