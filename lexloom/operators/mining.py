@@ -109,7 +109,9 @@ def round_robin(cites: DataFrame, key: str, limit: int, encyclopedia: Column | N
     """Citations in turn by source, other sources before the encyclopedia's: adds ``turn`` from 1."""
     wp = encyclopedia if encyclopedia is not None else T.is_encyclopedia(F.col("source"))
     own = cites.withColumn("wp", wp)
-    own = own.withColumns({"again": F.row_number().over(Window.partitionBy(key, "source").orderBy("ord")), "opened": F.min("ord").over(Window.partitionBy(key, "source"))}).where(F.col("again") <= limit)
+    # Spark keeps the first ranks of a key and source before the shuffle; what opens a source is among them.
+    own = own.withColumn("again", F.row_number().over(Window.partitionBy(key, "source").orderBy("ord"))).where(F.col("again") <= limit)
+    own = own.withColumn("opened", F.min("ord").over(Window.partitionBy(key, "source")))
     return own.withColumn("turn", F.row_number().over(Window.partitionBy(key).orderBy("again", "wp", "opened", "source"))).where(F.col("turn") <= limit).drop("again", "opened", "wp")
 
 

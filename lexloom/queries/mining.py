@@ -49,15 +49,15 @@ def first_k_citations(spark, d):
 
 
 def round_robin_citations(spark, d):
-    """Up to five lines of each capitalised form's lemma, in turn by source."""
-    rows = _tokens(spark, d, True).where("length(form) >= 8").groupBy("form", "source", "doc_id", "line").agg(F.count("*").alias("hits"))
+    """Up to five lines of each form, in turn by source."""
+    rows = _tokens(spark, d, True).groupBy("form", "source", "doc_id", "line").agg(F.count("*").alias("hits"))
     cites = rows.select("form", "source", "doc_id", "line", F.struct("doc_id", "line").alias("ord"))
     return O.round_robin(cites, "form", 5, wiki()).select("form", "turn", "source", "doc_id", "line")
 
 
 def concordance_citations(spark, d):
     """Headwords of the benchmark through their inflected forms, with up to three citations from different sources."""
-    heads = _vocabulary(spark, d).where("length(form) >= 4").withColumn("pos", T.guess_pos(F.col("form")))
+    heads = _vocabulary(spark, d).withColumn("pos", T.guess_pos(F.col("form")))
     forms = heads.select(F.col("form").alias("word"), F.explode(F.array_distinct(T.inflected(F.col("form"), F.col("pos"), True))).alias("form"))
     tokens = _tokens(spark, d, True)
     found = O.concordance(tokens, forms)

@@ -176,3 +176,28 @@ def test_reports(spark):
     rows = spark.createDataFrame([("shard-0-of-3",), ("shard-2-of-3",)], "shard string")
     assert [r["i"] for r in reports.missing_shards(rows, 3).collect()] == [1]
     assert reports.addition_counts(spark.createDataFrame([("ReVo/OA-2",), ("x",)], "source string")).first()["n"] == 1
+
+
+def test_citations_of_short_words(spark, tmp_path):
+    """Both citation queries against brute force: words of any length count."""
+    from lexloom.queries import mining
+
+    line = "la hundo vidis ke mi estas tie kaj la kato dormas"
+    docs = [(i, f"src{i % 7}", "\n".join([line, "Mi iras al vi", f"ni {'kaj ' * (i % 3)}vidita vidanto"])) for i in range(12)]
+    spark.createDataFrame(docs, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, "la mi al vidi iri")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    lines = [(i, s, n, x) for i, s, t in docs for n, x in enumerate(t.split("\n"), 1)]
+    want = set()
+    for form in {w.lower() for *_, x in lines for w in x.split()}:
+        own = {}
+        for i, s, n, x in lines:
+            if form in x.lower().split():
+                own.setdefault(s, []).append((i, n))
+        order = sorted((again, s in ("src0", "src1", "src2", "src3", "src4"), min(at), s, *x) for s, at in own.items() for again, x in enumerate(sorted(at)))
+        want |= {(form, turn, o[3], o[4], o[5]) for turn, o in enumerate(order[:5], 1)}
+    assert set(map(tuple, mining.round_robin_citations(spark, str(tmp_path)).collect())) == want
+    got = {r["word"]: r for r in mining.concordance_citations(spark, str(tmp_path)).collect()}
+    forms = {"la": ["la", "laj", "lan", "lajn"], "mi": ["mi", "mas", "mis", "mos", "mus", "mu"], "al": ["al"], "vidi": ["vidi", "vidas", "vidis", "vidita"], "iri": ["iri", "iras"]}
+    words = [w.lower() for *_, x in lines for w in x.split()]
+    assert {w: r["occurrences"] for w, r in got.items()} == {w: sum(words.count(f) for f in own) for w, own in forms.items()}
+    assert all(r["sources"] == 7 for r in got.values())
