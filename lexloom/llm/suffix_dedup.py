@@ -19,18 +19,16 @@ identifiers, never pairs of documents.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import documents, forget, saved, texts
 from .minhash import scramble
-from .text_blocks import KEY_ROWS, KEY_SCHEMA, copies, cut, drop_shuffles, is_known, key_parts, key_rows, known_keys, opened, parts, reduce_keys, text_blocks, with_blocks
+from .text_blocks import FIRST_ROWS, FIRST_SCHEMA, KEY_ROWS, KEY_SCHEMA, PART, RESULT_SCHEMA, Firsts, copied, copies, cut, first_rows, is_known, key_parts, key_rows, known_keys, of_kind, opened, parts, reduce_firsts, reduce_keys, results, side, text_blocks, with_blocks
 
+#: Columns of what blocks get back about firsts.
+FIRSTS = ("keys", "docs", "split")
 #: Bytes of the first bucket and of a match; a run has at most as many suffixes as a match has first buckets.
 GRAM, MATCH = 24, 50
 RUN = MATCH - GRAM + 1
@@ -86,99 +84,120 @@ def runs(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     return which, start - (ends - lengths)[which], size, least[start], key
 
 
-def suffix_keys(text: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both identifiers of the 50-byte buckets at the given suffixes."""
-    data = np.frombuffer(text, np.uint8)
-    out = []
-    for family in (0, 1):
-        x = _refined(_grams(data, family), family, 6, GRAM)
-        out.append(scramble(x[starts] * _MULS[family, 7] + x[starts + MATCH - 2 * GRAM]))
+def suffix_keys(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both identifiers of the 50-byte buckets at the given (rising) suffixes of a text, worked out piece by piece."""
+    out = np.empty((2, len(starts)), np.uint64)
+    i = 0
+    while i < len(starts):
+        lo = int(starts[i])
+        j = int(np.searchsorted(starts, lo + PART))
+        piece = data[lo : int(starts[j - 1]) + MATCH]
+        for family in (0, 1):
+            x = _refined(_grams(piece, family), family, 6, GRAM)
+            at = starts[i:j] - lo
+            out[family, i:j] = scramble(x[at] * _MULS[family, 7] + x[at + MATCH - 2 * GRAM])
+        i = j
     return out[0], out[1]
 
 
-def _block_runs(ids: list, lengths: np.ndarray, data: bytes, without: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``runs`` over a block, part by part, without the texts that have no id and those listed."""
-    known = np.array([x is not None for x in ids], bool)
-    known[without] = False
-    edges, found = np.concatenate([[0], np.cumsum(lengths)]), []
-    for i, j in parts(lengths):
-        part = runs(np.frombuffer(data, np.uint8, edges[j] - edges[i], edges[i]), lengths[i:j])
-        use = known[part[0] + i]
-        found.append([part[0][use] + i, *(x[use] for x in part[1:])])
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
-
-def _copied(right: pa.Table) -> np.ndarray:
-    """Rows of a block that are whole copies."""
-    return right.filter(pc.is_valid(right.column("row"))).column("row").to_numpy().astype(np.int64) if right.num_rows else np.zeros(0, np.int64)
+def _block_runs(row: dict, copies_: Firsts) -> tuple[np.ndarray, ...]:
+    """``runs`` over a block, piece by piece, with the document of each, without the texts that have no id and
+    whole copies of earlier ones. A run that a piece's end cuts becomes two, which changes no result: what is
+    first in a bucket that another document reaches is looked at suffix by suffix."""
+    ids, lengths, data = opened(row)
+    use = np.array([x is not None for x in ids], bool)
+    use[copied(row, copies_, MATCH)] = False
+    found = [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2]
+    for i, sizes, at, base in parts(lengths, MATCH - 1):
+        part = runs(np.frombuffer(data, np.uint8, sizes.sum(), at), sizes)
+        own = use[part[0] + i]
+        found.append([part[0][own] + i, part[1][own] + base, *(x[own] for x in part[2:])])
+    which, a, n, h, k = (np.concatenate(x) for x in zip(*found, strict=True))
+    return np.array([x or 0 for x in ids], np.int64)[which], which, a, n, h, k
 
 
 def _least(left: pa.Table, right: pa.Table, spread: int) -> pa.Table:
     """The least strings of a block's runs, copies left out."""
-    out = [KEY_ROWS.empty_table()]
+    out, known = [KEY_ROWS.empty_table()], Firsts(of_kind(right, 0, *FIRSTS))
     for row in left.to_pylist():
-        ids, lengths, data = opened(row)
-        which, _, _, h, _ = _block_runs(ids, lengths, data, _copied(right))
-        out.append(key_rows(row["block"], np.array([x or 0 for x in ids], np.int64)[which], h, spread))
+        doc, _, _, _, h, _ = _block_runs(row, known)
+        out.append(key_rows(row["block"], doc, h, spread))
     return pa.concat_tables(out)
 
 
-_RUN_ROWS = pa.schema([("h", pa.int64()), ("k", pa.int64()), ("doc", pa.int64()), ("block", pa.int64()), ("row", pa.int32()), ("a", pa.int64()), ("n", pa.int32())])
+def _run_firsts(left: pa.Table, right: pa.Table, spread: int) -> pa.Table:
+    """Runs of a block in shared buckets, each bucket and stretch of bytes once."""
+    out, known, shared = [FIRST_ROWS.empty_table()], Firsts(of_kind(right, 0, *FIRSTS)), known_keys(of_kind(right, 1, "h"))
+    for row in left.to_pylist() if len(shared) else []:
+        doc, _, _, _, h, k = _block_runs(row, known)
+        use = is_known(h, shared)
+        out.append(first_rows(row["block"], doc[use], h[use], k[use], spread))
+    return pa.concat_tables(out)
 
 
-def _open_runs(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Runs of a block in shared buckets."""
-    out = [_RUN_ROWS.empty_table()]
-    shared = right.filter(pc.is_valid(right.column("h"))) if right.num_rows else right
-    if shared.num_rows:
-        keep = known_keys(shared)
-        for row in left.to_pylist():
-            ids, lengths, data = opened(row)
-            which, a, n, h, k = _block_runs(ids, lengths, data, _copied(right))
-            use = is_known(h, keep)
-            doc = np.array([x or 0 for x in ids], np.int64)[which]
-            out.append(pa.table([h[use].view(np.int64), k[use].view(np.int64), doc[use], np.full(use.sum(), row["block"], np.int64), which[use], a[use], n[use].astype(np.int32)], schema=_RUN_ROWS))
-    return pa.concat_tables(out)
+_JUDGED = "block long, gone binary, open binary"
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    return np.stack([c.astype(np.int64) for c in columns], axis=1).tobytes()
+
 
+def _unpacked(blobs: list[bytes]) -> np.ndarray:
+    """Text index, first suffix and number of suffixes of runs."""
+    return np.frombuffer(b"".join(blobs), np.int64).reshape(-1, 3)
 
-_SUFFIX_ROWS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("doc", pa.int64()), ("block", pa.int64()), ("row", pa.int32()), ("a", pa.int64())])
-
-
-def _open_suffixes(left: pa.Table, right: pa.Table) -> Iterator[tuple]:
-    """For every text of a block with runs still open: block, row, doc, suffixes, both identifiers of their 50 bytes."""
-    runs_ = right.filter(pc.is_valid(right.column("row"))) if right.num_rows else right
-    asked = list(runs_.select(["row", "a", "n"]).to_pandas().groupby("row")) if runs_.num_rows else []
-    for row in left.to_pylist() if asked else []:
-        ids, lengths, data = opened(row)
-        edges = np.concatenate([[0], np.cumsum(lengths)])
-        for i, own in asked:
-            n = own["n"].to_numpy(np.int64)
-            starts = np.repeat(own["a"].to_numpy(np.int64) - np.cumsum(n) + n, n) + np.arange(n.sum())
-            yield (row["block"], int(i), ids[int(i)], starts, *suffix_keys(data[edges[int(i)] : edges[int(i) + 1]], starts))
-
-
-def _suffix_buckets(left: pa.Table, right: pa.Table, spread: int) -> pa.Table:
-    """The open suffixes' buckets, to learn which of them two documents reach."""
-    found = list(_open_suffixes(left, right))
-    if not found:
-        return KEY_ROWS.empty_table()
-    doc = np.concatenate([np.full(len(x[3]), x[2], np.int64) for x in found])
-    return key_rows(found[0][0], doc, np.concatenate([x[4] for x in found]), spread)
-
-
-def _suffixes(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The open suffixes of a block in shared buckets. The right side holds open runs, and rows of shared buckets."""
-    out = [_SUFFIX_ROWS.empty_table()]
-    shared = right.filter(pc.is_valid(right.column("h"))) if right.num_rows else right
-    if shared.num_rows:
-        known = known_keys(shared)
-        for block, i, doc, starts, k1, k2 in _open_suffixes(left, right):
-            use = is_known(k1, known)
-            n = int(use.sum())
-            out.append(pa.table([k1[use].view(np.int64), k2[use].view(np.int64), np.full(n, doc, np.int64), np.full(n, block, np.int64), np.full(n, i, np.int32), starts[use]], schema=_SUFFIX_ROWS))
+
+def _judged(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A block's runs that an earlier document has, and those that are first with their bytes while another document
+    is first with other bytes of the same bucket: these stay open."""
+    out, known, firsts = [], Firsts(of_kind(right, 0, *FIRSTS)), Firsts(of_kind(right, 2, *FIRSTS))
+    for row in left.to_pylist() if len(firsts.docs) else []:
+        doc, which, a, n, h, k = _block_runs(row, known)
+        first, split = firsts.of(h, k)
+        gone, open_ = first < doc, (first == doc) & split
+        if gone.any() or open_.any():
+            out.append((row["block"], _packed(which[gone], a[gone], n[gone]), _packed(which[open_], a[open_], n[open_])))
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 3, (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "gone", "open"])
+
+
+def _open_suffixes(row: dict, open_: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the open runs' suffixes: document, text index, begin and both identifiers of their 50 bytes."""
+    ids, lengths, data = opened(row)
+    edges, found = np.concatenate([[0], np.cumsum(lengths)]), [[np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2]
+    open_ = open_[np.lexsort((open_[:, 1], open_[:, 0]))]
+    whole = np.frombuffer(data, np.uint8)
+    for i in np.unique(open_[:, 0]).tolist():
+        a, n = open_[open_[:, 0] == i, 1:].T
+        starts = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+        same = np.full(len(starts), i)
+        found.append([np.full(len(starts), ids[i]), same, starts, *suffix_keys(whole[edges[i] : edges[i + 1]], starts)])
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _suffix_firsts(left: pa.Table, right: pa.Table, spread: int) -> pa.Table:
+    """The open suffixes' buckets of a block, each once."""
+    out, open_ = [FIRST_ROWS.empty_table()], _unpacked(of_kind(right, 3, "open").column("open").to_pylist())
+    for row in left.to_pylist() if len(open_) else []:
+        doc, _, _, k1, k2 = _open_suffixes(row, open_)
+        out.append(first_rows(row["block"], doc, k1, k2, spread))
     return pa.concat_tables(out)
 
 
+def _without_repeats(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A block's documents without whole copies, repeated runs and repeated single suffixes."""
+    known, firsts = Firsts(of_kind(right, 0, *FIRSTS)), Firsts(of_kind(right, 2, *FIRSTS))
+    judged = of_kind(right, 3, "open", "gone")
+    gone, open_ = (_unpacked(judged.column(c).to_pylist()) for c in ("gone", "open"))
+    out = []
+    for row in left.to_pylist():
+        whole = copied(row, known, MATCH)
+        doc, which, a, k1, k2 = _open_suffixes(row, open_)
+        late = firsts.of(k1, k2)[0] < doc
+        ranges = [(whole, np.zeros(len(whole), np.int64), np.array(row["lengths"], np.int64)[whole]), (gone[:, 0], gone[:, 1], gone[:, 1] + gone[:, 2] + MATCH - 1), (which[late], a[late], a[late] + MATCH)]
+        out += cut(row, *(np.concatenate(x) for x in zip(*ranges, strict=True)))
+    return results(out)
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans: one row a row of ``docs``.
 
@@ -186,40 +205,21 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     with a smaller doc_id; spans are the maximal removed ranges of UTF-8 bytes. Strings
     are judged on the input and never cross documents. Null texts count as empty, texts
     under 50 bytes lose nothing, rows without a doc_id lose nothing and take nothing,
-    rows that repeat a doc_id take nothing from each other. An empty table gives no rows.
+    rows that repeat a doc_id take nothing from each other. Texts of any length are worked
+    on in pieces that overlap by 49 bytes. An empty table gives no rows.
     """
     held = saved(text_blocks(texts(docs, id_col, text_col)), "suffix-blocks", "uncompressed")
     spread = key_parts(held)
     # A whole copy of an earlier document loses all and gives nothing that the earlier one doesn't.
-    copied = copies(held, MATCH)
-    shared = reduce_keys(with_blocks(held, copied, lambda left, right: _least(left, right, spread), KEY_SCHEMA), "suffix-shared")
-    drop_shuffles(held)
-    known = copied.select("block", "row", F.lit(None).cast("binary").alias("h")).unionByName(shared, allowMissingColumns=True)
-    found = saved(with_blocks(held, known, _open_runs, "h long, k long, doc long, block long, row int, a long, n int"), "suffix-runs")
-    drop_shuffles(held)
+    whole = copies(held, MATCH, spread)
+    copies_ = side(whole, 0, *FIRSTS)
+    shared = reduce_keys(with_blocks(held, copies_, lambda left, right: _least(left, right, spread), KEY_SCHEMA), "suffix-shared")
+    firsts = reduce_firsts(with_blocks(held, copies_.unionByName(side(shared, 1, "h")), lambda left, right: _run_firsts(left, right, spread), FIRST_SCHEMA), "suffix-runs")
     forget(shared)
-    firsts = found.groupBy("h", "k").agg(F.min("doc").alias("f"))
-    judged = saved(found.join(firsts, ["h", "k"]).select("h", "block", "row", "doc", "a", "n", (F.col("doc") > F.col("f")).alias("again")), "suffix-judged")
-    drop_shuffles(held)
-    forget(found)
-    # Runs that are first with their bytes stay open where another document is first with other bytes of the same bucket.
-    first_runs = judged.where("NOT again")
-    reached = first_runs.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h")
-    left_open = saved(first_runs.join(reached, "h").select("block", "row", "a", "n"), "suffix-open")
-    drop_shuffles(held)
-    buckets = with_blocks(held, left_open, lambda left, right: _suffix_buckets(left, right, spread), KEY_SCHEMA)
-    twice = reduce_keys(buckets, "suffix-twice")
-    drop_shuffles(held)
-    side = left_open.select("*", F.lit(None).cast("binary").alias("h")).unionByName(twice, allowMissingColumns=True)
-    single = saved(with_blocks(held, side, _suffixes, "k1 long, k2 long, doc long, block long, row int, a long"), "suffix-single")
-    drop_shuffles(held)
-    forget(twice, left_open)
-    first = single.groupBy("k1", "k2").agg(F.min("doc").alias("f"))
-    late = single.join(first, ["k1", "k2"]).where("doc > f")
-    gone = judged.where("again").select("block", "row", "a", (F.col("a") + F.col("n") + (MATCH - 1)).alias("z"))
-    gone = gone.unionByName(late.select("block", "row", "a", (F.col("a") + MATCH).alias("z")))
-    gone = gone.unionByName(copied.select("block", "row", F.lit(0).cast("long").alias("a"), "z"))
-    return with_blocks(held, gone, lambda left, right: cut(left, right), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")
+    judged = saved(with_blocks(held, copies_.unionByName(side(firsts, 2, *FIRSTS)), _judged, _JUDGED), "suffix-judged")
+    forget(firsts)
+    single = reduce_firsts(with_blocks(held, side(judged, 3, "open"), lambda left, right: _suffix_firsts(left, right, spread), FIRST_SCHEMA), "suffix-single")
+    return with_blocks(held, copies_.unionByName(side(single, 2, *FIRSTS)).unionByName(side(judged, 3, "open", "gone")), _without_repeats, RESULT_SCHEMA)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
