@@ -1,7 +1,7 @@
 """Language model: the constants that the text and morphology operators are run with.
 
-Every operator takes a model, so another language is another ``LanguageModel``. The
-default describes Esperanto.
+Every operator takes a model, so another language is another ``LanguageModel``; what
+follows are the values of the default model.
 """
 
 from __future__ import annotations

@@ -11,22 +11,51 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.model import DEFAULT, LanguageModel
+from ..sources.steps import spread
 
 
 def token_rows(docs: DataFrame, model: LanguageModel = DEFAULT, source: str = "source", text: str = "text", by_line: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
-    """source, (line, line_text,) pos, token, form. Lines and positions count from 1 and 0."""
+    """source, (line, line_chars,) pos, token, form, and the columns ``keep``. Lines and positions count from 1 and 0. Small
+    tables are dealt over all cores first; the lines themselves stay behind, and ``with_lines`` brings back the few that are wanted."""
+    narrow = spread(docs.select(*keep, F.col(source).alias("source"), F.col(text).alias("text")))
     if by_line:
-        base = docs.select(*keep, F.col(source).alias("source"), F.posexplode(T.lines(F.col(text))).alias("line", "line_text")).withColumn("line", F.col("line") + 1)
-        cells = base.select(*keep, "source", "line", "line_text", F.posexplode(T.tokens(F.col("line_text"), model)).alias("pos", "token"))
+        base = narrow.select(*keep, "source", F.posexplode(T.lines(F.col("text"))).alias("line", "line_text"))
+        cells = base.select(*keep, "source", (F.col("line") + 1).alias("line"), F.length(F.trim("line_text")).alias("line_chars"), F.posexplode(T.tokens(F.col("line_text"), model)).alias("pos", "token"))
     else:
-        cells = docs.select(*keep, F.col(source).alias("source"), F.posexplode(T.tokens(F.col(text), model)).alias("pos", "token"))
+        cells = narrow.select(*keep, "source", F.posexplode(T.tokens(F.col("text"), model)).alias("pos", "token"))
     return cells.withColumn("form", F.lower("token"))
 
 
+def line_rows(docs: DataFrame, source: str = "source", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """source, line (from 1), line_text, and the columns ``keep``."""
+    narrow = spread(docs.select(*keep, F.col(source).alias("source"), F.col(text).alias("text")))
+    return narrow.select(*keep, "source", F.posexplode(T.lines(F.col("text"))).alias("line", "line_text")).withColumn("line", F.col("line") + 1)
+
+
+def with_lines(places: DataFrame, lines: DataFrame) -> DataFrame:
+    """Places with their lines' text; all columns of ``lines`` but the text say which line that is (source, line,
+    and a document's id where a source has several). A line that comes twice counts once."""
+    at = [c for c in lines.columns if c != "line_text"]
+    wanted = lines.join(places.select(*at).distinct(), at, "left_semi")
+    return places.join(wanted.groupBy(*at).agg(F.min("line_text").alias("line_text")), at)
+
+
+def counted(tokens: DataFrame) -> DataFrame:
+    """token, form, source, n: one row a spelling and source. What a corpus is asked for by word alone starts here:
+    a word that every line holds is one row a source."""
+    return tokens.groupBy("token", "form", "source").agg(F.count("*").alias("n"))
+
+
+def is_capital(token: Column) -> Column:
+    first = F.substring(token, 1, 1)
+    return first != F.lower(first)
+
+
 def attestation(tokens: DataFrame, encyclopedia: Column, by: str = "form") -> DataFrame:
     """Occurrences and distinct sources of each form, sources split by register. One partial
-    aggregate by (form, source), then one by form: no distinct expansion."""
-    per_source = tokens.groupBy(by, "source").agg(F.count("*").alias("n"), F.max(encyclopedia).alias("wp"))
+    aggregate by (form, source), then one by form: no distinct expansion. Rows with a count ``n`` stand for so many tokens."""
+    times = F.sum("n") if "n" in tokens.columns else F.count("*")
+    per_source = tokens.groupBy(by, "source").agg(times.alias("n"), F.max(encyclopedia).alias("wp"))
     return per_source.groupBy(by).agg(F.sum("n").alias("occurrences"), F.count("*").alias("sources"), F.count_if(~F.col("wp")).alias("sources_lit"), F.count_if("wp").alias("sources_wiki"))
 
 
@@ -41,31 +70,47 @@ def refine_kind(tokens: DataFrame, lemma: str = "lemma", kind: str = "kind", fra
     """What the analysis says, refined: a derivation keeps its own citation form, an unknown word its
     citation form or, capitalised, its surface."""
     low, cited = F.col("form"), T.citation_form(F.col("token"))
-    capital = F.substring("token", 1, 1) != F.lower(F.substring("token", 1, 1))
+    capital = is_capital(F.col("token"))
     derived = (F.col(kind) == "known") & (F.col(lemma) != low) & (T.strip_ending(low) != F.col(lemma))
     unknown = F.col(kind) == "unknown"
     broken = fragment if fragment is not None else F.lit(False)
     return tokens.withColumns({"lemma": F.when(derived | (unknown & ~capital), cited).when(unknown, low).otherwise(F.col(lemma)), "kind": F.when(derived, "derived").when(unknown & broken, "fragment").otherwise(F.col(kind)), "capital": capital})
 
 
-def mine(tokens: DataFrame, min_count: int = 1, citations: int = 3) -> DataFrame:
-    """Lemma records from refined tokens (lemma, kind, token, form, capital, source, line, pos, line_text)."""
-    ord_ = F.struct("source", "line", "pos")
-    base = tokens.where(~F.col("kind").isin("grammatical", "correlative") & T.minable(F.col("form")))
-    forms = base.groupBy("lemma", "form").agg(F.count("*").alias("n"))
+def mine(cells: DataFrame, places: DataFrame, lines: DataFrame, min_count: int = 1, citations: int = 3) -> DataFrame:
+    """Lemma records. ``cells``: refined counts (token, form, source, n, lemma, kind, capital); ``places``: the first
+    ``citations`` places of every token (token, rank, source, line, pos); ``lines``: (source, line, line_text).
+
+    A lemma's first places are among those of its tokens, so only these meet the analysis, and
+    only the places that are left meet their lines."""
+    base = cells.where(~F.col("kind").isin("grammatical", "correlative") & T.minable(F.col("form")))
+    forms = base.groupBy("lemma", "form").agg(F.sum("n").alias("n"))
     maps = forms.groupBy("lemma").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("form", "n")))).alias("forms"))
-    sources = base.groupBy("lemma", "source").agg(F.count("*").alias("n"), F.count_if("capital").alias("caps"), F.min(F.struct(ord_.alias("o"), "kind", T.guess_pos(F.col("token")).alias("pos_guess"))).alias("f"))
-    totals = sources.groupBy("lemma").agg(F.sum("n").alias("count"), F.sum("caps").alias("caps"), F.min("f").alias("f"), F.sort_array(F.collect_list("source")).alias("files"))
-    cites = first_citations(base, citations).groupBy("lemma").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "source", "line", "text"))), lambda c: F.struct(c["source"].alias("source"), c["line"].alias("line"), c["text"].alias("text"))).alias("citations"))
-    found = totals.join(maps, "lemma").join(cites, "lemma").withColumn("lower", F.col("count") - F.col("caps")).where(F.col("count") >= min_count)
-    return found.select("lemma", name_rule(F.col("f.kind"), F.col("lower")).alias("kind"), "count", "f.pos_guess", "forms", "citations", "caps", "lower", "files")
+    sources = base.groupBy("lemma", "source").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("capital"), F.col("n")).otherwise(0)).alias("caps"))
+    totals = sources.groupBy("lemma").agg(F.sum("n").alias("count"), F.sum("caps").alias("caps"), F.sort_array(F.collect_list("source")).alias("files"))
+    kinds = base.groupBy("token").agg(F.first("lemma").alias("lemma"), F.first("kind").alias("kind"))
+    met = places.join(kinds, "token").withColumn("ord", F.struct("source", "line", "pos"))
+    first = met.groupBy("lemma").agg(F.min_by(F.struct("kind", T.guess_pos(F.col("token")).alias("pos_guess")), "ord").alias("f"))
+    ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("lemma").orderBy("ord"))).where(F.col("rank") <= citations)
+    shown = with_lines(ranked.select("lemma", "rank", "source", "line", "token"), lines).select("lemma", "rank", "source", "line", T.snippet(F.col("line_text"), F.col("token")).alias("text"))
+    cites = shown.groupBy("lemma").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "source", "line", "text"))), lambda c: F.struct(c["source"].alias("source"), c["line"].alias("line"), c["text"].alias("text"))).alias("citations"))
+    found = totals.join(maps, "lemma").join(first, "lemma").join(cites, "lemma", "left").withColumn("lower", F.col("count") - F.col("caps")).where(F.col("count") >= min_count)
+    none = F.expr("cast(array() as array<struct<source: string, line: bigint, text: string>>)")
+    return found.select("lemma", name_rule(F.col("f.kind"), F.col("lower")).alias("kind"), "count", "f.pos_guess", "forms", F.coalesce(F.col("citations").cast("array<struct<source: string, line: bigint, text: string>>"), none).alias("citations"), "caps", "lower", "files")
+
+
+def first_places(tokens: DataFrame, k: int, key: str = "token") -> DataFrame:
+    """key, rank, source, line, pos, token: the first k places of each key. Spark keeps k a task before the shuffle."""
+    w = Window.partitionBy(key).orderBy("source", "line", "pos")
+    own = [key] if key == "token" else [key, "token"]
+    return tokens.select(*own, "source", "line", "pos").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def first_citations(tokens: DataFrame, k: int, key: str = "lemma") -> DataFrame:
-    """key, rank, source, line, text: the first k occurrences. Spark keeps k a task before the shuffle."""
-    w = Window.partitionBy(key).orderBy("source", "line", "pos")
-    ranked = tokens.select(key, "source", "line", "pos", "token", "line_text").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select(key, "rank", "source", "line", T.snippet(F.col("line_text"), F.col("token")).alias("text"))
+def first_citations(tokens: DataFrame, lines: DataFrame, k: int, key: str = "lemma") -> DataFrame:
+    """key, rank, source, line, text: the first k occurrences, ranked by their places alone; the text is joined to
+    those that are left."""
+    found = with_lines(first_places(tokens, k, key), lines)
+    return found.select(key, "rank", "source", "line", T.snippet(F.col("line_text"), F.col("token")).alias("text"))
 
 
 def name_rule(kind: Column, lower: Column) -> Column:
@@ -120,14 +165,17 @@ def noise_floor(records: DataFrame, least: int) -> DataFrame:
     return records.where((F.col("count") >= least) | (F.coalesce("verdict", F.lit("")) != ""))
 
 
-def concordance(tokens: DataFrame, forms: DataFrame, limit: int = 5, keep: int = 3, shortest: int = 35, longest: int = 180) -> DataFrame:
+def concordance(tokens: DataFrame, forms: DataFrame, lines: DataFrame, limit: int = 5, keep: int = 3, shortest: int = 35, longest: int = 180) -> DataFrame:
     """Counts and citations of headwords through one index of inflected forms (word, form): at
-    most one citation a source, by source priority. ``forms`` is joined by hash; Spark
-    broadcasts it where it is small."""
-    hits = tokens.join(forms, "form")
-    counts = attestation(hits, T.is_encyclopedia(F.col("source")), "word")
-    good = hits.where(F.length(F.trim("line_text")).between(shortest, longest)).withColumn("priority", T.source_priority(F.col("source")))
-    once = good.groupBy("word", "source", "priority").agg(F.min(F.struct("line", "pos", F.trim("line_text").alias("text"))).alias("f"))
+    most one citation a source, by source priority, on a line of fitting length. ``forms`` is joined
+    by hash; Spark broadcasts it where it is small. Tokens are reduced to counts, and to a form's
+    first place in each source, before they meet their headwords."""
+    counts = attestation(counted(tokens).join(forms, "form"), T.is_encyclopedia(F.col("source")), "word")
+    place = F.struct("line", "pos", *(c for c in lines.columns if c not in ("source", "line", "line_text")))
+    fitting = tokens.where(F.col("line_chars").between(shortest, longest)).join(forms.select("form").distinct(), "form", "left_semi")
+    places = fitting.groupBy("form", "source").agg(F.min(place).alias("f"))
+    once = places.join(forms, "form").groupBy("word", "source").agg(F.min("f").alias("f")).withColumn("priority", T.source_priority(F.col("source")))
     ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("word").orderBy("priority", "source"))).where(F.col("rank") <= min(limit, keep))
-    cites = ranked.groupBy("word").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "source", F.col("f.text").alias("text")))), lambda c: F.struct(c["source"].alias("source"), c["text"].alias("text"))).alias("citations"))
+    shown = with_lines(ranked.select("word", "rank", "source", "f.*"), lines)
+    cites = shown.groupBy("word").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "source", F.trim("line_text").alias("text")))), lambda c: F.struct(c["source"].alias("source"), c["text"].alias("text"))).alias("citations"))
     return counts.join(cites, "word", "left")

@@ -15,18 +15,27 @@ from ..functions import text as T
 from ..functions.model import DEFAULT, LanguageModel
 from ..operators import curation as C
 from ..operators import mining as N
+from ..sources.steps import saved
 
 
-def mined(docs: DataFrame, entries: DataFrame, min_count: int = 1, citations: int = 3, model: LanguageModel = DEFAULT, without: DataFrame | None = None) -> DataFrame:
-    """Lemma records of a corpus (source, text) against a dictionary (word, root, stem). ``without`` (source): sources left out."""
+def roots_of(entries: DataFrame) -> DataFrame:
+    return entries.select(F.explode(F.array_compact(F.array("root", "stem"))).alias("r"))
+
+
+def mined(docs: DataFrame, entries: DataFrame, min_count: int = 1, citations: int = 3, model: LanguageModel = DEFAULT, without: DataFrame | None = None, most_sources: int | None = None) -> DataFrame:
+    """Lemma records of a corpus (source, text) against a dictionary (word, root, stem). ``without`` (source): sources
+    left out; ``most_sources``: only so many sources, the first by name, for a trial run.
+
+    Tokens are counted by spelling and source, and their first places found, once each; all else works
+    on these two tables."""
     if without is not None:
         docs = docs.join(without.select("source"), "source", "left_anti")
-    words = M.vocabulary(entries, "word")
-    roots = M.vocabulary(entries.select(F.explode(F.array_compact(F.array("root", "stem"))).alias("r")), "r")
+    if most_sources is not None:
+        docs = docs.join(docs.select("source").distinct().orderBy("source").limit(most_sources), "source", "left_semi")
     tokens = N.token_rows(docs, model, by_line=True)
-    analysed = M.on_distinct_forms(tokens, "form", lambda x: M.analyse(x, roots, words, model), "struct<lemma: string, kind: string>", "a")
-    refined = N.refine_kind(analysed.where("a.lemma IS NOT NULL").select("source", "line", "line_text", "pos", "token", "form", "a.lemma", "a.kind"))
-    return N.mine(refined, min_count, citations)
+    cells, places = saved(N.counted(tokens), "token-counts"), saved(N.first_places(tokens, citations), "token-places")
+    forms = M.analysed(cells.select("form"), entries.select("word"), roots_of(entries), model).where("lemma IS NOT NULL")
+    return N.mine(saved(N.refine_kind(cells.join(forms, "form")), "token-kinds"), places, N.line_rows(docs), min_count, citations)
 
 
 def review_queue(records: DataFrame, entries: DataFrame, ledger: DataFrame, english: DataFrame, bars: C.Bars = C.Bars(), model: LanguageModel = DEFAULT) -> DataFrame:
@@ -34,9 +43,8 @@ def review_queue(records: DataFrame, entries: DataFrame, ledger: DataFrame, engl
     wp = F.size(F.filter("files", lambda s: T.is_encyclopedia(s))).cast("long")
     known = C.replay(records.drop("verdict", "gloss") if "verdict" in records.columns else records, ledger)
     candidates = known.select("lemma", "kind", "count", "lower", "verdict", "forms", (F.size("files") - wp).alias("other"), wp.alias("wp"))
-    roots = M.vocabulary(entries.select(F.explode(F.array_compact(F.array("root", "stem"))).alias("r")), "r")
-    stems = candidates.select(F.regexp_extract("lemma", "^(.+?)(a|i|o)n?t(a|e)$", 1).alias("stem")).where("stem != ''").distinct()
-    verbs = M.on_distinct_forms(stems, "stem", lambda s: M.peel(s, roots, model) is not None, "boolean", "known").where("known").select("stem")
+    stems = candidates.select(F.regexp_extract("lemma", "^(.+?)(a|i|o)n?t(a|e)$", 1).alias("stem")).where("stem != ''")
+    verbs = M.first_reading(stems, lambda x, longest: M.peel_ways(x, longest, model), M.dictionary(None, roots_of(entries)), "string").where("value IS NOT NULL").select(F.col("form").alias("stem"))
     return C.gap_buckets(candidates, entries.select(F.lower("word").alias("word")), english, verbs, bars)
 
 

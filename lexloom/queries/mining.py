@@ -8,6 +8,7 @@ from ..functions import morphology as M
 from ..functions import text as T
 from ..operators import curation as C
 from ..operators import mining as O
+from ..sources.steps import saved
 from .common import SQL_CITE, SQL_LINES, SQL_POS, SQL_STRIP, SQL_TOKENS, SQL_VOCAB, SQL_WIKI, LETTERS, table, wiki
 
 _PATTERN = LETTERS.replace("'", "''")
@@ -27,14 +28,14 @@ def token_attestation(spark, d):
 
 def token_forms_map_counts(spark, d):
     """Surface forms of each stem, as the map's entries."""
-    stems = _tokens(spark, d).select(T.strip_ending(F.col("form")).alias("stem"), "form")
-    forms = stems.groupBy("stem", "form").agg(F.count("*").alias("n"))
+    forms = _tokens(spark, d).groupBy("form").agg(F.count("*").alias("n")).withColumn("stem", T.strip_ending(F.col("form")))
     maps = forms.groupBy("stem").agg(F.map_from_entries(F.collect_list(F.struct("form", "n"))).alias("forms"))
     return maps.select("stem", F.size("forms").cast("long").alias("n_forms"), F.explode("forms").alias("form", "n"))
 
 
 def ending_strip_pos(spark, d):
-    return _tokens(spark, d).select(T.strip_ending(F.col("form")).alias("stem"), T.guess_pos(F.col("form")).alias("pos")).groupBy("stem", "pos").agg(F.count("*").alias("n"))
+    forms = _tokens(spark, d).groupBy("form").agg(F.count("*").alias("n"))
+    return forms.groupBy(T.strip_ending(F.col("form")).alias("stem"), T.guess_pos(F.col("form")).alias("pos")).agg(F.sum("n").alias("n"))
 
 
 def citation_form_groups(spark, d):
@@ -44,8 +45,10 @@ def citation_form_groups(spark, d):
 
 def first_k_citations(spark, d):
     """The first two lines of each form, in the order of document, line and position."""
-    rows = _tokens(spark, d, True).select("form", F.col("doc_id").alias("source"), "line", "pos", "token", "line_text")
-    return O.first_citations(rows, 2, "form").select("form", "rank", F.col("source").alias("doc_id"), "line", "text")
+    docs = table(spark, d, "documents")
+    tokens = O.token_rows(docs, source="doc_id", by_line=True)
+    found = O.first_citations(tokens, O.line_rows(docs, source="doc_id"), 2, "form")
+    return found.select("form", "rank", F.col("source").alias("doc_id"), "line", "text")
 
 
 def round_robin_citations(spark, d):
@@ -60,15 +63,20 @@ def concordance_citations(spark, d):
     heads = _vocabulary(spark, d).withColumn("pos", T.guess_pos(F.col("form")))
     forms = heads.select(F.col("form").alias("word"), F.explode(F.array_distinct(T.inflected(F.col("form"), F.col("pos"), True))).alias("form"))
     tokens = _tokens(spark, d, True)
-    found = O.concordance(tokens, forms)
+    found = O.concordance(tokens, forms, O.line_rows(table(spark, d, "documents"), keep=("doc_id",)))
     return found.select("word", "occurrences", "sources", F.coalesce(F.array_join(F.transform("citations", lambda c: c["source"]), ","), F.lit("")).alias("cited"))
 
 
+def _counts(spark, d):
+    """form, source, n, caps: all that the candidate queries ask of the texts, counted once and written."""
+    rows = _tokens(spark, d).groupBy("form", "source").agg(F.count("*").alias("n"), F.count_if(O.is_capital(F.col("token"))).alias("caps"))
+    return saved(rows, "form-counts")
+
+
 def _records(spark, d):
     """Partials by source: a shard's view of each form."""
-    rows = _tokens(spark, d).withColumn("capital", F.substring("token", 1, 1) != F.lower(F.substring("token", 1, 1)))
     known = _vocabulary(spark, d).withColumn("known", F.lit(True))
-    part = rows.groupBy("form", "source").agg(F.count("*").alias("count"), F.count_if("capital").alias("caps")).join(known, "form", "left")
+    part = _counts(spark, d).withColumnRenamed("n", "count").join(known, "form", "left")
     kind = O.name_rule(F.when(F.col("known"), "known").otherwise("unknown"), F.col("count") - F.col("caps"))
     return part.select(F.col("form").alias("lemma"), F.col("source").alias("shard"), kind.alias("kind"), "count", (F.col("count") - F.col("caps")).alias("lower"), T.guess_pos(F.col("form")).alias("pos_guess"), F.create_map("form", F.col("count")).alias("forms"), F.array("source").alias("files"), F.expr("cast(array() as array<struct<source: string, line: bigint, text: string>>)").alias("citations"), F.lit(None).cast("string").alias("verdict"), F.lit(None).cast("string").alias("gloss"), F.lit(None).cast("string").alias("note"))
 
@@ -83,16 +91,17 @@ def noise_floor(spark, d):
 
 
 def name_rule(spark, d):
-    rows = _tokens(spark, d).withColumn("capital", F.substring("token", 1, 1) != F.lower(F.substring("token", 1, 1)))
-    counts = rows.groupBy("form").agg(F.count("*").alias("n"), F.count_if("capital").alias("caps"))
+    counts = _tokens(spark, d).groupBy("form").agg(F.count("*").alias("n"), F.count_if(O.is_capital(F.col("token"))).alias("caps"))
     return counts.select("form", "n", "caps", O.name_rule(F.lit("unknown"), F.col("n") - F.col("caps")).alias("kind"))
 
 
 def _buckets(spark, d):
-    known = _vocabulary(spark, d)
-    att = O.attestation(_tokens(spark, d), wiki())
-    names = name_rule(spark, d).select("form", F.col("kind"), (F.col("n") - F.col("caps")).alias("lower"))
-    cands = att.join(names, "form").select(F.col("form").alias("lemma"), "kind", F.col("occurrences").alias("count"), "lower", F.lit(None).cast("string").alias("verdict"), F.create_map("form", F.col("occurrences")).alias("forms"), F.col("sources_lit").alias("other"), F.col("sources_wiki").alias("wp"))
+    known, counts = saved(_vocabulary(spark, d), "vocabulary"), _counts(spark, d)
+    att = O.attestation(counts, wiki())
+    caps = counts.groupBy("form").agg(F.sum("caps").alias("caps"))
+    lower = F.col("occurrences") - F.col("caps")
+    cands = att.join(caps, "form").select(F.col("form").alias("lemma"), O.name_rule(F.lit("unknown"), lower).alias("kind"), F.col("occurrences").alias("count"), lower.alias("lower"), F.lit(None).cast("string").alias("verdict"), F.create_map("form", F.col("occurrences")).alias("forms"), F.col("sources_lit").alias("other"), F.col("sources_wiki").alias("wp"))
+    cands = saved(cands, "candidates")
     english = C.english_words(table(spark, d, "part"), "p_name")
     stems = cands.select(F.regexp_extract("lemma", "^(.+?)(a|i|o)n?t(a|e)$", 1).alias("stem")).join(known.select(F.col("form").alias("stem")), "stem", "left_semi")
     return C.gap_buckets(cands, known.withColumnRenamed("form", "word"), english, stems)
@@ -137,34 +146,37 @@ def recognised_score(spark, d):
     """As ``text_score``, by the scorer's own morphology over distinct forms."""
     from ..operators.corpus import text_score as score
 
-    roots = M.vocabulary(_vocabulary(spark, d), "form")
-    forms = _tokens(spark, d).groupBy("source", "form").agg(F.count("*").alias("n"))
-    known = M.on_distinct_forms(forms.select("form").distinct(), "form", lambda x: M.recognised(x, roots, roots), "boolean", "k").where("k").select("form")
+    words = _vocabulary(spark, d)
+    forms = saved(_tokens(spark, d).groupBy("source", "form").agg(F.count("*").alias("n")), "form-counts")
+    known = M.first_reading(forms.select("form"), M.scorer_ways, M.dictionary(words, words), "boolean", False).where("value").select("form")
     return score(forms, known)
 
 
 def peel_exists(spark, d):
     """Whether affixes lead from a form to a word of the benchmark, and to which."""
-    roots = M.vocabulary(_vocabulary(spark, d).where("length(form) >= 2"), "form")
-    return M.on_distinct_forms(_tokens(spark, d).select("form").distinct(), "form", lambda x: M.peel(x, roots), "string", "root")
+    roots = _vocabulary(spark, d).where("length(form) >= 2")
+    found = M.first_reading(_tokens(spark, d).select("form"), M.peel_ways, M.dictionary(None, roots), "string")
+    return found.select("form", F.col("value").alias("root"))
 
 
 def best_segmentation(spark, d):
-    stock = dict.fromkeys(M.vocabulary(_vocabulary(spark, d).where("length(form) >= 2"), "form"), (0, 0))
+    stock = dict.fromkeys((r["s"] for r in M.dictionary(None, _vocabulary(spark, d).where("length(form) >= 2")).collect()), (0, 0))
     shape = lambda x: (lambda s: None if s is None else "+".join((*s[0], s[1].upper(), *s[2])))(M.segment(x, stock))
     return M.on_distinct_forms(_tokens(spark, d).select("form").distinct(), "form", shape, "string", "split").where("split IS NOT NULL")
 
 
 def compound_split(spark, d):
-    stock = M.vocabulary(_vocabulary(spark, d).where("length(form) >= 3"), "form")
-    return M.on_distinct_forms(_tokens(spark, d).select("form").distinct(), "form", lambda x: M.is_compound(x, stock), "boolean", "compound")
+    stock = _vocabulary(spark, d).where("length(form) >= 3")
+    found = M.first_reading(_tokens(spark, d).select("form"), M.compound_ways, M.dictionary(None, stock), "boolean", False)
+    return found.select("form", F.col("value").alias("compound"))
 
 
 def analysed_kinds(spark, d):
     """Tokens by the kind that the analysis and its refinement give."""
-    words = M.vocabulary(_vocabulary(spark, d), "form")
-    rows = M.on_distinct_forms(_tokens(spark, d), "form", lambda x: M.analyse(x, words, words), "struct<lemma: string, kind: string>", "a")
-    return O.refine_kind(rows.select("source", "token", "form", "a.lemma", "a.kind")).groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("lemma").alias("lemmas"))
+    words = _vocabulary(spark, d)
+    cells = saved(O.counted(_tokens(spark, d)), "token-counts")
+    rows = cells.join(M.analysed(cells.select("form"), words, words), "form")
+    return O.refine_kind(rows).groupBy("kind").agg(F.sum("n").alias("n"), F.count_distinct("lemma").alias("lemmas"))
 
 
 _CAP = "substr(token, 1, 1) <> lower(substr(token, 1, 1))"

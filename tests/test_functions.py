@@ -85,7 +85,7 @@ def test_analyse():
 
 
 def test_inflected_participles(spark):
-    """The forms that the surveyed concordance counts, tools/mine_concordance.py:31-56."""
+    """The forms that a concordance counts: six of the verb and nine participles."""
     got = one(spark, T.inflected(F.col("w"), F.col("p"), True), w="vidi", p="verb")
     assert got[:6] == ["vidi", "vidas", "vidis", "vidos", "vidus", "vidu"]
     assert sorted(got[6:]) == sorted(["vidante", "vidinte", "vidonte", "vidata", "vidita", "vidota", "vidanta", "vidinta", "vidonta"])
