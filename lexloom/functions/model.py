@@ -9,29 +9,25 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
-def _words(text: str) -> tuple[str, ...]:
-    return tuple(text.split())
-
-
 # Fixed values of the default model.
 ALPHABET = "abcĉdefgĝhĥijĵklmnoprsŝtuŭvz"
-ENDINGS = _words("ajn ojn aj oj an on en as is os us a o e i u n j")
-PARTICIPLES = _words("ant int ont at it ot")
-PREFIXES = _words("mal ne ge bo ek el re dis for pra eks mis fi retro")
-PREPOSITION_PREFIXES = _words("al antaŭ apud ĉe ĉirkaŭ de ekster en inter kontraŭ kun post preter pri sen sub super sur tra trans pli supren malsupren")
-SUFFIXES = _words("estr ebl ind em ec aĵ ist an ul in id ig iĝ uj op obl on eg et ar er ej ad aĉ ĉj nj um end ism il")
-RARE_PREFIXES = _words("fi bo eks mis pra retro")
-CLOSED_CLASS = _words(
-    "la kaj aŭ ke ĉu se ĉar ol nek do sed ne jes ja ankaŭ eĉ nur jam ankoraŭ plu tre tro pli plej tuj nun hodiaŭ hieraŭ morgaŭ baldaŭ "
-    "mi vi li ŝi ĝi ni ili si oni ci al apud ĉe ĉirkaŭ da de dum el en ekster ĝis inter je kontraŭ krom kun per po por post preter pri pro "
-    "sen sub super sur tra trans anstataŭ antaŭ malgraŭ kvazaŭ laŭ pere unu du tri kvar kvin ses sep ok naŭ dek cent mil nulo"
-)
-NON_DERIVING = _words("kaj aŭ ke ĉu se ĉar ol nek do sed jes ja ankaŭ eĉ nur")
+ENDINGS = ("ajn", "ojn", "aj", "oj", "an", "on", "en", "as", "is", "os", "us", "a", "o", "e", "i", "u", "n", "j",)
+PARTICIPLES = ("ant", "int", "ont", "at", "it", "ot",)
+PREFIXES = ("mal", "ne", "ge", "bo", "ek", "el", "re", "dis", "for", "pra", "eks", "mis", "fi", "retro",)
+PREPOSITION_PREFIXES = ("al", "antaŭ", "apud", "ĉe", "ĉirkaŭ", "de", "ekster", "en", "inter", "kontraŭ", "kun", "post", "preter", "pri", "sen", "sub", "super", "sur", "tra", "trans", "pli", "supren", "malsupren",)
+SUFFIXES = ("estr", "ebl", "ind", "em", "ec", "aĵ", "ist", "an", "ul", "in", "id", "ig", "iĝ", "uj", "op", "obl", "on", "eg", "et", "ar", "er", "ej", "ad", "aĉ", "ĉj", "nj", "um", "end", "ism", "il",)
+RARE_PREFIXES = ("fi", "bo", "eks", "mis", "pra", "retro",)
+CLOSED_CLASS = (
+    "la", "kaj", "aŭ", "ke", "ĉu", "se", "ĉar", "ol", "nek", "do", "sed", "ne", "jes", "ja", "ankaŭ", "eĉ", "nur", "jam", "ankoraŭ", "plu", "tre", "tro", "pli", "plej", "tuj", "nun", "hodiaŭ", "hieraŭ", "morgaŭ", "baldaŭ", "mi",
+    "vi", "li", "ŝi", "ĝi", "ni", "ili", "si", "oni", "ci", "al", "apud", "ĉe", "ĉirkaŭ", "da", "de", "dum", "el", "en", "ekster", "ĝis", "inter", "je", "kontraŭ", "krom", "kun", "per", "po", "por", "post", "preter", "pri", "pro",
+    "sen", "sub", "super", "sur", "tra", "trans", "anstataŭ", "antaŭ", "malgraŭ", "kvazaŭ", "laŭ", "pere", "unu", "du", "tri", "kvar", "kvin", "ses", "sep", "ok", "naŭ", "dek", "cent", "mil", "nulo",
+)
+NON_DERIVING = ("kaj", "aŭ", "ke", "ĉu", "se", "ĉar", "ol", "nek", "do", "sed", "jes", "ja", "ankaŭ", "eĉ", "nur",)
 CORRELATIVE = r"^(ki|ti|i|ĉi|neni)(u|o|a|e|am|al|el|om|es)(j?n?)$"
-NUMERALS = _words("unu du tri kvar kvin ses sep ok naŭ dek cent mil")
-STOPWORDS = _words("l ktp ekz prof kop esp fr np ex zool ĥem med geom fiz bot anat mat haml kos no nro vol pĝ red ks")
-DOUBLE_PREFIX_OK = _words("mal ne")
-NEVER_ROOT = _words("ig iĝ")
+NUMERALS = ("unu", "du", "tri", "kvar", "kvin", "ses", "sep", "ok", "naŭ", "dek", "cent", "mil",)
+STOPWORDS = ("l", "ktp", "ekz", "prof", "kop", "esp", "fr", "np", "ex", "zool", "ĥem", "med", "geom", "fiz", "bot", "anat", "mat", "haml", "kos", "no", "nro", "vol", "pĝ", "red", "ks",)
+DOUBLE_PREFIX_OK = ("mal", "ne",)
+NEVER_ROOT = ("ig", "iĝ",)
 #: Sort key: the alphabet's letters in their order, anything else behind them.
 COLLATION_KEY = "ABCDEFGHIJKLMNOPQRSTUVWXYZ[]"
 

@@ -163,6 +163,11 @@ def latest_year(text: Column) -> Column:
     return F.array_max(F.transform(F.regexp_extract_all(text, F.lit("1[6-9][0-9][0-9]"), F.lit(0)), lambda y: y.cast("int")))
 
 
+def next_month(month: Column) -> Column:
+    """The month behind a YYYY-MM."""
+    return F.date_format(F.add_months(F.to_date(F.concat(month, F.lit("-01"))), 1), "yyyy-MM")
+
+
 def page_key(title: Column) -> Column:
     """Pages by the number behind the last slash, those without one last and by text."""
     tail = F.element_at(F.split(title, "/"), -1)
@@ -205,6 +210,5 @@ def in_english(form: Column, english: Column) -> Column:
 
 
 def epoch_like(value: Column) -> Column:
-    """A 13-digit time, as a string or as milliseconds between 1992 and 2033."""
-    number = value.cast("double")
-    return value.rlike("^[0-9]{13}$") | number.between(7e11, 2e12)
+    """A time in milliseconds: 13 digits from 1, or a number between 1992 and 2033."""
+    return value.rlike("^1[0-9]{12}$") | F.coalesce(value.try_cast("double").between(7e11, 2e12), F.lit(False))

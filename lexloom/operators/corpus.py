@@ -135,13 +135,22 @@ def triage(recognised: Column, singletons: Column) -> Column:
 def message_score(messages: DataFrame, known: DataFrame, least: float = 0.70, tokens: int = 10) -> DataFrame:
     """Messages (msgid, text) with the share of known tokens, all lengths counted, and whether they are kept."""
     cells = messages.select("msgid", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-zĉĝĥĵŝŭ]+"), F.lit(0))).alias("form"))
-    hit = cells.join(known.select("form").distinct().withColumn("k", F.lit(1)), "form", "left").groupBy("msgid").agg(F.count("*").alias("tokens"), F.sum(F.coalesce("k", F.lit(0))).alias("hits"))
+    cells = cells.groupBy("msgid", "form").agg(F.count("*").alias("n"))
+    hit = cells.join(known.select("form").distinct().withColumn("k", F.lit(1)), "form", "left").groupBy("msgid").agg(F.sum("n").alias("tokens"), F.sum(F.when(F.col("k") == 1, F.col("n")).otherwise(0)).alias("hits"))
     return hit.withColumn("score", F.col("hits") / F.col("tokens")).withColumn("kept", (F.col("score") >= least) & (F.col("tokens") >= tokens))
 
 
+def messages_by_year(scored: DataFrame, date: str = "date") -> DataFrame:
+    """Kept messages (kept, date as YYYY-MM-DD or empty) of each year; undated ones have none."""
+    year = F.substring(date, 1, 4)
+    return scored.where(F.col("kept") & (year != "")).groupBy(year.alias("year")).agg(F.count("*").alias("n"))
+
+
 def search_lines(lines: DataFrame, pattern: str, most: int = 10, shortest: int = 30, longest: int = 200) -> DataFrame:
-    """Examples of a pattern spread over sources in turn; all hits are counted, short and long lines not shown."""
-    hits = lines.where(F.col("text").rlike(f"(?iu){pattern}")).withColumn("total", F.count("*").over(Window.partitionBy()))
+    """Examples of a pattern spread over sources in turn; all hits are counted (by one aggregate beside the search, so
+    that no task gathers them), short and long lines not shown."""
+    found = lines.where(F.col("text").rlike(f"(?iu){pattern}"))
+    hits = found.withColumn("total", found.agg(F.count("*").alias("n")).scalar())
     shown = hits.where(F.length(F.trim("text")).between(shortest, longest))
     turn = shown.withColumn("again", F.row_number().over(Window.partitionBy("source").orderBy("line"))).where(F.col("again") <= most)
     return turn.orderBy("again", "source").limit(most)
@@ -176,9 +185,18 @@ def free_to_use(death: Column, year: Column, as_of: int = 2026) -> Column:
     return F.array_compact(F.array(F.when(death + 71 <= as_of, "source-country"), F.when(year + 96 <= as_of, "US")))
 
 
+def names_in(books: DataFrame, names: DataFrame, gram: int = 4) -> DataFrame:
+    """Books (book) with the names (name, ...) that their text contains, as a join on a name's first letters: a book
+    offers all its stretches of one to ``gram`` letters, so neither side has to be small."""
+    every = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(gram)), lambda n: F.when(F.length("book") >= n, F.transform(F.sequence(F.lit(1), F.length("book") - n + 1), lambda i: F.substring(F.col("book"), i, n))).otherwise(F.array().cast("array<string>"))))
+    offered = books.select("book", F.explode(F.array_distinct(every)).alias("start"))
+    return offered.join(names.where("name != ''").withColumn("start", F.substring("name", 1, gram)), "start").where(F.col("book").contains(F.col("name"))).drop("start")
+
+
 def licence_verdict(books: DataFrame, authors: DataFrame, held: tuple[str, ...] = (), least_pages: int = 100, as_of: int = 2026) -> DataFrame:
     """Books (book, good) with credited authors (name, death) found in the title, the title's latest year and the first reason against."""
-    credited = books.select("book").join(F.broadcast(authors), F.col("book").contains(F.col("name")), "left").groupBy("book").agg(F.max("death").alias("death"), F.sort_array(F.collect_set("name")).alias("authors"))
+    credited = names_in(books.select("book").distinct(), authors).groupBy("book").agg(F.max("death").alias("death"), F.sort_array(F.collect_set("name")).alias("authors"))
+    credited = books.select("book").distinct().join(credited, "book", "left").select("book", "death", F.coalesce("authors", F.array().cast("array<string>")).alias("authors"))
     named = books.join(credited, "book").withColumn("year", T.latest_year(F.col("book"))).withColumn("basis", free_to_use(F.col("death"), F.col("year"), as_of))
     is_held = reduce(lambda c, h: c | F.col("book").contains(h), held, F.lit(False))
     why = F.when(is_held, "held").when(F.size("basis") == 0, "not free").when(F.col("good") < least_pages, "too few pages")
@@ -261,10 +279,12 @@ def dictionary_search(entries: DataFrame, needle: str = "", pos: str | None = No
     return entries.where(keep).orderBy("ord").limit(limit)
 
 
-def pack_shards(sizes: DataFrame, shards: int) -> DataFrame:
+def pack_shards(sizes: DataFrame, shards: int, most: int = 100_000) -> DataFrame:
     """Files (name, size) to shards, longest first into the lightest, the lowest on ties. A fold over one sorted
-    array: for lists of files that are planned by hand, not for tables."""
-    order = F.array_sort(F.collect_list(F.struct("size", "name")), lambda a, b: F.when(a["size"] != b["size"], F.when(a["size"] > b["size"], -1).otherwise(1)).when(a["name"] > b["name"], -1).when(a["name"] < b["name"], 1).otherwise(0))
+    array, for lists of files that are planned by hand: more than ``most`` files are an error."""
+    listed = F.collect_list(F.struct("size", "name"))
+    bounded = F.when(F.count("*") > most, F.raise_error(F.lit(f"more than {most} files to pack"))).otherwise(listed)
+    order = F.array_sort(bounded, lambda a, b: F.when(a["size"] != b["size"], F.when(a["size"] > b["size"], -1).otherwise(1)).when(a["name"] > b["name"], -1).when(a["name"] < b["name"], 1).otherwise(0))
     start = F.struct(F.array_repeat(F.lit(0).cast("long"), shards).alias("w"), F.array().cast("array<struct<name: string, size: bigint, shard: int>>").alias("out"))
 
     def step(acc: Column, f: Column) -> Column:

@@ -12,8 +12,8 @@ from ..functions import text as T
 #: Verdicts a reviewer may give.
 VERDICTS = ("lemma", "inflection", "proper-noun", "foreign", "ocr-artifact", "fragment", "uncertain")
 #: Function words that are no headwords of an index, and foreign ones with an open-class ending.
-ENGLISH_FUNCTION = tuple("a about above after again all also an and any are as at be because been before being below between both but by can could did do does doing down during each few for from further had has have having he her here hers him his how i if in into is it its just like made make me might more most must my no nor not now of off on once one only or other our out over own same she should so some such take than that the their them then there these they this those through to too under until up upon very was we were what when where which while who whom why will with would you your".split())
-FOREIGN_FUNCTION = tuple("della delle dalla nella alla sulla degli dei questo questa quelle cette notre votre comme elle une chose beide eine keine meine seine diese desde este esta".split())
+ENGLISH_FUNCTION = ("a", "about", "above", "after", "again", "all", "also", "an", "and", "any", "are", "as", "at", "be", "because", "been", "before", "being", "below", "between", "both", "but", "by", "can", "could", "did", "do", "does", "doing", "down", "during", "each", "few", "for", "from", "further", "had", "has", "have", "having", "he", "her", "here", "hers", "him", "his", "how", "i", "if", "in", "into", "is", "it", "its", "just", "like", "made", "make", "me", "might", "more", "most", "must", "my", "no", "nor", "not", "now", "of", "off", "on", "once", "one", "only", "or", "other", "our", "out", "over", "own", "same", "she", "should", "so", "some", "such", "take", "than", "that", "the", "their", "them", "then", "there", "these", "they", "this", "those", "through", "to", "too", "under", "until", "up", "upon", "very", "was", "we", "were", "what", "when", "where", "which", "while", "who", "whom", "why", "will", "with", "would", "you", "your")
+FOREIGN_FUNCTION = ("della", "delle", "dalla", "nella", "alla", "sulla", "degli", "dei", "questo", "questa", "quelle", "cette", "notre", "votre", "comme", "elle", "une", "chose", "beide", "eine", "keine", "meine", "seine", "diese", "desde", "este", "esta")
 
 
 @dataclass(frozen=True)
@@ -166,10 +166,34 @@ def rebuild(entries: DataFrame, rebuilt: DataFrame) -> DataFrame:
     return entries.join(rebuilt.select(F.lower("word").alias("__w")).distinct(), F.lower("word") == F.col("__w"), "left_anti").unionByName(rebuilt, allowMissingColumns=True)
 
 
-def recite(entries: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Entries whose citations a candidate of the same lemma can replace."""
-    new = candidates.select(F.col("lemma").alias("__w"), F.col("citations").alias("__c"))
-    return entries.join(new, F.lower("word") == F.col("__w"), "left").withColumn("citations", F.when(F.size("__c") > 0, F.col("__c")).otherwise(F.col("citations"))).drop("__w", "__c")
+def recite(entries: DataFrame, candidates: DataFrame, keep: int = 3, prefix: str = "wp-") -> DataFrame:
+    """Entries (word, citations) with the first citations of the candidate of their word (lemma, citations), where these hold
+    more from outside the encyclopedia; others stay as they are."""
+    other = lambda c: F.size(F.filter(F.coalesce(c, F.array()), lambda x: ~x["source"].startswith(prefix)))
+    new = candidates.select(F.col("lemma").alias("__w"), other_first(F.col("citations"), keep, prefix).alias("__c"))
+    better = F.col("__w").isNotNull() & (other(F.col("__c")) > other(F.col("citations")))
+    return entries.join(new, F.col("word") == F.col("__w"), "left").withColumns({"recited": better, "citations": F.when(better, F.col("__c")).otherwise(F.col("citations"))}).drop("__w", "__c")
+
+
+def is_segmented(morphology: Column) -> Column:
+    """A shape with an affix."""
+    return (F.coalesce(F.size(morphology["prefixes"]), F.lit(0)) > 0) | (F.coalesce(F.size(morphology["suffixes"]), F.lit(0)) > 0)
+
+
+def rederive(entries: DataFrame, source: str = "corpus-mined") -> DataFrame:
+    """Entries whose derived flag follows their morphology again (null where it has no affix); those of other sources stay."""
+    flag = F.coalesce(is_segmented(F.col("morphology")), F.lit(False))
+    own = (F.col("source") == source) & (flag != F.coalesce("derived", F.lit(False)))
+    return entries.withColumns({"rederived": F.coalesce(own, F.lit(False)), "derived": F.when(own, F.when(flag, True)).otherwise(F.col("derived"))})
+
+
+def resegment(entries: DataFrame, shapes: DataFrame, ledger: DataFrame, prefixes: list[str], source: str = "corpus-mined") -> DataFrame:
+    """Entries of a source that were reviewed in a batch with one of the prefixes, with the new shape of their word (word,
+    shape) where there is one and it differs."""
+    due = batches_matching(entries.where(F.col("source") == source), ledger, prefixes).select(F.col("word").alias("__w")).distinct()
+    new = shapes.join(due, F.col("word") == F.col("__w"), "left_semi").select(F.col("word").alias("__w"), F.col("shape").alias("__s"))
+    changed = F.col("__s").isNotNull() & ~F.col("__s").eqNullSafe(F.col("morphology")) & (F.col("source") == source)
+    return entries.join(new, F.col("word") == F.col("__w"), "left").withColumns({"resegmented": F.coalesce(changed, F.lit(False)), "morphology": F.when(changed, F.col("__s")).otherwise(F.col("morphology"))}).drop("__w", "__s")
 
 
 def refresh_attestation(entries: DataFrame, counts: DataFrame) -> DataFrame:

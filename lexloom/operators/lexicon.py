@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import morphology as M
 from ..functions import text as T
+from ..functions.model import DEFAULT, LanguageModel
 
 # Dated terms of a 1906 source and their replacements.
 DATED_GLOSSES = {
@@ -15,19 +17,27 @@ DATED_GLOSSES = {
     "crippled": "disabled", "idiot": "person with intellectual disability", "oaf": "fool, simpleton", "dumbness": "inability to speak", "dumb show": "pantomime (performance without speech)",
     "dumb": "unable to speak", "savage": "wild, untamed", "oriental": "eastern, of the East",
 }
-# Word classes of bare words.
-BARE_CLASSES = {
-    "ending": "a o e i as is os us u j n", "art": "la", "pron": "mi vi li ŝi ĝi ni ili si oni", "num": "unu du tri kvar kvin ses sep ok naŭ dek cent mil",
-    "prep": "al apud ĉe ĉirkaŭ da de dum el en ekster ĝis inter je kontraŭ krom kun per po por post preter pri pro sen sub super sur tra trans anstataŭ antaŭ malgraŭ kvazaŭ",
-    "conj": "kaj aŭ ke ĉu se ĉar ol nek", "adj": "tia ia ĉia nenia", "adv": "kie kial kiel kiam tie tial tiel tiam ĉie ĉial ĉiel ĉiam ie ial iel iam nenie nenial neniel neniam for tuj nun jam ĵus ankoraŭ plu nur eĉ preskaŭ plej pli tre tro baldaŭ ambaŭ hieraŭ hodiaŭ morgaŭ do ja tamen des ju",
-    "pron2": "kiu kio kies kiom tiu tio tiom ĉiu ĉio ĉiom iu io iom ies neniu nenio nenies neniom", "particle": "ajn ĉi jen ne jes", "interj": "adiaŭ ho ha",
-}
-ADJECTIVES = "bel bon malbon grand long alt rapid facil malfacil fort malfort ĝust fals san malsan varm malvarm blank nigr ruĝ flav verd blu griz brun glat mol dur dik simpl plen malplen komplet cert official natur liber egal simil diferenc konstant sentim kuraĝ"
+# Word classes of bare words, the first that holds a word counts.
+BARE_CLASSES = [
+    ("ending", ["a", "o", "e", "i", "as", "is", "os", "us", "u", "j", "n"]),
+    ("art", ["la"]),
+    ("pron", ["mi", "vi", "li", "ŝi", "ĝi", "ni", "ili", "si", "oni"]),
+    ("num", ["unu", "du", "tri", "kvar", "kvin", "ses", "sep", "ok", "naŭ", "dek", "cent", "mil"]),
+    ("prep", ["al", "apud", "ĉe", "ĉirkaŭ", "da", "de", "dum", "el", "en", "ekster", "ĝis", "inter", "je", "kontraŭ", "krom", "kun", "per", "po", "por", "post", "preter", "pri", "pro", "sen", "sub", "super", "sur", "tra", "trans", "anstataŭ", "antaŭ", "malgraŭ", "kvazaŭ"]),
+    ("conj", ["kaj", "aŭ", "ke", "ĉu", "se", "ĉar", "ol", "nek"]),
+    ("adj", ["tia", "ia", "ĉia", "nenia"]),
+    ("adv", ["kie", "kial", "kiel", "kiam", "tie", "tial", "tiel", "tiam", "ĉie", "ĉial", "ĉiel", "ĉiam", "ie", "ial", "iel", "iam", "nenie", "nenial", "neniel", "neniam", "for", "tuj", "nun", "jam", "ĵus", "ankoraŭ", "plu", "nur", "eĉ", "preskaŭ", "plej", "pli", "tre", "tro", "baldaŭ", "ambaŭ", "hieraŭ", "hodiaŭ", "morgaŭ", "do", "ja", "tamen", "des", "ju"]),
+    ("pron", ["kiu", "kio", "kies", "kiom", "tiu", "tio", "tiom", "ĉiu", "ĉio", "ĉiom", "iu", "io", "iom", "ies", "neniu", "nenio", "nenies", "neniom"]),
+    ("particle", ["ajn", "ĉi", "jen", "ne", "jes"]),
+    ("interj", ["adiaŭ", "ho", "ha"]),
+]
+NUMERALS = ["unu", "du", "tri", "kvar", "kvin", "ses", "sep", "ok", "naŭ", "dek", "cent", "mil"]
+ADJECTIVES = ["bel", "bon", "malbon", "grand", "long", "alt", "rapid", "facil", "malfacil", "fort", "malfort", "ĝust", "fals", "san", "malsan", "varm", "malvarm", "blank", "nigr", "ruĝ", "flav", "verd", "blu", "griz", "brun", "glat", "mol", "dur", "dik", "simpl", "plen", "malplen", "komplet", "cert", "official", "natur", "liber", "egal", "simil", "diferenc", "konstant", "sentim", "kuraĝ"]
 OPEN_POS = {"o": "noun", "a": "adj", "e": "adv", "i": "verb"}
 
 
 def bare_class(word: Column) -> Column:
-    return reduce(lambda c, kv: c.when(word.isin(*kv[1].split()), kv[0].rstrip("2")), BARE_CLASSES.items(), F.when(F.lit(False), "")).otherwise("particle")
+    return reduce(lambda c, kv: c.when(word.isin(*kv[1]), kv[0]), BARE_CLASSES, F.when(F.lit(False), "")).otherwise("particle")
 
 
 def root_class(stem: Column, fr: Column, de: Column, en: Column) -> Column:
@@ -37,7 +47,7 @@ def root_class(stem: Column, fr: Column, de: Column, en: Column) -> Column:
     de_verb = de.endswith("en") & (F.length(de) > 3)
     fr_verb = fr.rlike("(er|ir|oir)$") | (fr.endswith("re") & (F.length(fr) > 3))
     return (
-        F.when(stem.isin(*ADJECTIVES.split()), "adj").when(en.startswith("to "), "verb").when((en != "") & F.element_at(F.split(en, ","), 1).rlike(adjective), "adj")
+        F.when(stem.isin(*ADJECTIVES), "adj").when(en.startswith("to "), "verb").when((en != "") & F.element_at(F.split(en, ","), 1).rlike(adjective), "adj")
         .when(fr.rlike("(eux|euse|ible|able)$") & (en != "") & F.element_at(F.split(en, r"\s+"), -1).rlike(adjective), "adj").when(fr_verb & de_verb, "verb").when(fr.rlike("(oir|ir)$") & (F.length(fr) > 3), "verb")
         .when(fr.endswith("er") & de_verb & ~de.rlike("(isch|lich|haft|los|bar|ig)$"), "verb").otherwise("noun")
     )
@@ -46,7 +56,7 @@ def root_class(stem: Column, fr: Column, de: Column, en: Column) -> Column:
 def entry_kind(word: Column, affixes: Column) -> Column:
     """How a Fundamento head is turned into an entry."""
     bare = F.regexp_replace(word, "'", "")
-    return F.when(~word.contains("'"), "bare").when(F.array_contains(affixes, bare), "affix").when(bare.isin(*BARE_CLASSES["num"].split()), "numeral").otherwise("root")
+    return F.when(~word.contains("'"), "bare").when(F.array_contains(affixes, bare), "affix").when(bare.isin(*NUMERALS), "numeral").otherwise("root")
 
 
 def modern_gloss(gloss: Column, pos: Column) -> Column:
@@ -126,16 +136,69 @@ def grammar_refs(word: Column, pos: Column, source: Column, affixes: Column, suf
     return F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.struct(F.lit(s).alias("section"), F.lit(t).alias("topic"))) for c, s, t in rules)))
 
 
+def cited_sources(citations: DataFrame, sources: DataFrame) -> DataFrame:
+    """Citations (source, ...) with the title of their source in a catalogue (file, title, ord); of rows of one file the last
+    counts, and a source that isn't held has no title."""
+    last = sources.groupBy("file").agg(F.max_by("title", "ord").alias("title"))
+    return citations.join(last, F.col("source") == F.col("file"), "left").drop("file")
+
+
+def printed_derived(entries: DataFrame, roots: DataFrame, model: LanguageModel = DEFAULT) -> DataFrame:
+    """Entries (word) of the printed layer with ``derived``: the word without its ending is no root, but affixes lead from
+    it to one."""
+    bare = F.when(F.lower(F.substring("word", -1, 1)).isin(*OPEN_POS), F.expr("substring(word, 1, length(word) - 1)")).otherwise(F.col("word"))
+    stems = entries.withColumn("form", bare)
+    found = M.first_reading(stems.select("form"), lambda x, longest: M.peel_ways(x, longest, model), M.dictionary(None, roots), "string")
+    return stems.join(found, "form", "left").withColumn("derived", F.coalesce(F.lower("value") != F.lower("form"), F.lit(False))).drop("form", "value")
+
+
+def fundamento_entries(heads: DataFrame, prefixes: dict[str, str], suffixes: dict[str, str], most: int = M.MOST_ENTRIES) -> DataFrame:
+    """Entries of a layer's heads (word with apostrophes behind its parts, fr, en, de): bare words by their class, affixes,
+    numerals, and roots with an inferred class, its ending and their shape, affixes taken off as long as what is left is a
+    root (at most ``most`` of them, as a layer written by hand has)."""
+    stem = F.lower(F.replace("word", F.lit("'"), F.lit("")))
+    roots = [r["r"] for r in heads.where(F.col("word").contains("'")).select(stem.alias("r")).distinct().limit(most + 1).collect()]
+    if len(roots) > most:
+        raise ValueError(f"more than {most} roots")
+    held = frozenset(roots)
+
+    @F.udf("struct<prefixes: array<string>, stem: string, suffixes: array<string>>", useArrow=True)
+    def shape(s):
+        before, core, after = M.greedy_segment(s, held, prefixes, [x for x in suffixes if len(x) >= 2]) or ((), s, ())
+        return (list(before), core, list(after))
+
+    single = F.size(F.filter(F.split("word", "'"), lambda p: p != "")) == 1
+    affix = F.array(*map(F.lit, [*prefixes, *suffixes])).cast("array<string>")
+    kind = F.when(single | ~F.col("word").contains("'"), entry_kind(F.lower("word"), affix)).otherwise("root")
+    root_pos = root_class(F.col("stem"), F.col("fr"), F.col("de"), F.col("en"))
+    pos = F.when(F.col("kind") == "bare", bare_class(F.col("word"))).when(F.col("kind") == "affix", F.when(F.col("stem").isin(*prefixes), "prefix").otherwise("suffix")).when(F.col("kind") == "numeral", "num").otherwise(root_pos)
+    named = heads.withColumns({"stem": stem, "kind": kind}).withColumn("pos", pos)
+    ending = F.when(F.col("pos") == "verb", "i").when(F.col("pos") == "adj", "a").otherwise("o")
+    is_root = F.col("kind") == "root"
+    gloss = F.trim(F.coalesce("en", F.lit("")))
+    known = {**suffixes, **prefixes}
+    of = lambda c: affix_glosses(c, known)
+    shaped = named.withColumn("shape", F.when(is_root, shape("stem"))).withColumn("ending", ending)
+    morphology = F.when(is_root, F.struct(of(F.col("shape.prefixes")).alias("prefixes"), F.col("shape.stem").alias("stem"), of(F.col("shape.suffixes")).alias("suffixes"), F.col("ending").alias("ending")))
+    word = F.when(F.col("kind") == "bare", F.col("word")).when(is_root, F.concat(F.replace("word", F.lit("'"), F.lit("")), "ending")).otherwise(F.col("stem"))
+    affix_gloss = F.create_map(*[F.lit(x) for kv in (known or {"": ""}).items() for x in kv])
+    gloss = F.when((F.col("kind") == "affix") & (gloss == ""), F.coalesce(affix_gloss[F.col("stem")], F.lit(""))).otherwise(gloss)
+    return shaped.select(word.alias("word"), "pos", F.when(F.col("kind").isin("affix", "root"), F.col("stem")).alias("root"), gloss.alias("gloss_en"), F.trim(F.coalesce("fr", F.lit(""))).alias("gloss_fr"), morphology.alias("morphology"), F.lit("Fundamento/UV-1905").alias("source"), "kind")
+
+
 def affix_glosses(morphemes: Column, glosses: dict[str, str]) -> Column:
     """Morphemes with their glosses, '' where there is none."""
     known = F.create_map(*[F.lit(x) for kv in glosses.items() for x in kv])
     return F.transform(morphemes, lambda m: F.struct(m.alias("m"), F.coalesce(known[m], F.lit("")).alias("gloss")))
 
 
-def correlatives_missing(cells: DataFrame, entries: DataFrame, lines: DataFrame) -> DataFrame:
-    """Correlative cells (word, source, line) no entry holds, each with its pinned line, which must contain the word."""
+def correlatives_missing(cells: DataFrame, entries: DataFrame, lines: DataFrame, strict: bool = False) -> DataFrame:
+    """Correlative cells (word, source, line) no entry holds, each with its pinned line, which must contain the word: that
+    is ``checked``, and with ``strict`` a cell for which it doesn't hold is an error when the rows are read."""
     new = cells.join(entries.select(F.lower("word").alias("__w")).distinct(), F.lower("word") == F.col("__w"), "left_anti")
-    return new.join(lines, ["source", "line"], "left").withColumn("checked", F.coalesce(F.lower("text").contains(F.col("word")), F.lit(False)))
+    checked = F.coalesce(F.lower("text").contains(F.col("word")), F.lit(False))
+    fault = F.raise_error(F.concat(F.lit("not on its pinned line: "), F.col("word"))).cast("boolean")
+    return new.join(lines, ["source", "line"], "left").withColumn("checked", F.when(~checked, fault).otherwise(checked) if strict else checked)
 
 
 def sorted_entries(entries: DataFrame) -> DataFrame:

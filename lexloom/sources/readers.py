@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import html
+import json
 import re
 import tarfile
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -150,30 +152,45 @@ def unescape(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else html.unescape(x))
 
 
-def messages_in(reply: str) -> Iterator[dict]:
-    """Message-shaped arrays anywhere in a batchexecute reply: id, epoch_ms, html."""
-    import json
+#: What makes a value of a reply a time (seconds since 1970 in milliseconds, by size or by 13 digits from
+#: 1), and a string a message's body.
+TIME_DIGITS, TIME_RANGE, BODY_LENGTH, BODY_SIGN = r"1[0-9]{12}", (7e11, 2e12), 200, "<div"
 
-    def walk(node):
-        if isinstance(node, list):
-            if len(node) >= 4:
-                times = [x for x in node if (isinstance(x, (int, float)) and not isinstance(x, bool) and 7e11 < x < 2e12) or (isinstance(x, str) and re.fullmatch(r"\d{13}", x))]
-                bodies = [x for x in node if isinstance(x, str) and (len(x) > 200 or "<div" in x)]
-                names = [x for x in node if isinstance(x, str) and x not in bodies and x not in times]
-                if times and bodies:
-                    yield {"id": names[0] if names else "", "author": names[1] if len(names) > 1 else "", "epoch_ms": int(times[0]), "html": bodies[0]}
-            for x in node:
-                yield from walk(x)
-        elif isinstance(node, str) and node[:1] in "[{":
+
+def _role(x: object) -> str:
+    """What a value of a reply's array may be: time, body, name or nothing of interest."""
+    if isinstance(x, str):
+        return "time" if re.fullmatch(TIME_DIGITS, x) else "body" if len(x) > BODY_LENGTH or BODY_SIGN in x else "name"
+    return "time" if type(x) in (int, float) and TIME_RANGE[0] < x < TIME_RANGE[1] else ""
+
+
+def _arrays(root: object) -> Iterator[list]:
+    """All arrays of a parsed reply, outer ones first, those written out in strings too."""
+    waiting = deque([root])
+    while waiting:
+        node = waiting.popleft()
+        if isinstance(node, str) and node.startswith(("[", "{")):
             try:
-                yield from walk(json.loads(node))
+                node = json.loads(node)
             except ValueError:
-                return
+                continue
+        if isinstance(node, list):
+            yield node
+            waiting.extendleft(reversed(node))
 
+
+def messages_in(reply: str) -> Iterator[dict]:
+    """Message-shaped arrays anywhere in a batchexecute reply: id, author, epoch_ms, html. Such an array has four values
+    or more, among them a time and a body; its first other strings are the id and the author."""
     try:
-        yield from walk(json.loads(reply.removeprefix(")]}'").strip()))
+        root = json.loads(reply.removeprefix(")]}'").strip())
     except ValueError:
         return
+    for node in _arrays(root):
+        by = {role: [x for x in node if _role(x) == role] for role in ("time", "body", "name")}
+        if len(node) >= 4 and by["time"] and by["body"]:
+            identity, author = [*by["name"], "", ""][:2]
+            yield {"id": identity, "author": author, "epoch_ms": int(by["time"][0]), "html": by["body"][0]}
 
 
 _MESSAGE = T.StructType([T.StructField("id", T.StringType()), T.StructField("author", T.StringType()), T.StructField("epoch_ms", T.LongType()), T.StructField("html", T.StringType())])
@@ -189,47 +206,43 @@ class CrawlMessages:
             yield m["id"], m["author"], m["epoch_ms"], m["html"]
 
 
+#: Entities that XML itself resolves.
+XML_ENTITIES = frozenset(["amp", "lt", "gt", "quot", "apos"])
+
+
 def resolve_entities(text: str, custom: dict[str, str] | None = None) -> str:
     """Named entities to characters; the five of XML stay, unknown names lose their marks, names with ``_`` go."""
-    keep, custom = {"amp", "lt", "gt", "quot", "apos"}, custom or {}
+    known = {**{k: f"&{k};" for k in XML_ENTITIES}, **{k: v for k, v in (custom or {}).items() if v and k not in XML_ENTITIES}}
+    return re.sub(r"&(\w+);", lambda m: known.get(m[1]) or html.entities.html5.get(f"{m[1]};") or ("" if "_" in m[1] else m[1]), text)
+
+
+#: Elements of a headword that aren't said.
+UNSAID = ("fnt", "ofc")
 
-    def one(m: re.Match) -> str:
-        name = m[1]
-        if name in keep:
-            return m[0]
-        return custom.get(name) or html.entities.html5.get(name + ";") or ("" if "_" in name else name)
 
-    return re.sub(r"&(\w+);", one, text)
+def _whole(node: ET.Element | None) -> str:
+    return "" if node is None else "".join(node.itertext()).strip()
+
+
+def _headword(node: ET.Element, root: str) -> str:
+    """A derivative's headword: its text with the root in place of the tilde, without blanks and bars."""
+    said = lambda e: root if e.tag == "tld" else "" if e.tag in UNSAID else "".join(e.itertext())
+    return re.sub(r"[\s/]+", "", (node.text or "") + "".join(said(e) + (e.tail or "") for e in node)).lower()
 
 
 def article_derivatives(raw: str, custom: dict[str, str] | None = None) -> list[tuple]:
-    """(word, root, tail, official, gloss_en, gloss_fr) of the derivatives in a dictionary article's XML."""
+    """(word, root, tail, official, gloss_en, gloss_fr) of the derivatives in a dictionary article's XML: each with a
+    headword other than the root, and its first translation in either language. Broken XML has none."""
     try:
-        tree = ET.fromstring(resolve_entities(re.sub(r"<!DOCTYPE[^>]*>", "", raw, count=1), custom))
+        article = ET.fromstring(resolve_entities(re.sub(r"<!DOCTYPE[^>]*>", "", raw, count=1), custom)).find("art")
     except ET.ParseError:
         return []
-    flat = lambda e: "" if e is None else "".join(e.itertext()).strip()
-    art = tree.find("art")
-    head = None if art is None else art.find("kap")
-    root = flat(None if head is None else head.find("rad"))
+    root, official = (_whole(None if article is None else article.find(f"kap/{x}")) for x in ("rad", "ofc"))
     if len(root) < 2 or "/" in root:
         return []
-    out = []
-    for drv in art.findall("drv"):
-        kap = drv.find("kap")
-        if kap is None:
-            continue
-        parts = [kap.text or ""]
-        for e in kap:
-            parts += [] if e.tag in ("fnt", "ofc") else [root if e.tag == "tld" else "".join(e.itertext()), e.tail or ""]
-        word = re.sub(r"[\s/]+", "", "".join(parts)).lower()
-        if word and word != root:
-            gloss = {}
-            for t in drv.iter("trd"):
-                if flat(t):
-                    gloss.setdefault(t.get("lng"), flat(t))
-            out.append((word, root, word[-1] if word[-1] in "oaei" else "o", flat(head.find("ofc")), gloss.get("en", ""), gloss.get("fr", "")))
-    return out
+    heads = [(_headword(drv.find("kap"), root), drv) for drv in article.findall("drv") if drv.find("kap") is not None]
+    first = lambda drv, lang: next((t for t in map(_whole, drv.findall(f".//trd[@lng='{lang}']")) if t), "")
+    return [(word, root, word[-1] if word[-1] in "oaei" else "o", official, first(drv, "en"), first(drv, "fr")) for word, drv in heads if word not in ("", root)]
 
 
 @F.udtf(returnType=_DERIVATIVE)
@@ -238,32 +251,58 @@ class ArticleDerivatives:
         yield from article_derivatives(raw or "")
 
 
-def piped_entries(lines: list[str], letters: str) -> list[tuple[str, list[str]]]:
+#: Languages of a dictionary's glosses, in their order, and letters of its heads.
+GLOSSES = ("fr", "en", "de", "ru", "pl")
+HEAD_LETTERS = "abcĉdefgĝhĥijĵklmnoprsŝtuŭvzABCĈDEFGĜHĤIJĴKLMNOPRSŜTUŬVZ"
+_ENTRIES = "array<struct<word: string, fr: string, en: string, de: string, ru: string, pl: string>>"
+
+
+def piped_entries(lines: Iterable[str], letters: str = HEAD_LETTERS) -> list[tuple[str, list[str]]]:
     """Pass A: a word alone on a line, its gloss the lines up to the next one, with four pipes."""
     head = re.compile(rf"[{letters}][{letters}']*")
-    groups: list[tuple[str, list[str]]] = []
-    for line in map(str.strip, lines):
-        if head.fullmatch(line):
-            groups.append((line, []))
-        elif groups and line:
-            groups[-1][1].append(line)
-    found = [(w, [p.strip() for p in " ".join(g).split("|")]) for w, g in groups]
-    return [(w, [*f[:4], re.sub(r"\s*\.$", "", f[4])]) for w, f in found if len(f) == 5]
+    found, word, gloss = [], None, []
+    for line in [*map(str.strip, lines), None]:
+        if line is not None and not head.fullmatch(line):
+            gloss.append(line)
+            continue
+        fields = [x.strip() for x in " ".join(" ".join(gloss).split()).split("|")]
+        if word and len(fields) == len(GLOSSES):
+            found.append((word, [*fields[:-1], re.sub(r"\s*\.$", "", fields[-1])]))
+        word, gloss = line, []
+    return found
 
 
-def flowing_entries(text: str, letters: str) -> list[tuple[str, list[str]]]:
+def flowing_entries(text: str, letters: str = HEAD_LETTERS) -> list[tuple[str, list[str]]]:
     """Passes B and C: ``word a | b | c | d | e.`` in running text, the word behind a full stop, a closing
     quotation mark, a section letter or the start."""
     word = rf"[{letters}]+(?:'[{letters}]+)*'?"
     field = r"\s*([^|]{1,300}?)\s*"
     entry = re.compile(rf"(?:^|(?<=[.»])|(?<= [A-ZĈĜĤĴŜŬ]))\s*({word}){field}\|{field}\|{field}\|{field}\|\s*(.{{1,350}}?)\s*\.\s*(?=[{letters}]|$)")
-    return [(m[1], list(m.groups()[1:])) for m in entry.finditer(re.sub(r"\s+", " ", text).strip())]
+    return [(m[1], list(m.groups()[1:])) for m in entry.finditer(" ".join(text.split()))]
+
+
+def dictionary_pages(pages: DataFrame, flowing: bool = False, html_column: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Entries (word, ord, fr, en, de, ru, pl) of a dictionary's pages: by words on lines of their own (pass A), or in running
+    text (passes B and C). Scripts, styles and tags go first, inside the JVM."""
+    read = flowing_entries if flowing else (lambda text: piped_entries(text.split("\n")))
+
+    @F.udf(_ENTRIES, useArrow=True)
+    def entries(text):
+        return [(word, *fields) for word, fields in read(text or "")]
+
+    bare = F.regexp_replace(F.regexp_replace(html_column, r"(?s)<(script|style)[^>]*>.*?</\1>", ""), "<[^>]+>", " ")
+    plain = F.regexp_replace(F.translate(bare, "\u00a0", " "), "[ \t]+", " ")
+    return pages.select(*keep, F.posexplode(entries(plain)).alias("ord", "e")).select(*keep, "ord", "e.*")
+
+
+#: The two formats of lines of a printed dictionary.
+PRINTED_LINE = r"^([A-Z][A-Za-z' -]{1,40}?)\s*(\([^)]{1,40}\))?\s*=\s*([a-zĉĝĥĵŝŭ,\s'-]{2,60})\.\s*$"
+AFFIX_LINE = r"^([a-zĉĝĥĵŝŭ']{2,20})\s*=\s*([^,;]{2,40})[,;]\s*([a-zĉĝĥĵŝŭ']{2,25})\s*=\s*([^.;]{2,50})"
 
 
 def printed_pairs(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines ``Head (sense) = a, b.`` to english, sense, word, kind: headword, phrase or reject."""
-    pattern = r"^([A-Z][A-Za-z' -]{1,40}?)\s*(\([^)]{1,40}\))?\s*=\s*([a-zĉĝĥĵŝŭ,\s'-]{2,60})\.\s*$"
-    m = lambda i: F.regexp_extract(F.trim(column), pattern, i)
+    m = lambda i: F.regexp_extract(F.trim(column), PRINTED_LINE, i)
     cells = lines.where(m(1) != "").select(F.trim(m(1)).alias("english"), F.regexp_replace(m(2), r"^[() ]+|[() ]+$", "").alias("sense"), F.explode(F.split(m(3), ",")).alias("word"))
     words = cells.withColumn("word", F.replace(F.trim("word"), F.lit("'"), F.lit(""))).where("word != ''")
     return words.withColumn("kind", F.when(X.headword(F.col("word")), "headword").when(X.phrase(F.col("word")), "phrase").otherwise("reject"))
@@ -271,7 +310,6 @@ def printed_pairs(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def affix_pairs(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines ``base = gloss, derived = gloss``: both with their glosses, and the derived word as segmented."""
-    pattern = r"^([a-zĉĝĥĵŝŭ']{2,20})\s*=\s*([^,;]{2,40})[,;]\s*([a-zĉĝĥĵŝŭ']{2,25})\s*=\s*([^.;]{2,50})"
-    m = lambda i: F.trim(F.regexp_extract(F.trim(column), pattern, i))
+    m = lambda i: F.trim(F.regexp_extract(F.trim(column), AFFIX_LINE, i))
     bare = lambda c: F.replace(c, F.lit("'"), F.lit(""))
     return lines.where(m(1) != "").select(bare(m(1)).alias("base"), m(2).alias("base_gloss"), bare(m(3)).alias("derived"), m(4).alias("derived_gloss"), m(3).alias("segmentation"))

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
 
-def _swap(df: DataFrame, path: str, write) -> None:
-    """Write beside the target and rename over it."""
+def _swap(df: DataFrame, path: str, write, dry_run: bool = False) -> int | None:
+    """Write beside the target and rename over it; a dry run counts the rows and writes nothing."""
+    if dry_run:
+        return df.count()
     sc = df.sparkSession.sparkContext
     at = lambda p: sc._jvm.org.apache.hadoop.fs.Path(p)
     fs, fresh = at(path).getFileSystem(sc._jsc.hadoopConfiguration()), f"{path}.{uuid.uuid4().hex}"
@@ -21,15 +23,15 @@ def _swap(df: DataFrame, path: str, write) -> None:
         raise OSError(f"cannot rename to {path}")
 
 
-def json_lines(df: DataFrame, path: str, order: list[Column | str] | None = None) -> None:
+def json_lines(df: DataFrame, path: str, order: list[Column | str] | None = None, dry_run: bool = False) -> int | None:
     """JSON lines, nulls left out; with ``order`` in total order."""
     out = df.orderBy(*order) if order else df
-    _swap(df, path, lambda p: out.write.option("ignoreNullFields", True).json(p))
+    return _swap(df, path, lambda p: out.write.option("ignoreNullFields", True).json(p), dry_run)
 
 
-def dictionary(entries: DataFrame, path: str) -> None:
+def dictionary(entries: DataFrame, path: str, dry_run: bool = False) -> int | None:
     """Entries in the alphabet's order."""
-    json_lines(entries, path, [T.collation_key(F.col("word")), F.col("word")])
+    return json_lines(entries, path, [T.collation_key(F.col("word")), F.col("word")], dry_run)
 
 
 def shards(records: DataFrame, path: str, n: int) -> None:
@@ -57,6 +59,12 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def file_digests(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """file, sha256 (12 hex digits of the file's bytes), bytes: what a published manifest of files is compared with."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.substring(F.sha2("content", 256), 1, 12).alias("sha256"), F.col("length").alias("bytes"))
+
+
 def digest_manifest(named: dict[str, DataFrame], note: dict[str, str] | None = None) -> DataFrame:
     """file, sha256 (12 hex digits over the rows' digests in order), rows, note."""
     rows = []
@@ -71,9 +79,9 @@ def digest_manifest(named: dict[str, DataFrame], note: dict[str, str] | None = N
     return out
 
 
-def bundle(df: DataFrame, order: str) -> DataFrame:
-    """A small table as one JSON array, for a page to load."""
-    return df.agg(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct(order, F.struct(*df.columns).alias("row")))), lambda x: x["row"])).alias("value"))
+def bundle(df: DataFrame, order: str, most: int = 1_000_000) -> DataFrame:
+    """A small table as one JSON array, for a page to load; more than ``most`` rows are an error."""
+    return df.agg(F.when(F.count("*") > most, F.raise_error(F.lit(f"more than {most} rows for one page")).cast("string")).otherwise(F.to_json(F.transform(F.sort_array(F.collect_list(F.struct(order, F.struct(*df.columns).alias("row")))), lambda x: x["row"]))).alias("value"))
 
 
 def unchanged(new: DataFrame, manifest: DataFrame) -> DataFrame:
