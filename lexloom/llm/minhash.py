@@ -16,12 +16,17 @@ keys is then worked off against one of its own, not pair by pair:
 * Pairs for which that reasoning fails (different hubs, or x just short of the link
   while y is smaller than P) meet under their table keys.
 
-So every candidate pair is confirmed or ruled out, and what is compared stays close to the
-number of classes even where thousands of variants of one text share every bucket.
+Where a bucket's members are in so many components that its pairs would outnumber them
+``CROWD`` times (texts filled into one template, say, that share half of it), the
+members are banded once more, with more minhashes a key the more such members there are,
+and meet under those finer keys. So what is compared stays close to the number of
+classes where thousands of variants of one text, or of one template, share every
+bucket. No bucket is capped: a finer key compares all pairs that it holds.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +38,10 @@ from pyspark.sql import functions as F
 from .common import documents, raw_bytes, saved, texts
 from .components import components, merged
 
+#: Pairs a member of a bucket that are compared straight away, members of a bucket that one task compares with
+#: its few others, chance of a pair at the threshold to miss all finer keys, least and most minhashes of a finer key.
+CROWD, SLICE, MISS, FINE = 16, 4096, 2e-4, (10, 20)
+
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD)
 
@@ -133,8 +142,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables:
     are linked. An empty table gives no rows.
 
     A pair of similarity s is missed with probability ``1 - (1 - (1 - s**rows)**tables)**2``:
-    0.0002 at 0.8 with the defaults, 0.00002 at 0.85. Whatever the hashing proposes is
-    decided exactly; no bucket is capped.
+    0.0002 at 0.8 with the defaults, 0.00002 at 0.85; in crowded buckets a pair at the
+    threshold is missed with another ``MISS``, a closer one far less. Whatever the hashing
+    proposes is decided exactly; no bucket is capped. A very long text is held as one
+    array of its distinct shingles.
     """
     view = texts(docs, id_col, text_col)
     held = saved(sets(view, words, tables, rows, seed), "minhash-sets")
@@ -159,7 +170,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables:
     finer = saved(_finer(first, hubs, label, percent), "minhash-finer")
     test(_star_pairs(finer, label, percent))
     label = merged(label, linked(tested[1]))
-    test(_rest_pairs(finer, label, percent).unionByName(_exception_pairs(bucket, hubs, first, label, percent)).distinct())
+    near, crowded = _rest_pairs(finer, label, percent)
+    odd, crowded_too = _exception_pairs(bucket, hubs, first, label, percent)
+    crowd = saved(crowded.unionByName(crowded_too).distinct(), "minhash-crowd")
+    pairs = near.unionByName(odd)
+    if many := crowd.count():
+        pairs = pairs.unionByName(_fine_pairs(_fine_buckets(full.join(crowd, "node"), many, percent, seed), label, percent))
+    test(pairs.distinct())
     label = merged(label, linked(tested[2]))
     by_set = classes.join(label, "node", "left").select("hi", "lo", F.coalesce("component", "node").alias("component"))
     rows_out = held.select("doc_id", "n_shingles", "hi", "lo").join(by_set, ["hi", "lo"], "left")
@@ -245,31 +262,85 @@ def _star_pairs(bucket: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct()
 
 
-def _exception_pairs(bucket: DataFrame, hubs: DataFrame, first: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+def _exception_pairs(bucket: DataFrame, hubs: DataFrame, first: DataFrame, label: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs that need not share an element beyond their hub: members whose hub isn't the one that most of a bucket
     have, with those of other hubs; and members not linked with their hub, but so nearly that
-    smaller ones could be linked with them, with those smaller ones."""
+    smaller ones could be linked with them, with those smaller ones. Beside the pairs, the members of
+    buckets whose pairs of that kind would outnumber them ``CROWD`` times."""
     extra = first.select(F.col("v").alias("node"), F.size("more").alias("extra"), "linked")
     # |x without y| <= (100 |x| - percent |y|) / (100 + percent), so a partner y is at most this large.
     most = F.when(~F.col("linked"), F.floor((F.col("n") * 100 - F.col("extra") * (100 + percent)) / percent)).otherwise(0)
     marked = hubs.join(extra, "node", "left").select("node", "hub", F.coalesce(most, F.lit(0)).alias("most"))
     rows = saved(_open(bucket, label).join(marked, "node"), "minhash-open")
     counted = rows.groupBy("key", "hub").agg(F.count("*").alias("c"), F.min("n").alias("least"))
-    usual = counted.groupBy("key").agg(F.max(F.struct("c", "hub")).alias("m"), F.min("least").alias("least"))
+    usual = counted.groupBy("key").agg(F.max(F.struct("c", "hub")).alias("m"), F.min("least").alias("least"), F.sum("c").alias("all"))
     minor = F.col("hub") != F.col("m.hub")
     short = (F.col("most") >= F.col("least")) & (F.col("most") * 100 >= F.col("n") * percent)
-    some = rows.join(usual, "key").withColumn("minor", minor).where(minor | short).select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"), F.col("hub").alias("xhub"), F.col("most").alias("xmost"), "minor")
+    some = rows.join(usual, "key").withColumn("minor", minor).where(minor | short).select("key", "all", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"), F.col("hub").alias("xhub"), F.col("most").alias("xmost"), "minor")
     due = (F.col("minor") & (F.col("xhub") != F.col("hub"))) | ((F.col("xhub") == F.col("hub")) & (F.col("n") <= F.col("xmost")))
-    met = some.join(rows, "key").where((F.col("x") != F.col("node")) & (F.col("xc") != F.col("c")) & due).where(_sized("n", "xn", percent))
+    # Members of one hub and size are asked for together, so only pairs that are due are ever formed.
+    cells = rows.groupBy("key", "hub", "n").agg(F.count("*").alias("members"))
+    asked = saved(some.join(cells, "key").where(due).where(_sized("n", "xn", percent)).select("key", "all", "x", "xc", "hub", "n", "members"), "minhash-odd")
+    crowds = asked.groupBy("key").agg(F.sum("members").alias("pairs"), F.max("all").alias("all")).where(f"pairs > all * {CROWD}").select("key")
+    met = asked.join(crowds, "key", "left_anti").join(rows, ["key", "hub", "n"]).where("x != node AND xc != c")
+    return met.select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct(), rows.join(crowds, "key", "left_semi").select("node").distinct()
+
+
+def _met(some: DataFrame, rows: DataFrame) -> DataFrame:
+    """Chosen members (key, all: members of the key, ...) with all members of their key, a large key's in slices."""
+    slices = lambda c: F.expr(f"({c} + {SLICE - 1}) div {SLICE}")
+    size = some.select("key", slices("all").alias("slices")).distinct()
+    left = some.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), slices("all") - 1))).drop("all")
+    right = rows.join(size, "key").withColumn("slice", F.pmod(F.xxhash64("node"), "slices"))
+    return left.join(right.drop("slices"), ["key", "slice"])
+
+
+def _cross(own: DataFrame) -> DataFrame:
+    """key, all, main, pairs: members, the component that most are in, and the pairs of different components."""
+    counted = own.groupBy("key", "c").agg(F.count("*").alias("m"))
+    found = counted.groupBy("key").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("same"), F.max(F.struct("m", "c"))["c"].alias("main"))
+    return found.select("key", "all", "main", F.expr("(all * all - same) div 2").alias("pairs"))
+
+
+def _pairs_of(own: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components under the given keys: those outside a key's main component with all."""
+    some = own.join(keys, "key").where("c != main").select("key", "all", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))
+    met = _met(some, own).where("xc != c").where(_sized("n", "xn", percent))
     return met.select(F.least("x", "node").alias("u"), F.greatest("x", "node").alias("v")).distinct()
 
 
-def _rest_pairs(bucket: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Members of one bucket that are in different components."""
-    own = _open(bucket, label)
-    other = own.select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))
-    met = own.join(other, "key").where("node < x AND xc != c").where(_sized("n", "xn", percent))
-    return met.select(F.col("node").alias("u"), F.col("x").alias("v")).distinct()
+def _rest_pairs(bucket: DataFrame, label: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Members of one bucket that are in different components, and, beside them, the members of crowded buckets."""
+    own = saved(_open(bucket, label).select("key", "node", "n", "c"), "minhash-rest")
+    sizes = saved(_cross(own), "minhash-crossed")
+    few, many = sizes.where(f"pairs <= all * {CROWD}"), sizes.where(f"pairs > all * {CROWD}")
+    return _pairs_of(own, few, percent), own.join(many.select("key"), "key", "left_semi").select("node").distinct()
+
+
+def _fine_buckets(full: DataFrame, many: int, percent: int, seed: int) -> DataFrame:
+    """(key, node, n) of crowded classes under finer keys, for keys that two share. Texts that share half of their
+    shingles meet under a few keys a class, however many they are; pairs at the threshold miss all with ``MISS``."""
+    near = percent / 100
+    rows = min(FINE[1], max(FINE[0], math.ceil(math.log(max(2, many)) / math.log(2 * near)))) if near > 0.5 else FINE[0]
+    tables = math.ceil(math.log(MISS) / math.log1p(-(near**rows))) if near < 1 else 1
+    sketch = Sketch(-(-tables // 2), rows, seed + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, shingles in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = shingles.values.to_numpy().view(np.uint64)
+                keys = sketch.half_keys(own).ravel()
+                keys = scramble(keys + np.arange(len(keys), dtype=np.uint64) * np.uint64(_MIX[1])).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), node)), pa.array(np.full(len(keys), len(own)))], ["key", "node", "n"])
+
+    member = saved(full.select("node", "shingles").mapInArrow(run, "key long, node long, n long"), "minhash-fine")
+    return member.join(member.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key")
+
+
+def _fine_pairs(bucket: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components under finer keys."""
+    own = saved(_open(bucket, label).select("key", "node", "n", "c"), "minhash-fine-open")
+    return _pairs_of(own, _cross(own), percent)
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
