@@ -59,6 +59,17 @@ def attestation(tokens: DataFrame, encyclopedia: Column, by: str = "form") -> Da
     return per_source.groupBy(by).agg(F.sum("n").alias("occurrences"), F.count("*").alias("sources"), F.count_if(~F.col("wp")).alias("sources_lit"), F.count_if("wp").alias("sources_wiki"))
 
 
+def fragments(docs: DataFrame, model: LanguageModel = DEFAULT, text: str = "text") -> DataFrame:
+    """form, n, n_fragment: how often a form stands by itself, and how often a hyphen or a letter outside the
+    alphabet touches it. Tokens are taken with their neighbours by one pattern."""
+    own = model.token_pattern.removesuffix("]+").removeprefix("[")
+    beside = rf"([^{own}\P{{L}}]|-)?"
+    cells = docs.select(F.explode(F.regexp_extract_all(text, F.lit(f"{beside}({model.token_pattern}){beside}"), F.lit(0))).alias("m"))
+    token = F.regexp_extract("m", f"({model.token_pattern})", 1)
+    flagged = cells.select(F.lower(token).alias("form"), (F.length("m") > F.length(token)).alias("fragment"))
+    return flagged.groupBy("form").agg(F.count("*").alias("n"), F.count_if("fragment").alias("n_fragment"))
+
+
 def fragment_flag(line: Column, start: Column, token: Column) -> Column:
     """A token is a fragment if a hyphen or a letter outside the alphabet touches it. ``start`` counts from 0."""
     before, after = F.substring(line, start, F.lit(1)), F.substring(line, start + F.length(token) + 1, F.lit(1))

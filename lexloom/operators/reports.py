@@ -46,7 +46,8 @@ def near_misses(books: DataFrame, most: int = 40) -> DataFrame:
 
 def conflict_split(candidates: DataFrame) -> DataFrame:
     """Candidates with clashing verdicts, and with clashing glosses alone."""
-    verdict, gloss = (F.exists("conflicts", lambda c, n=n: c["field"] == n) for n in ("verdict", "gloss"))
+    clash = lambda n: F.exists("conflicts", lambda c: c["field"] == n)
+    verdict, gloss = clash("verdict"), clash("gloss")
     return candidates.agg(F.count_if(verdict).alias("verdicts"), F.count_if(gloss & ~verdict).alias("glosses_only"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.model import DEFAULT
 from ..operators import corpus as O
 from ..operators import lexicon as L
 from ..sources import markup
@@ -154,6 +155,16 @@ ORACLE_SQL = {
     "html_text": f"SELECT page_id, {_STRIP.format(x='html')} AS text FROM pages",
     "page_titles": r"SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '(?i)\.djvu$', ''), '[^\p{L}\p{N}\p{M}_]+', '_', 'g'), '_') AS slug FROM pages",
     "template_resolve": "SELECT * FROM (VALUES ('{{lang|pl|Prus}}', 'Prus'), ('{{SIC|as-printed|corrected}}', 'corrected'), ('{{rh|x}}', ''), ('{{center|teksto}}', 'teksto')) v(text, plain)",
+    "blank_run_collapse": r"""WITH a AS (SELECT page_id, string_split(regexp_replace(regexp_replace(html, '<[^>]+>', chr(10), 'g'), '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM pages),
+      b AS (SELECT page_id, [regexp_replace(x, '\s+$', '') for x in CASE WHEN ls[-1] = '' THEN ls[:-2] ELSE ls END] AS ls FROM a), c AS (SELECT page_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM b), k AS (SELECT page_id, i, ls[i] = '' AS blank, i > 1 AND ls[i - 1] = '' AS after FROM c),
+      e AS (SELECT page_id, min(i) FILTER (WHERE NOT blank) AS lo, max(i) FILTER (WHERE NOT blank) AS hi FROM k GROUP BY page_id)
+      SELECT p.page_id, count(*) FILTER (WHERE i BETWEEN lo AND hi AND NOT (blank AND after)) AS n_lines FROM pages p LEFT JOIN k USING (page_id) LEFT JOIN e USING (page_id) GROUP BY p.page_id""",
+    "wikitext_prose": "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("NULL" if x is None else "'" + x.replace("'", "''") + "'" for x in (page, said)) + ")" for page, said in zip(WIKI_PAGES, ["skribis libron. Jes bela vivo.", None, "Prozo plu."], strict=True)) + ") v(text, prose)",
+    "mail_clean": "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in (mail, said)) + ")" for mail, said in zip(MAIL, ["Saluton mondo", "unua linio dua linio", ""], strict=True)) + ") v(text, body)",
+    "headword_checks": f"""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '{LETTERS.replace("'", "''")}')) AS w FROM benchmark), x AS (SELECT w, lower(w) AS l FROM w)
+      SELECT w, regexp_full_match(l, '[abcĉdefgĝhĥijĵklmnoprsŝtuŭvz]+') AND (regexp_matches(l, '[oaei]$') OR l IN ({", ".join("'" + c + "'" for c in sorted(DEFAULT.closed_class))})) AS headword, left(sha256(w), 12) AS digest,
+      CASE {" ".join(f"WHEN l LIKE '%{t}' AND length(l) > 3 THEN left(l, length(l) - 2) || 'i'" for t in ("as", "is", "os", "us"))} ELSE l END AS infinitive, regexp_full_match(l, '[ivxlcdm]+') AS roman,
+      CASE {" ".join(f"WHEN l IN ({', '.join(chr(39) + c + chr(39) for c in words)}) THEN '{name}'" for name, words in L.BARE_CLASSES)} ELSE 'particle' END AS "class" FROM x""",
     "curation_histogram": "SELECT count(*) AS articles, " + ", ".join(f"count(*) FILTER (WHERE n_chars >= {b}) AS at_least_{b}" for b in (1000, 2000, 3000, 5000)) + " FROM documents",
     "size_gate": "SELECT doc_id, n_chars FROM documents WHERE n_chars BETWEEN 500 AND 5000",
     "collation_sort_rank": f"""WITH w AS (SELECT DISTINCT word FROM (SELECT lower(unnest(regexp_extract_all(text, '{LETTERS.replace("'", "''")}'))) AS word FROM documents UNION ALL SELECT * FROM (VALUES {_values(WORDS)}) v(word)))

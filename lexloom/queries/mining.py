@@ -8,7 +8,7 @@ from ..functions import morphology as M
 from ..functions import text as T
 from ..operators import curation as C
 from ..operators import mining as O
-from ..sources.steps import saved
+from ..sources.steps import saved, spread
 from .common import SQL_CITE, SQL_LINES, SQL_POS, SQL_STRIP, SQL_TOKENS, SQL_VOCAB, SQL_WIKI, LETTERS, table, wiki
 
 _PATTERN = LETTERS.replace("'", "''")
@@ -122,11 +122,7 @@ def gap_queue(spark, d):
 
 def fragment_tokens(spark, d):
     """Tokens that a hyphen or a letter outside the alphabet touches."""
-    text = F.col("text")
-    near = F.regexp_extract_all(text, F.lit(rf"([^a-zA-ZĉĝĥĵŝŭĈĜĤĴŜŬ'\P{{L}}]|-)?({LETTERS})([^a-zA-ZĉĝĥĵŝŭĈĜĤĴŜŬ'\P{{L}}]|-)?"), F.lit(0))
-    cells = table(spark, d, "documents").select(F.explode(near).alias("m"))
-    token = F.regexp_extract("m", f"({LETTERS})", 1)
-    return cells.select(F.lower(token).alias("form"), (F.length("m") > F.length(token)).alias("fragment")).groupBy("form").agg(F.count("*").alias("n"), F.count_if("fragment").alias("n_fragment"))
+    return O.fragments(spread(table(spark, d, "documents").select("text")))
 
 
 def text_score(spark, d):
@@ -227,8 +223,9 @@ ORACLE_SQL = {
     "quality_triage": f"{_SCORE} SELECT source, CASE WHEN recognised >= 80 AND singletons < 5 THEN 'usable' WHEN recognised < 65 OR singletons >= 10 THEN 'poor' WHEN recognised BETWEEN 65 AND 80 THEN 'marginal' ELSE 'unclassified' END AS triage FROM r",
     "fragment_tokens": rf"""WITH m AS (SELECT unnest(regexp_extract_all(text, '([^a-zA-ZĉĝĥĵŝŭĈĜĤĴŜŬ''\P{{L}}]|-)?({_PATTERN})([^a-zA-ZĉĝĥĵŝŭĈĜĤĴŜŬ''\P{{L}}]|-)?')) AS m FROM documents),
       x AS (SELECT m, regexp_extract(m, '({_PATTERN})', 1) AS token FROM m) SELECT lower(token) AS form, count(*) AS n, count(*) FILTER (WHERE length(m) > length(token)) AS n_fragment FROM x GROUP BY 1""",
-    "compound_split": f"""WITH {SQL_TOKENS}, {SQL_VOCAB}, stock AS (SELECT form FROM vocab WHERE length(form) >= 3 AND form NOT IN ({{barred}})), f AS (SELECT DISTINCT form FROM t),
-      c AS (SELECT form, unnest(range(3, length(form) - 2)) AS i FROM f), ok AS (SELECT DISTINCT form FROM c WHERE left(form, i) IN (SELECT form FROM stock) AND (substr(form, i + 1) IN (SELECT form FROM stock) OR (substr(form, i + 1, 1) = 'o' AND length(form) - i > 3 AND substr(form, i + 2) IN (SELECT form FROM stock))))
+    "compound_split": f"""WITH {SQL_TOKENS}, {SQL_VOCAB}, stock AS (SELECT form AS part FROM vocab WHERE length(form) >= 3 AND form NOT IN ({{barred}})), f AS (SELECT DISTINCT form FROM t),
+      c AS (SELECT form, unnest(range(3, length(form) - 2)) AS i FROM f), parts AS (SELECT form, left(form, i) AS a, substr(form, i + 1) AS b FROM c), half AS (SELECT form, b FROM parts SEMI JOIN stock ON stock.part = parts.a),
+      tails AS (SELECT form, b FROM half UNION ALL SELECT form, substr(b, 2) FROM half WHERE left(b, 1) = 'o' AND length(b) > 3), ok AS (SELECT DISTINCT form FROM tails SEMI JOIN stock ON stock.part = tails.b)
       SELECT form, form IN (SELECT form FROM ok) AS compound FROM f""",
 }
 _MODEL = M.DEFAULT

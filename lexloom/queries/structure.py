@@ -37,23 +37,6 @@ def base_completeness(spark, d):
     return O.missing_bases(parallel_pairs(spark, d), turns.where("id % 7 != 0").select("id"))
 
 
-def _ledger(spark, d):
-    labels = table(spark, d, "labels")
-    return labels.select(F.concat(F.lit("w"), F.col("doc_id").cast("string")).alias("lemma"), F.when(F.col("quality") == 1, "lemma").otherwise("foreign").alias("verdict"), F.lit(None).cast("string").alias("gloss"), F.lit("seen").alias("note"), F.col("doc_id").alias("ord"))
-
-
-def _batch(spark, d):
-    return table(spark, d, "documents").where("n_chars < 600").select(F.concat(F.lit("w"), F.col("doc_id").cast("string")).alias("lemma"), F.lit("uncertain").alias("verdict"), F.col("lang").alias("gloss"), F.concat(F.lit("seen; "), F.col("source")).alias("note"), F.col("doc_id").alias("ord"))
-
-
-def ledger_upsert(spark, d):
-    return C.upsert(_ledger(spark, d), _batch(spark, d)).select("lemma", "verdict", "gloss", "note", "is_new")
-
-
-def unmatched_verdicts(spark, d):
-    return C.unmatched(_batch(spark, d), _ledger(spark, d)).select("lemma", "gloss")
-
-
 def _forms(spark, d, name):
     return table(spark, d, name).select(F.explode(F.regexp_extract_all("text", F.lit(LETTERS), F.lit(0))).alias("t")).select(F.lower("t").alias("form")).distinct()
 
@@ -64,13 +47,6 @@ def ledger_fallback_join(spark, d):
     return C.replay(_forms(spark, d, "documents").select(F.col("form").alias("lemma")), ledger).select("lemma", "verdict", "matched")
 
 
-def merge_precedence(spark, d):
-    """Source of each word when three layers hold words: the first layer that has it, its smallest document."""
-    docs = table(spark, d, "documents").select("doc_id", "source", F.explode(F.regexp_extract_all("text", F.lit(LETTERS), F.lit(0))).alias("t")).select(F.lower("t").alias("word"), "source", F.col("doc_id").alias("ord")).groupBy("word", "source").agg(F.min("ord").alias("ord"))
-    layers = [docs.where(F.col("source") == s) for s in ("src9", "src5", "src0")]
-    return L.first_by_precedence(layers).select("word", "source", "ord")
-
-
 def english_index(spark, d):
     parts = table(spark, d, "part").select(F.col("p_brand").alias("english"), F.lit("").alias("sense"), F.col("p_name").alias("word"), F.col("p_partkey").alias("ord"))
     return L.english_index(parts).select("english", F.array_join("words", "|").alias("words"))
@@ -97,11 +73,6 @@ def catalog_counts(spark, d):
     return O.catalogue_counts(_catalog(spark, d))
 
 
-def dictionary_search(spark, d):
-    entries = table(spark, d, "part").select(F.col("p_name").alias("word"), F.col("p_type").alias("gloss_en"), F.col("p_brand").alias("source"), F.lit("noun").alias("pos"), F.col("p_partkey").alias("ord"))
-    return O.dictionary_search(entries, "ste", None, "Brand#1", 50).select("ord", "word", "source")
-
-
 def license_union(spark, d):
     """Documents as books credited by names in their text's first line, free by an author's death or a year."""
     books = table(spark, d, "documents").select(F.concat_ws(" ", "source", F.regexp_extract("text", "(Apache|MIT|Creative)", 1), F.lit("1922")).alias("book"), F.col("n_chars").alias("good"), "doc_id")
@@ -137,8 +108,7 @@ def month_windows(spark, d):
 
 def event_dedup(spark, d):
     """The first event of each user and type, as the stream's deduplication keeps it."""
-    e = table(spark, d, "events")
-    return e.groupBy("user_id", "event_type").agg(F.min(F.struct(F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")).alias("f")).select("user_id", "event_type", "f.event_id")
+    return crawl.first_rows(table(spark, d, "events"), ["user_id", "event_type"], "ts", "event_id").select("user_id", "event_type", "event_id")
 
 
 def month_series(spark, d):
@@ -146,35 +116,39 @@ def month_series(spark, d):
 
 
 _NAMED = [
-    parallel_pairs, pairs_cc0, base_completeness, ledger_upsert, unmatched_verdicts, ledger_fallback_join, merge_precedence, english_index, entries_from_heads, source_catalog, catalog_counts, dictionary_search, license_union,
+    parallel_pairs, pairs_cc0, base_completeness, ledger_fallback_join, english_index, entries_from_heads, source_catalog, catalog_counts, license_union,
     shard_packing, book_assembly, context_window, citation_check, month_windows, event_dedup, month_series,
 ]
 QUERIES = {f.__name__: f for f in _NAMED}
 _TURNS = "turns AS (SELECT *, conv_id * 1000 + turn AS id FROM conversations), l AS (SELECT id AS a, id + 1 AS b FROM turns UNION ALL SELECT id + 1, id FROM turns WHERE id % 2 = 0), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), p AS (SELECT x.id AS left_id, y.id AS right_id, x.text AS left_text, y.text AS right_text FROM e JOIN turns x ON x.id = a AND x.role = 'user' JOIN turns y ON y.id = b AND y.role = 'assistant')"
-_LEDGER = "led AS (SELECT 'w' || doc_id AS lemma, CASE WHEN quality = 1 THEN 'lemma' ELSE 'foreign' END AS verdict FROM labels), bat AS (SELECT 'w' || doc_id AS lemma, lang AS gloss, 'seen; ' || source AS note FROM documents WHERE n_chars < 600)"
 _P = LETTERS.replace("'", "''")
 _CAT = "cat AS (SELECT doc_id AS file, d.source AS title, lang AS origin, quality, CASE WHEN lang = 'en' AND n_chars > 3000 THEN 'english' WHEN lang = 'fr' THEN 'multilingual' WHEN d.source = 'src3' THEN 'OCR' END AS excluded, n_chars < 100 AS quarantined FROM documents d LEFT JOIN labels USING (doc_id))"
 ORACLE_SQL = {
     "parallel_pairs": f"WITH {_TURNS} SELECT * FROM p",
     "pairs_cc0": f"WITH {_TURNS} SELECT left_id, right_id FROM p WHERE left_id % 3 = 0 AND right_id % 2 = 0",
     "base_completeness": f"WITH {_TURNS}, w AS (SELECT left_id AS id FROM p UNION SELECT right_id FROM p) SELECT id FROM w WHERE id NOT IN (SELECT id FROM turns WHERE id % 7 <> 0)",
-    "ledger_upsert": f"WITH {_LEDGER} SELECT lemma, CASE WHEN b.lemma IS NOT NULL THEN 'uncertain' ELSE led.verdict END AS verdict, b.gloss, CASE WHEN b.note IS NOT NULL THEN b.note ELSE 'seen' END AS note, led.verdict IS NULL AS is_new FROM led FULL JOIN bat b USING (lemma)",
-    "unmatched_verdicts": f"WITH {_LEDGER} SELECT lemma, gloss FROM bat WHERE lemma NOT IN (SELECT lemma FROM led)",
     "ledger_fallback_join": f"""WITH v AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{_P}'))) AS lemma FROM benchmark), led AS (SELECT lemma, CASE WHEN length(lemma) > 5 THEN 'lemma' ELSE 'inflection' END AS verdict FROM v),
       f AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{_P}'))) AS form FROM documents), c AS (SELECT form, {SQL_CITE} AS cited FROM f)
       SELECT form AS lemma, coalesce(a.verdict, b.verdict) AS verdict, CASE WHEN a.verdict IS NOT NULL THEN 'exact' WHEN b.verdict IS NOT NULL THEN 'citation form' END AS matched FROM c LEFT JOIN led a ON a.lemma = form LEFT JOIN led b ON b.lemma = cited""",
-    "merge_precedence": f"""WITH t AS (SELECT doc_id, source, lower(unnest(regexp_extract_all(text, '{_P}'))) AS word FROM documents WHERE source IN ('src9', 'src5', 'src0')), g AS (SELECT word, source, min(doc_id) AS ord FROM t GROUP BY ALL)
-      SELECT word, source, ord FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY CASE source WHEN 'src9' THEN 0 WHEN 'src5' THEN 1 ELSE 2 END, ord) AS r FROM g) WHERE r = 1""",
     "english_index": "WITH f AS (SELECT p_brand, p_name, min(p_partkey) AS o FROM part GROUP BY ALL) SELECT p_brand AS english, string_agg(p_name, '|' ORDER BY o, p_name) AS words FROM f GROUP BY 1",
     "source_catalog": f"WITH {_CAT} SELECT * FROM cat",
     "catalog_counts": f"WITH {_CAT} SELECT count(*) AS n_all, count(*) FILTER (WHERE excluded IS NULL AND NOT quarantined) AS n_pool, count(*) FILTER (WHERE excluded IS NOT NULL AND NOT quarantined) AS n_excluded, count(*) FILTER (WHERE quarantined) AS n_quarantined FROM cat",
-    "dictionary_search": "SELECT p_partkey AS ord, p_name AS word, p_brand AS source FROM part WHERE (lower(p_name) LIKE '%ste%' OR lower(p_type) LIKE '%ste%') AND p_brand LIKE 'Brand#1%' ORDER BY p_partkey LIMIT 50",
     "license_union": """WITH b AS (SELECT concat_ws(' ', source, regexp_extract(text, '(Apache|MIT|Creative)', 1), '1922') AS book, max(n_chars) AS good FROM documents GROUP BY 1),
       c AS (SELECT book, good, max(death) AS death FROM b LEFT JOIN (VALUES ('Apache', 1917), ('MIT', 1962), ('Creative', 1950), ('src1', 1959)) a(name, death) ON contains(book, name) GROUP BY ALL),
       y AS (SELECT *, 1922 AS year, concat_ws(',', CASE WHEN death + 71 <= 2026 THEN 'source-country' END, 'US') AS basis FROM c)
       SELECT book, death, year, basis, CASE WHEN contains(book, 'src2') THEN 'held' WHEN good < 3000 THEN 'too few pages' END AS reason FROM y""",
     "book_assembly": "SELECT conv_id AS book, string_agg(text, chr(10) ORDER BY turn, text) AS text, count(*) FILTER (WHERE role = 'user') AS good, count(*) AS scanned FROM conversations GROUP BY 1",
     "context_window": """SELECT conv_id AS source, turn AS line, string_agg(text, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 PRECEDING AND 2 FOLLOWING) AS "window" FROM conversations""",
+    "citation_check": r"""WITH c AS (SELECT DISTINCT conv_id AS source, turn - 1 AS line, left(text, 20) AS quote FROM conversations),
+      n AS (SELECT c.source, c.line, quote, string_agg(text, ' ' ORDER BY turn) AS found FROM c LEFT JOIN conversations v ON v.conv_id = c.source AND turn BETWEEN c.line - 1 AND c.line + 2 GROUP BY ALL)
+      SELECT source, line, CASE WHEN found IS NULL THEN 'no such line' WHEN contains(trim(regexp_replace(found, '\s+', ' ', 'g')), trim(regexp_replace(quote, '\s+', ' ', 'g'))) THEN 'ok' ELSE 'not found' END AS status FROM n""",
+    "entries_from_heads": """WITH g AS (SELECT p_brand AS word, lower(p_type) AS gloss, min(p_partkey) AS o FROM part GROUP BY ALL), gl AS (SELECT word, string_agg(gloss, '; ' ORDER BY o) FILTER (WHERE r <= 6) AS gloss_en FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY o) AS r FROM g) GROUP BY word),
+      h AS (SELECT p_brand AS word, string_agg(p_type, '|' ORDER BY p_partkey) FILTER (WHERE r <= 8) AS heads FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS r FROM part) GROUP BY 1)
+      SELECT word, 'unknown' AS pos, gloss_en, heads FROM gl JOIN h USING (word)""",
+    "shard_packing": """WITH RECURSIVE s AS (SELECT source AS name, CAST(sum(n_chars) AS BIGINT) AS size FROM documents GROUP BY source), o AS (SELECT *, row_number() OVER (ORDER BY size DESC, name DESC) AS i FROM s),
+      p AS (SELECT CAST(0 AS BIGINT) AS i, CAST('' AS VARCHAR) AS name, CAST(0 AS BIGINT) AS size, CAST(-1 AS INT) AS shard, [0::BIGINT, 0, 0, 0] AS w
+        UNION ALL SELECT o.i, o.name, o.size, CAST(list_position(w, list_min(w)) - 1 AS INT), [CASE WHEN j = list_position(w, list_min(w)) THEN w[j] + o.size ELSE w[j] END for j in range(1, 5)] FROM p JOIN o ON o.i = p.i + 1)
+      SELECT name, size, shard FROM p WHERE i > 0""",
     "month_windows": "SELECT strftime(ts, '%Y-%m') AS month, count(*) AS n FROM events GROUP BY 1",
     "event_dedup": "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS r FROM events) WHERE r = 1",
     "month_series": "SELECT strftime(m, '%Y-%m') AS month FROM (SELECT unnest(generate_series(DATE '1995-05-01', DATE '2002-12-01', INTERVAL 1 MONTH)) AS m)",

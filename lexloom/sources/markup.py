@@ -186,14 +186,16 @@ class Mbox(DataSource):
         return _MboxReader(self.options["path"])
 
 
-#: A strict envelope line: anything less is a line of text that happens to start with From.
-ENVELOPE = re.compile(rb"^From \S.*? (?:Mon|Tue|Wed|Thu|Fri|Sat|Sun) .*?\d{4}.*\r?\n", re.M)
+#: A strict envelope line, with or without a comma behind the day: anything less is a line of text that happens to
+#: start with From.
+_MONTH = rb"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)"
+ENVELOPE = re.compile(rb"^From \S{1,64} +(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),? +(?:\d{1,2} +" + _MONTH + rb"|" + _MONTH + rb" +\d{1,2}).*\d{4}.*\r?\n", re.M)
 
 
 def split_mbox(data: bytes) -> Iterator[bytes]:
     marks = list(ENVELOPE.finditer(data))
-    for m, after in zip(marks, [*marks[1:], None], strict=True):
-        yield data[m.end() : after.start() if after else len(data)]
+    for m, end in zip(marks, [*(x.start() for x in marks[1:]), len(data)], strict=False):
+        yield data[m.end() : end]
 
 
 class _MboxReader(DataSourceReader):
@@ -205,7 +207,7 @@ class _MboxReader(DataSourceReader):
 
         store, root = pafs.FileSystem.from_uri(self.path if "://" in self.path or self.path.startswith("/") else f"/{self.path}")
         info = store.get_file_info(root)
-        files = [info.path] if info.type == pafs.FileType.File else [f.path for f in store.get_file_info(pafs.FileSelector(root)) if f.type == pafs.FileType.File]
+        files = [info.path] if info.type == pafs.FileType.File else [f.path for f in store.get_file_info(pafs.FileSelector(root)) if f.type == pafs.FileType.File and not f.base_name.startswith((".", "_"))]
         return [InputPartition(f) for f in sorted(files)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:

@@ -12,6 +12,13 @@ def once(stream: DataFrame, key: str, time: str, late: str = "7 days") -> DataFr
     return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
+def first_rows(rows: DataFrame, keys: list[str], time: str, tie: str) -> DataFrame:
+    """What ``once`` keeps of rows that arrive in the order of their time: the first row of the keys, ties by a column."""
+    rest = [c for c in rows.columns if c not in keys]
+    first = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(F.col(time).cast("timestamp_ntz"), tie)).alias("f"))
+    return first.select(*keys, "f.*")
+
+
 def by_month(rows: DataFrame, time: str) -> DataFrame:
     return rows.withColumn("month", F.date_format(F.date_trunc("month", F.col(time).cast("timestamp")), "yyyy-MM"))
 
