@@ -277,7 +277,7 @@ def flowing_entries(text: str, letters: str = HEAD_LETTERS) -> list[tuple[str, l
     quotation mark, a section letter or the start."""
     word = rf"[{letters}]+(?:'[{letters}]+)*'?"
     field = r"\s*([^|]{1,300}?)\s*"
-    entry = re.compile(rf"(?:^|(?<=[.»])|(?<= [A-ZĈĜĤĴŜŬ]))\s*({word}){field}\|{field}\|{field}\|{field}\|\s*(.{{1,350}}?)\s*\.(?=\s*(?:[{letters}]|$))")
+    entry = re.compile(rf"(?:^|(?<=[.»]))\s*(?:[A-ZĈĜĤĴŜŬ]\s+)?({word}){field}\|{field}\|{field}\|{field}\|\s*(.{{1,350}}?)\s*\.(?=\s*(?:[{letters}]|$))")
     return [(m[1], list(m.groups()[1:])) for m in entry.finditer(" ".join(text.split()))]
 
 
