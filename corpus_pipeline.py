@@ -18,27 +18,36 @@ from lexloom.llm.secrets import redacted, train
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that policy v2 rejects go."""
+    """Documents that policy v2 rejects go, by one measurement of the whole text and the ledger's bits; the rest keep
+    all their columns. Null, empty and short texts have too few words and go; each of repeated rows is judged alike,
+    rows without a doc_id too; an empty table stays empty."""
     return passing(docs, "v2")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, at five-word shingles and 0.8, the smallest doc_id stays."""
+    """Of each group of near duplicates, at five-word shingles and 0.8, the smallest doc_id stays. Rows that repeat a
+    doc_id that stays all stay; rows without a doc_id, and null or empty texts, are nobody's duplicates and stay; whole
+    texts of any length are compared; other columns are as they were; an empty table stays empty."""
     return distinct_documents(docs, percent=80, words=5)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are cut out of the texts; every document stays."""
+    """Secrets are cut out of the texts and n_chars follows; every document stays, null and empty texts as they are, each
+    of repeated rows alike, a null source as an empty path; an empty table stays empty."""
     return redacted(docs, train())
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the order of the mix; every document stays."""
+    """Documents in the order of the mix; every row stays, with its columns. A null source is a source of its own, a null
+    or empty text takes no room, repeated rows stand side by side, a text longer than a block uses up the blocks it
+    covers; an empty table stays empty."""
     return mixed(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Windows of 1024 ids, filled in the order of the files, which is that of the mix."""
+    """Windows of 1024 ids, filled in the order of the files, which is that of the mix. A null or empty text has the end
+    id alone, repeated rows and rows without a doc_id are packed like any other, a long text runs over as many windows
+    as it needs; an empty table gives no rows."""
     return digest(pack(docs, in_file_order=True))
 
 
