@@ -51,12 +51,13 @@ def is_capital(token: Column) -> Column:
     return first != F.lower(first)
 
 
-def attestation(tokens: DataFrame, encyclopedia: Column, by: str = "form") -> DataFrame:
+def attestation(tokens: DataFrame, encyclopedia: Column, by: str = "form", per_source: bool = False, sums: tuple[str, ...] = ()) -> DataFrame:
     """Occurrences and distinct sources of each form, sources split by register. One partial
-    aggregate by (form, source), then one by form: no distinct expansion. Rows with a count ``n`` stand for so many tokens."""
+    aggregate by (form, source), then one by form: no distinct expansion. Rows with a count ``n`` stand for so many tokens;
+    with ``per_source`` there is one row a form and source already. ``sums``: other counts that are added up."""
     times = F.sum("n") if "n" in tokens.columns else F.count("*")
-    per_source = tokens.groupBy(by, "source").agg(times.alias("n"), F.max(encyclopedia).alias("wp"))
-    return per_source.groupBy(by).agg(F.sum("n").alias("occurrences"), F.count("*").alias("sources"), F.count_if(~F.col("wp")).alias("sources_lit"), F.count_if("wp").alias("sources_wiki"))
+    rows = tokens.withColumn("wp", encyclopedia) if per_source else tokens.groupBy(by, "source").agg(times.alias("n"), F.max(encyclopedia).alias("wp"), *(F.sum(c).alias(c) for c in sums))
+    return rows.groupBy(by).agg(F.sum("n").alias("occurrences"), F.count("*").alias("sources"), F.count_if(~F.col("wp")).alias("sources_lit"), F.count_if("wp").alias("sources_wiki"), *(F.sum(c).alias(c) for c in sums))
 
 
 def fragments(docs: DataFrame, model: LanguageModel = DEFAULT, text: str = "text") -> DataFrame:
@@ -88,26 +89,25 @@ def refine_kind(tokens: DataFrame, lemma: str = "lemma", kind: str = "kind", fra
     return tokens.withColumns({"lemma": F.when(derived | (unknown & ~capital), cited).when(unknown, low).otherwise(F.col(lemma)), "kind": F.when(derived, "derived").when(unknown & broken, "fragment").otherwise(F.col(kind)), "capital": capital})
 
 
-def mine(cells: DataFrame, places: DataFrame, lines: DataFrame, min_count: int = 1, citations: int = 3) -> DataFrame:
-    """Lemma records. ``cells``: refined counts (token, form, source, n, lemma, kind, capital); ``places``: the first
-    ``citations`` places of every token (token, rank, source, line, pos); ``lines``: (source, line, line_text).
+def mine(cells: DataFrame, kinds: DataFrame, places: DataFrame, lines: DataFrame, min_count: int = 1, citations: int = 3) -> DataFrame:
+    """Lemma records. ``cells``: counts (token, form, source, n); ``kinds``: what each token is, refined (token, form, lemma, kind,
+    capital); ``places``: the first ``citations`` places of every token (token, rank, source, line, pos); ``lines``: (source,
+    line, line_text).
 
-    A lemma's first places are among those of its tokens, so only these meet the analysis, and
+    A lemma's first places are among those of its tokens, so only these meet the kinds, and
     only the places that are left meet their lines."""
-    base = cells.where(~F.col("kind").isin("grammatical", "correlative") & T.minable(F.col("form")))
-    forms = base.groupBy("lemma", "form").agg(F.sum("n").alias("n"))
-    maps = forms.groupBy("lemma").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("form", "n")))).alias("forms"))
-    sources = base.groupBy("lemma", "source").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("capital"), F.col("n")).otherwise(0)).alias("caps"))
-    totals = sources.groupBy("lemma").agg(F.sum("n").alias("count"), F.sum("caps").alias("caps"), F.sort_array(F.collect_list("source")).alias("files"))
-    kinds = base.groupBy("token").agg(F.first("lemma").alias("lemma"), F.first("kind").alias("kind"))
-    met = places.join(kinds, "token").withColumn("ord", F.struct("source", "line", "pos"))
-    first = met.groupBy("lemma").agg(F.min_by(F.struct("kind", T.guess_pos(F.col("token")).alias("pos_guess")), "ord").alias("f"))
+    own = kinds.where(~F.col("kind").isin("grammatical", "correlative") & T.minable(F.col("form"))).select("token", "form", "lemma", "kind", "capital")
+    base = own.join(cells.groupBy("token").agg(F.sum("n").alias("n")), "token")
+    forms = base.groupBy("lemma", "form").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("capital"), F.col("n")).otherwise(0)).alias("caps"))
+    totals = forms.groupBy("lemma").agg(F.sum("n").alias("count"), F.sum("caps").alias("caps"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("form", "n")))).alias("forms"))
+    files = cells.select("token", "source").join(own.select("token", "lemma"), "token").select("lemma", "source").distinct().groupBy("lemma").agg(F.sort_array(F.collect_list("source")).alias("files"))
+    met = places.join(own.select("token", "lemma", "kind"), "token").withColumn("ord", F.struct("source", "line", "pos"))
     ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("lemma").orderBy("ord"))).where(F.col("rank") <= citations)
-    shown = with_lines(ranked.select("lemma", "rank", "source", "line", "token"), lines).select("lemma", "rank", "source", "line", T.snippet(F.col("line_text"), F.col("token")).alias("text"))
-    cites = shown.groupBy("lemma").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "source", "line", "text"))), lambda c: F.struct(c["source"].alias("source"), c["line"].alias("line"), c["text"].alias("text"))).alias("citations"))
-    found = totals.join(maps, "lemma").join(first, "lemma").join(cites, "lemma", "left").withColumn("lower", F.col("count") - F.col("caps")).where(F.col("count") >= min_count)
-    none = F.expr("cast(array() as array<struct<source: string, line: bigint, text: string>>)")
-    return found.select("lemma", name_rule(F.col("f.kind"), F.col("lower")).alias("kind"), "count", "f.pos_guess", "forms", F.coalesce(F.col("citations").cast("array<struct<source: string, line: bigint, text: string>>"), none).alias("citations"), "caps", "lower", "files")
+    shown = with_lines(ranked.select("lemma", "rank", "source", "line", "token", "kind"), lines).select("lemma", "rank", "source", "line", "kind", T.guess_pos(F.col("token")).alias("pos_guess"), T.snippet(F.col("line_text"), F.col("token")).alias("text"))
+    listed = F.sort_array(F.collect_list(F.struct("rank", "source", "line", "text")))
+    cites = shown.groupBy("lemma").agg(F.min_by(F.struct("kind", "pos_guess"), "rank").alias("f"), F.transform(listed, lambda c: F.struct(c["source"].alias("source"), c["line"].cast("long").alias("line"), c["text"].alias("text"))).alias("citations"))
+    found = totals.join(files, "lemma").join(cites, "lemma").withColumn("lower", F.col("count") - F.col("caps")).where(F.col("count") >= min_count)
+    return found.select("lemma", name_rule(F.col("f.kind"), F.col("lower")).alias("kind"), "count", "f.pos_guess", "forms", "citations", "caps", "lower", "files")
 
 
 def first_places(tokens: DataFrame, k: int, key: str = "token") -> DataFrame:
@@ -140,25 +140,26 @@ def kind_rank(kind: Column) -> Column:
 def reduce_records(records: DataFrame, shard: str = "shard", limit: int = 5) -> DataFrame:
     """Candidates from the records of all shards: sums, unions, the strictest kind, names by
     the total of lower-case uses, first verdicts with later ones as conflicts, citations in turn."""
-    by = Window.partitionBy("lemma").orderBy(shard)
-    field = lambda c: F.first(F.nullif(F.col(c), F.lit("")), ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    kept = records.withColumns({"verdict_kept": field("verdict"), "gloss_kept": field("gloss")})
-    conflict = lambda c: F.when((F.coalesce(F.col(c), F.lit("")) != "") & (F.col(c) != F.col(f"{c}_kept")), F.struct(F.lit(c).alias("field"), F.col(shard).alias("shard"), F.col(c).alias("value"), F.col(f"{c}_kept").alias("kept")))
-    rows = kept.withColumn("found", F.array_compact(F.array(conflict("verdict"), conflict("gloss"))))
-    parts = F.filter(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(shard, F.coalesce("note", F.lit("")).alias("note")))), lambda x: F.split(x["note"], "; "))), lambda x: x != "")
+    # One shuffle by lemma serves every aggregate below; a lemma has at most one row a shard.
+    rows = records.repartition("lemma")
+    said = lambda c: F.nullif(F.col(c), F.lit(""))
+    decided = F.sort_array(F.collect_list(F.when(said("verdict").isNotNull() | said("gloss").isNotNull(), F.struct(F.col(shard).alias("shard"), said("verdict").alias("verdict"), said("gloss").alias("gloss")))))
+    parts = F.filter(F.flatten(F.transform(F.sort_array(F.collect_list(F.when(F.coalesce("note", F.lit("")) != "", F.struct(shard, "note")))), lambda x: F.split(x["note"], "; "))), lambda x: x != "")
     main = rows.groupBy("lemma").agg(
         F.sum("count").cast("long").alias("count"), F.sum("lower").cast("long").alias("lower"), F.min_by("pos_guess", shard).alias("pos_guess"), F.min(F.struct(kind_rank(F.col("kind")).alias("r"), F.col(shard).alias("s"), "kind")).alias("k"),
         F.min(F.when(F.col("kind") != "name", F.struct(kind_rank(F.col("kind")).alias("r"), "kind"))).alias("other"), F.max(F.col("kind").isin("unknown", "derived")).alias("open"),
-        F.min_by("verdict_kept", F.when(F.col("verdict_kept").isNotNull(), F.col(shard))).alias("verdict"), F.min_by("gloss_kept", F.when(F.col("gloss_kept").isNotNull(), F.col(shard))).alias("gloss"),
-        F.array_distinct(parts).alias("notes"), F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(shard, "found"))), lambda x: x["found"])).alias("conflicts"), F.sort_array(F.collect_list(shard)).alias("shards"),
+        decided.alias("decided"), F.array_distinct(parts).alias("notes"), F.sort_array(F.collect_list(shard)).alias("shards"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("files")))).alias("sources"),
     )
-    forms = records.select("lemma", F.explode("forms").alias("form", "n")).groupBy("lemma", "form").agg(F.sum("n").cast("long").alias("n"))
+    stands = lambda n: F.try_element_at(F.filter(F.transform("decided", lambda x: x[n]), lambda x: x.isNotNull()), F.lit(1))
+    main = main.withColumns({"verdict": stands("verdict"), "gloss": stands("gloss")})
+    clash = lambda x, n: F.when(x[n] != F.col(n), F.struct(F.lit(n).alias("field"), x["shard"].alias("shard"), x[n].alias("value"), F.col(n).alias("kept")))
+    main = main.withColumn("conflicts", F.flatten(F.transform("decided", lambda x: F.array_compact(F.array(clash(x, "verdict"), clash(x, "gloss"))))))
+    forms = rows.select("lemma", F.explode("forms").alias("form", "n")).groupBy("lemma", "form").agg(F.sum("n").cast("long").alias("n"))
     forms = forms.groupBy("lemma").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("form", "n")))).alias("forms"))
-    sources = records.select("lemma", F.explode("files").alias("s")).distinct().groupBy("lemma").agg(F.sort_array(F.collect_list("s")).alias("sources"))
-    cites = records.select("lemma", shard, F.posexplode("citations").alias("i", "c")).select("lemma", "c.source", "c.line", "c.text", F.struct(shard, "i").alias("ord"))
+    cites = rows.select("lemma", shard, F.posexplode("citations").alias("i", "c")).select("lemma", "c.source", "c.line", "c.text", F.struct(shard, "i").alias("ord"))
     picked = round_robin(cites, "lemma", limit).groupBy("lemma").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "source", "line", "text"))), lambda c: F.struct(c["source"].alias("source"), c["line"].alias("line"), c["text"].alias("text"))).alias("citations"))
     kind = F.when((F.col("lower") == 0) & F.col("open"), "name").when((F.col("k.kind") == "name") & F.col("other").isNotNull(), F.col("other.kind")).otherwise(F.col("k.kind"))
-    return main.join(forms, "lemma", "left").join(sources, "lemma", "left").join(picked, "lemma", "left").select("lemma", kind.alias("kind"), "count", "lower", "pos_guess", "forms", "citations", "shards", "verdict", "gloss", "notes", "conflicts", "sources")
+    return main.join(forms, "lemma", "left").join(picked, "lemma", "left").select("lemma", kind.alias("kind"), "count", "lower", "pos_guess", "forms", "citations", "shards", "verdict", "gloss", "notes", "conflicts", "sources")
 
 
 def round_robin(cites: DataFrame, key: str, limit: int, encyclopedia: Column | None = None) -> DataFrame:

@@ -35,7 +35,8 @@ def mined(docs: DataFrame, entries: DataFrame, min_count: int = 1, citations: in
     tokens = N.token_rows(docs, model, by_line=True)
     cells, places = saved(N.counted(tokens), "token-counts"), saved(N.first_places(tokens, citations), "token-places")
     forms = M.analysed(cells.select("form"), entries.select("word"), roots_of(entries), model).where("lemma IS NOT NULL")
-    return N.mine(saved(N.refine_kind(cells.join(forms, "form")), "token-kinds"), places, N.line_rows(docs), min_count, citations)
+    kinds = saved(N.refine_kind(cells.select("token", "form").distinct().join(forms, "form")), "token-kinds")
+    return N.mine(cells, kinds, places, N.line_rows(docs), min_count, citations)
 
 
 def review_queue(records: DataFrame, entries: DataFrame, ledger: DataFrame, english: DataFrame, bars: C.Bars = C.Bars(), model: LanguageModel = DEFAULT) -> DataFrame:

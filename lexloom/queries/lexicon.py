@@ -384,8 +384,8 @@ def mined_lemmas(spark, d):
     docs = table(spark, d, "documents").select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("source"), "text")
     tokens = N.token_rows(docs, by_line=True)
     cells, places = saved(N.counted(tokens), "token-counts"), saved(N.first_places(tokens, 3), "token-places")
-    kinds = N.refine_kind(cells.withColumns({"lemma": F.col("form"), "kind": F.lit("unknown")}))
-    found = N.mine(kinds, places, N.line_rows(docs))
+    kinds = saved(N.refine_kind(cells.select("token", "form").distinct().withColumns({"lemma": F.col("form"), "kind": F.lit("unknown")})), "token-kinds")
+    found = N.mine(cells, kinds, places, N.line_rows(docs))
     cites = F.array_join(F.transform("citations", lambda c: F.concat_ws(":", c["source"], c["line"].cast("string"))), ",")
     return found.select("lemma", "kind", "count", "lower", F.size("files").cast("long").alias("n_files"), F.size("forms").cast("long").alias("n_forms"), "pos_guess", cites.alias("cites"))
 

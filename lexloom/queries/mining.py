@@ -97,10 +97,9 @@ def name_rule(spark, d):
 
 def _buckets(spark, d):
     known, counts = saved(_vocabulary(spark, d), "vocabulary"), _counts(spark, d)
-    att = O.attestation(counts, wiki())
-    caps = counts.groupBy("form").agg(F.sum("caps").alias("caps"))
+    att = O.attestation(counts, wiki(), per_source=True, sums=("caps",))
     lower = F.col("occurrences") - F.col("caps")
-    cands = att.join(caps, "form").select(F.col("form").alias("lemma"), O.name_rule(F.lit("unknown"), lower).alias("kind"), F.col("occurrences").alias("count"), lower.alias("lower"), F.lit(None).cast("string").alias("verdict"), F.create_map("form", F.col("occurrences")).alias("forms"), F.col("sources_lit").alias("other"), F.col("sources_wiki").alias("wp"))
+    cands = att.select(F.col("form").alias("lemma"), O.name_rule(F.lit("unknown"), lower).alias("kind"), F.col("occurrences").alias("count"), lower.alias("lower"), F.lit(None).cast("string").alias("verdict"), F.create_map("form", F.col("occurrences")).alias("forms"), F.col("sources_lit").alias("other"), F.col("sources_wiki").alias("wp"))
     cands = saved(cands, "candidates")
     english = C.english_words(table(spark, d, "part"), "p_name")
     stems = cands.select(F.regexp_extract("lemma", "^(.+?)(a|i|o)n?t(a|e)$", 1).alias("stem")).join(known.select(F.col("form").alias("stem")), "stem", "left_semi")
@@ -170,7 +169,7 @@ def compound_split(spark, d):
 def analysed_kinds(spark, d):
     """Tokens by the kind that the analysis and its refinement give."""
     words = _vocabulary(spark, d)
-    cells = saved(O.counted(_tokens(spark, d)), "token-counts")
+    cells = saved(_tokens(spark, d).groupBy("token", "form").agg(F.count("*").alias("n")), "token-counts")
     rows = cells.join(M.analysed(cells.select("form"), words, words), "form")
     return O.refine_kind(rows).groupBy("kind").agg(F.sum("n").alias("n"), F.count_distinct("lemma").alias("lemmas"))
 
