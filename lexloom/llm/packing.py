@@ -27,7 +27,7 @@ def _units(docs: DataFrame, id_col: str, text_col: str, in_file_order: bool) ->
     view = texts(docs, id_col, text_col)
     if not in_file_order:
         return view.select("doc_id", "text", F.lpad(F.spark_partition_id().cast("string"), 10, "0").alias("part"), F.lit(0).cast("long").alias("block_start"))
-    small = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").cast("long").alias("block_start"))
+    small = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_block_start").cast("long").alias("block_start"))
     return small
 
 
@@ -55,10 +55,11 @@ def pack(docs: DataFrame, seq_len: int = 1024, vocabulary: str = "byte_bpe_50k",
     Columns: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens,
     sequence_id, offset. Sequences are filled without gaps; only the last one can
     be shorter than ``seq_len``. A null or empty text has the end id alone; equal
-    rows and null doc_ids are packed like any other row; an empty table gives no
-    rows. Order: the partitions of ``docs`` one after the other, each in its own
-    order, or, ``in_file_order``, the rows of the files that ``docs`` is read from, by
-    file name. Totals (one row a partition or file split) are the only thing summed in
+    rows and null doc_ids are packed like any other row; a very long text is one row
+    of ids until it is cut; an empty table gives no rows. Order: the partitions of
+    ``docs`` one after the other, each in its own order, or, ``in_file_order``, the rows
+    of the files that ``docs`` is read from, by the files' whole paths (folders of a
+    partitioned table may hold equal names). Totals (one row a partition or file split) are the only thing summed in
     one place, and Spark joins them back by broadcast only below its own size threshold.
     """
     held = saved(encode_partitions(_units(docs, id_col, text_col, in_file_order), vocabulary, end_id), "packing-ids")
