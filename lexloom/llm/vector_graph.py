@@ -8,8 +8,6 @@ shards' best are merged. Searches of many vectors advance together as array oper
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,8 +15,9 @@ from pyspark.sql import functions as F
 
 from .common import saved, small_batches
 
-#: Vectors of a shard, edges of a vector, beam of a search, relaxation of the pruning, queries of a block.
-SHARD, DEGREE, BEAM, ALPHA, BLOCK = 4096, 24, 64, 1.2, 512
+#: Vectors of a shard, edges of a vector, beam of a search, relaxation of the pruning, queries searched at once,
+#: queries that one task is given.
+SHARD, DEGREE, BEAM, ALPHA, BLOCK, TASK = 4096, 24, 64, 1.2, 512, 8192
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -27,13 +26,19 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances row by row, from differences: close directions keep their order in single precision."""
+    d = a - b
+    return np.einsum("ij,ij->i", d, d)
+
+
 def beam_search(unit: np.ndarray, edges: np.ndarray, entry: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """For each query the ids (-1: none) and squared distances of its beam, nearest first."""
     q, n = len(queries), len(unit)
     ids = np.full((q, beam), -1, np.int64)
     far = np.full((q, beam), np.inf, np.float32)
     done = np.zeros((q, beam), bool)
-    first = 2 - 2 * queries @ unit[entry].T
+    first = np.stack([_apart(unit[e], queries) for e in entry], axis=1)
     order = np.argsort(first, axis=1, kind="stable")[:, :beam]
     ids[:, : order.shape[1]], far[:, : order.shape[1]] = entry[order], np.take_along_axis(first, order, 1)
     active = np.arange(q)
@@ -52,7 +57,7 @@ def beam_search(unit: np.ndarray, edges: np.ndarray, entry: np.ndarray, queries:
         r, c = np.nonzero(fresh)
         seen[active[r], near[r, c]] = True
         distance = np.full(near.shape, np.inf, np.float32)
-        distance[r, c] = 2 - 2 * np.einsum("ij,ij->i", unit[near[r, c]], queries[active[r]])
+        distance[r, c] = _apart(unit[near[r, c]], queries[active[r]])
         every = np.concatenate([far[active], distance], axis=1)
         keep = np.argsort(every, axis=1, kind="stable")[:, :beam]
         ids[active] = np.take_along_axis(np.concatenate([ids[active], np.where(fresh, near, -1)], axis=1), keep, 1)
@@ -67,8 +72,11 @@ def robust_prune(unit: np.ndarray, points: np.ndarray, found: np.ndarray, degree
     found[:, 1:][found[:, 1:] == found[:, :-1]] = -1
     alive = (found >= 0) & (found != points[:, None])
     vectors = unit[np.maximum(found, 0)]
-    own = np.where(alive, 2 - 2 * np.einsum("bcd,bd->bc", vectors, unit[points]), np.inf)
-    between = 2 - 2 * vectors @ vectors.transpose(0, 2, 1)
+    away = vectors - unit[points][:, None, :]
+    size = np.einsum("bcd,bcd->bc", away, away)
+    own = np.where(alive, size, np.inf)
+    # From the point's own place: differences of near neighbours don't cancel out.
+    between = size[:, :, None] + size[:, None, :] - 2 * away @ away.transpose(0, 2, 1)
     out, rows = np.full((len(points), degree), -1, np.int64), np.arange(len(points))
     for k in range(degree):
         pick = np.where(alive, own, np.inf).argmin(axis=1)
@@ -87,7 +95,7 @@ def _with_incoming(unit: np.ndarray, edges: np.ndarray, degree: int, alpha: floa
     source, target = np.repeat(np.arange(n), edges.shape[1]), edges.ravel()
     real = target >= 0
     source, target = source[real], target[real]
-    order = np.lexsort((2 - 2 * np.einsum("ij,ij->i", unit[source], unit[target]), target))
+    order = np.lexsort((_apart(unit[source], unit[target]), target))
     source, target = source[order], target[order]
     place = np.arange(len(target)) - np.searchsorted(target, target)
     near = place < 2 * degree
@@ -138,7 +146,7 @@ def _linked(unit: np.ndarray, edges: np.ndarray, entry: np.ndarray) -> np.ndarra
         if not places.any():
             edges = np.concatenate([edges, np.full((len(edges), 1), -1, edges.dtype)], axis=1)
             places = reached
-        at = int(np.where(places, unit @ unit[point], -np.inf).argmax())
+        at = int(np.where(places, _apart(unit, unit[point]), np.inf).argmin())
         edges[at, int((edges[at] < 0).argmax())] = point
         reach(np.array([point]))
     return edges
@@ -152,73 +160,96 @@ def vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return narrow.where("vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0").where(finite & F.exists("v", lambda x: x != 0))
 
 
-def index(table: DataFrame, shard_rows: int = SHARD, keep: int = 6, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """One row a shard: dim, shard, vectors, ids (of equal vectors, the ``keep`` smallest), edges and entry points.
+def _direction() -> F.Column:
+    """A vector's direction to about 12 digits: what differs from it by its length alone falls together."""
+    top = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    return F.transform("v", lambda x: F.round(x / top, 12) + F.lit(0.0))
+
 
-    Every vector is in the index. Equal vectors are one point of the graph, so a vector
-    that very many rows share costs no more than another. A search for the k nearest needs
-    ``keep`` to be k + 1 where that many vectors are equal."""
-    own = vectors(table, id_col, vector_col).distinct()
+def index(table: DataFrame, shard_rows: int = SHARD, keep: int = 6, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """One row a shard: dim, shard, vectors, ids, edges and entry points.
+
+    Every vector is in the index. Of vectors of one direction (to 12 digits: their cosines with
+    any query differ by rounding alone) the ``keep`` smallest ids are held, so a vector that very
+    many rows share costs no more than another; a search for the k nearest needs ``keep`` to be
+    k + 1 where that many are equal. Vectors that single precision can't tell apart are one
+    point of the graph, and all of them are scored where a search meets it."""
+    own = vectors(table, id_col, vector_col).distinct().withColumn("way", _direction())
     # Spark keeps the first ranks of a key before the shuffle, too.
-    ranked = own.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("r") <= keep)
-    points = saved(ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "vector-points")
+    ranked = own.withColumn("r", F.row_number().over(Window.partitionBy("way").orderBy("vec_id"))).where(F.col("r") <= keep)
+    points = saved(ranked.groupBy("way", "v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), (F.max("r") >= keep).alias("full")), "vector-points")
     shards = max(1, -(-points.count() // shard_rows))
-    dealt = points.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("v"), F.lit(shards)).cast("long").alias("shard"), "v", "ids")
+    dealt = points.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("way"), F.lit(shards)).cast("long").alias("shard"), "v", "ids", "full")
 
     def one(part: pa.Table) -> pa.Table:
         part = part.combine_chunks().sort_by([("first", "ascending")])
         x = np.array(part.column("v").to_pylist(), np.float64)
         ids = part.column("ids").to_pylist()
-        edges, entry = build(_unit(x), degree, beam, alpha)
-        return pa.table({"dim": pa.array([x.shape[1]], pa.int32()), "shard": pa.array([part.column("shard")[0].as_py()], pa.int64()), "x": pa.array([x.tobytes()], pa.binary()), "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))), "keep": pa.array([keep], pa.int32()), "edges": pa.array([edges.astype(np.int32).tobytes()], pa.binary()), "entry": pa.array([entry], pa.list_(pa.int64()))})
+        unit, member = np.unique(_unit(x), axis=0, return_inverse=True)
+        edges, entry = build(unit, degree, beam, alpha)
+        return pa.table({"dim": pa.array([x.shape[1]], pa.int32()), "shard": pa.array([part.column("shard")[0].as_py()], pa.int64()), "x": pa.array([x.tobytes()], pa.binary()), "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))), "keep": pa.array([keep], pa.int32()), "full": pa.array([any(part.column("full").to_pylist())]), "member": pa.array([member.ravel().astype(np.int32).tobytes()], pa.binary()), "edges": pa.array([edges.astype(np.int32).tobytes()], pa.binary()), "entry": pa.array([entry], pa.list_(pa.int64()))})
 
-    built = dealt.withColumn("first", F.col("ids")[0]).groupBy("dim", "shard").applyInArrow(one, "dim int, shard long, x binary, ids array<array<long>>, keep int, edges binary, entry array<long>")
+    built = dealt.withColumn("first", F.col("ids")[0]).groupBy("dim", "shard").applyInArrow(one, "dim int, shard long, x binary, ids array<array<long>>, keep int, full boolean, member binary, edges binary, entry array<long>")
     return saved(built, "vector-index")
 
 
-def search(held: DataFrame, queries: DataFrame, k: int = 5, beam: int = 2 * BEAM, degree: int = DEGREE, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def _shard_search(row: dict, names: np.ndarray, asked: np.ndarray, k: int, beam: int) -> pa.Table:
+    """A shard's k best of some queries, by the scores and ties that count in the end."""
+    x = np.frombuffer(row["x"], np.float64).reshape(-1, row["dim"])
+    member = np.frombuffer(row["member"], np.int32)
+    by = np.argsort(member, kind="stable")
+    bounds = np.searchsorted(member[by], np.arange(member.max() + 2))
+    unit = _unit(x[by[bounds[:-1]]])
+    graph = np.frombuffer(row["edges"], np.int32).reshape(len(unit), -1).astype(np.int64)
+    near, _ = beam_search(unit, graph, np.array(row["entry"]), _unit(asked), max(beam, k + 1))
+    rows, cols = np.nonzero(near >= 0)
+    group = near[rows, cols]
+    size = bounds[group + 1] - bounds[group]
+    rows = np.repeat(rows, size)
+    point = by[np.repeat(bounds[group] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+    score = np.empty(len(rows))
+    for i in range(0, len(rows), 1 << 18):
+        a, b = asked[rows[i : i + (1 << 18)]], x[point[i : i + (1 << 18)]]
+        score[i : i + (1 << 18)] = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
+    many = [row["ids"][p] for p in point.tolist()]
+    size = np.array([len(z) for z in many], np.int64)
+    query, vec, score = np.repeat(names[rows], size), np.array([z for ids in many for z in ids], np.int64), np.repeat(score, size)
+    order = np.lexsort((vec, -score, query))
+    order = order[(query != vec)[order]]
+    order = order[np.arange(len(order)) - np.searchsorted(query[order], query[order]) < k]
+    return pa.table([pa.array(query[order]), pa.array(vec[order]), pa.array(score[order])], ["query_id", "vec_id", "score"])
+
+
+def search(held: DataFrame, queries: DataFrame, k: int = 5, beam: int = 2 * BEAM, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest by cosine, itself left out.
 
-    Queries meet the shards in blocks, a block and a shard at a time. Scores are computed
-    in double precision on the original vectors; ties go to the smaller vec_id. Rows with
-    a null, zero or non-finite vector or no id have no result; rows that repeat an id are
-    one query; vectors of another length are no candidates; fewer candidates give fewer
-    rows; an empty table gives none.
+    Queries are dealt into parts of about ``TASK``; a task has one part and one shard, and a
+    shard's graph is sent once a part. Scores are computed in double precision on the
+    original vectors; ties go to the smaller vec_id. Rows with a null, zero or non-finite
+    vector or no id have no result; rows that repeat an id are one query; vectors of
+    another length are no candidates; fewer candidates give fewer rows; an empty table
+    gives none.
     """
     small_batches(held.sparkSession)
-    own = vectors(queries, id_col, vector_col).dropDuplicates(["vec_id"])
-    of = own.withColumn("dim", F.size("v"))
-    counted = of.groupBy("dim").agg(F.count("*").alias("c"))
-    part = F.pmod(F.xxhash64("vec_id"), F.greatest(F.lit(1), F.ceil(F.col("c") / block))).cast("long")
-    blocks = saved(of.join(counted, "dim").groupBy("dim", part.alias("part")).agg(F.collect_list(F.struct("vec_id", "v")).alias("q")), "vector-queries")
-    pairs = blocks.select("dim", "part").join(held.select("dim", "shard"), "dim").repartition("dim", "part", "shard")
-    met = pairs.join(blocks, ["dim", "part"]).join(held, ["dim", "shard"]).select("dim", "q", "x", "ids", "keep", "edges", "entry")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                x = np.frombuffer(row["x"], np.float64).reshape(-1, row["dim"])
-                graph = np.frombuffer(row["edges"], np.int32).reshape(len(x), -1).astype(np.int64)
-                names = np.array([z["vec_id"] for z in row["q"]], np.int64)
-                asked = np.array([z["v"] for z in row["q"]], np.float64)
-                if k >= row["keep"] and any(len(z) >= row["keep"] for z in row["ids"]):
-                    raise ValueError(f"an index that keeps {row['keep']} ids of equal vectors can't give {k} nearest: build it with keep={k + 1}")
-                near, _ = beam_search(_unit(x), graph, np.array(row["entry"]), _unit(asked), max(beam, k + 1))
-                rows, cols = np.nonzero(near >= 0)
-                point = near[rows, cols]
-                a, b = asked[rows], x[point]
-                score = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
-                many = [row["ids"][p] for p in point.tolist()]
-                size = np.array([len(z) for z in many], np.int64)
-                query, vec, score = np.repeat(names[rows], size), np.array([z for ids in many for z in ids], np.int64), np.repeat(score, size)
-                # The shard's k best of the whole beam, by the scores and ties that count in the end.
-                order = np.lexsort((vec, -score, query))
-                order = order[(query != vec)[order]]
-                order = order[np.arange(len(order)) - np.searchsorted(query[order], query[order]) < k]
-                yield pa.RecordBatch.from_arrays([pa.array(query[order]), pa.array(vec[order]), pa.array(score[order])], ["query_id", "vec_id", "score"])
-
-    found = met.mapInArrow(run, "query_id long, vec_id long, score double")
+    of = vectors(queries, id_col, vector_col).dropDuplicates(["vec_id"]).withColumn("dim", F.size("v"))
+    asked = of.groupBy("dim").agg(F.count("*").alias("c"))
+    size = held.groupBy("dim").agg((F.max("shard") + 1).alias("shards")).join(asked, "dim").select("dim", "shards", F.expr(f"(c + {TASK - 1}) div {TASK}").alias("parts"))  # one row a length
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = held.join(size.select("dim", "parts"), "dim").withColumn("part", every("parts")).groupBy("dim", "shard", "part")
+    right = of.join(size, "dim").withColumn("part", F.pmod(F.xxhash64("vec_id"), "parts")).withColumn("shard", every("shards")).select("dim", "shard", "part", "vec_id", "v").groupBy("dim", "shard", "part")
+
+    def run(shard: pa.Table, part: pa.Table) -> pa.Table:
+        out = [pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]).empty_table()]
+        if shard.num_rows and part.num_rows:
+            row = shard.to_pylist()[0]
+            if k >= row["keep"] and row["full"]:
+                raise ValueError(f"an index that keeps {row['keep']} ids of equal vectors can't give {k} nearest: build it with keep={k + 1}")
+            names = part.column("vec_id").to_numpy()
+            vectors_ = np.array(part.column("v").to_pylist(), np.float64)
+            out += [_shard_search(row, names[i : i + block], vectors_[i : i + block], k, beam) for i in range(0, len(names), block)]
+        return pa.concat_tables(out)
+
+    found = left.cogroup(right).applyInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
