@@ -250,7 +250,8 @@ def scan(docs: DataFrame, detector: Detector, threshold: float = 0.5, id_col: st
 
     Whole texts are searched without a shuffle. Null and empty texts have no rows;
     repeated rows and null doc_ids give rows of their own; a null path counts as empty;
-    an empty table gives no rows.
+    a very long text is searched whole, in time that grows with its length; an empty table
+    gives no rows.
     """
     small_batches(docs.sparkSession)
 
@@ -258,8 +259,9 @@ def scan(docs: DataFrame, detector: Detector, threshold: float = 0.5, id_col: st
         for batch in batches:
             out = []
             for doc, text, path in zip(batch.column(0).to_pylist(), raw_bytes(batch.column(1)), raw_bytes(batch.column(2)), strict=True):
+                at = start = 0
                 for rule, a, b, s in detector.findings(text, path):
-                    start = len(text[:a].decode())
+                    at, start = a, start + len(text[at:a].decode())
                     out.append((doc, rule, start, start + len(text[a:b].decode()), s, s >= threshold, hashlib.sha256(text[a:b]).hexdigest()))
             types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.string()]
             columns = list(zip(*out, strict=True)) or [()] * 7
