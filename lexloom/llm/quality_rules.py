@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, raw_bytes, small_batches, texts
@@ -77,12 +77,19 @@ def measure(text: bytes) -> tuple[int, ...]:
     return len(words), len(text.translate(None, _SPACES_AND_TAILS)), len(text) - len(text.translate(None, SYMBOLS)), len(lines), len(lines) - len(set(lines)), repeated_words(words), text.count(b"!")
 
 
+def failed_bits(rules: tuple[Rule, ...] = RULES, within: str = "") -> Column:
+    """The bits of the rules that fail, from measurements that are columns, or fields of the column ``within``."""
+    own = re.compile(r"\b(" + "|".join(MEASURES) + r")\b")
+    named = lambda r: own.sub(rf"{within}.\1", r.fails) if within else r.fails
+    return F.expr(" | ".join(f"if({named(r)}, {1 << r.bit}L, 0L)" for r in rules) or "0L")
+
+
 def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a row of ``docs``: doc_id, the measurements and ``failed_bits``.
 
     Works on whole texts without a shuffle. Null and empty texts have no words and
-    no lines; repeated rows and null doc_ids give rows of their own; an empty table
-    gives no rows.
+    no lines; repeated rows and null doc_ids give rows of their own; very long texts are
+    measured whole; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,8 +99,7 @@ def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *MEASURES])
 
     measured = texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{x} long" for x in MEASURES))
-    bits = " | ".join(f"if({r.fails}, {1 << r.bit}L, 0L)" for r in rules)
-    return measured.withColumn("failed_bits", F.expr(bits))
+    return measured.withColumn("failed_bits", failed_bits(rules))
 
 
 def apply_policy(held: DataFrame, version: str = "v2", policies: dict[str, int] = POLICIES) -> DataFrame:
@@ -103,7 +109,8 @@ def apply_policy(held: DataFrame, version: str = "v2", policies: dict[str, int]
 
 
 def passing(docs: DataFrame, version: str = "v2", rules: tuple[Rule, ...] = RULES, policies: dict[str, int] = POLICIES, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that a policy keeps, all columns as they are and without a shuffle."""
+    """The rows of ``docs`` that a policy keeps, all columns as they are and without a shuffle: the ledger's
+    measurements and bits beside each row, the policy's mask over them, and both dropped again."""
     small_batches(docs.sparkSession)
 
     @F.arrow_udf("struct<" + ", ".join(f"{x}: bigint" for x in MEASURES) + ">")
@@ -112,10 +119,9 @@ def passing(docs: DataFrame, version: str = "v2", rules: tuple[Rule, ...] = RULE
         columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * len(MEASURES)
         return pa.StructArray.from_arrays(columns, MEASURES)
 
-    own = re.compile(r"\b(" + "|".join(MEASURES) + r")\b")
-    failing = " OR ".join("(" + own.sub(r"__measures.\1", r.fails) + ")" for r in rules if policies[version] >> r.bit & 1)
     measured = docs.withColumn("__measures", measures(F.col(f"`{text_col}`").cast("string")))
-    return measured.where(F.expr(f"NOT ({failing or 'false'})")).drop("__measures")
+    held = measured.withColumn("__bits", failed_bits(rules, "__measures"))
+    return held.where(F.col("__bits").bitwiseAND(F.lit(policies[version]).cast("long")) == 0).drop("__measures", "__bits")
 
 
 def ablation(held: DataFrame, version: str = "v2", rules: tuple[Rule, ...] = RULES, policies: dict[str, int] = POLICIES) -> DataFrame:
