@@ -77,7 +77,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", most_rows:
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score (0 to 1): one row a row of ``docs``, null texts as empty. No shuffle."""
+    """doc_id and score (0 to 1): one row a row of ``docs``, null texts as empty, repeated rows and rows without an
+    id each on their own, whole texts of any length. An empty table gives no rows. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,7 +89,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's quality; rows whose crc32 of the id is divisible by 5 are held out of the fit."""
+    """Every document's quality; rows whose crc32 of the id is divisible by 5 are held out of the fit. A row without
+    an id has no such remainder: it is scored and not held out."""
     docs, fold = documents(spark, sf_dir), F.expr("crc32(cast(cast(doc_id AS string) AS binary)) % 5")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold != 0))
-    return score(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
+    return score(docs, model).select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
