@@ -40,7 +40,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = "byte_bpe_
     accepts reports its rows, so a retried task leaves at most an unused file.
     Ids equal to ``end_id`` inside a text are impossible unless the text holds the
     special string itself; they are written as 0 so that documents stay whole.
-    Null and empty texts become documents of no tokens.
+    Null and empty texts become documents of no tokens, an empty table no files and no
+    rows; a very long text is encoded whole. An id that ``width`` bytes can't hold is an error.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,6 +53,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = "byte_bpe_
         for batch in batches:
             out = out or store.open_output_stream(f"{root}/{name}")
             for ids in encode(batch.column(1)):
+                if len(ids) and int(ids.max()) >> 8 * width:
+                    raise ValueError(f"id {ids.max()} does not fit into {width} bytes")
                 if (ids == end_id).any():
                     ids = np.where(ids == end_id, 0, ids)
                 out.write(ids.astype(kind).tobytes() + end)
