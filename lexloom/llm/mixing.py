@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import heapq
 import math
-from bisect import bisect_left
 from collections.abc import Iterator
 from fractions import Fraction
 from itertools import islice
@@ -66,9 +65,15 @@ def placements(blocks: dict[str, int], weights: dict[str, float]) -> Iterator[tu
         gone[-1] += blocks[x]
         rate[-1] -= whole[x]
 
+    over = [(e.numerator, e.denominator) for e in ends]
+    stretch = dict.fromkeys(blocks, 0)  # a source's next block begins behind so many ends
+
     def window(x: str, i: int) -> tuple[int, int]:
-        w = whole[x]
-        a, b = bisect_left(ends, Fraction(i, w)), bisect_left(ends, Fraction(i + 1, w))
+        w, a = whole[x], stretch[x]
+        b = a
+        while b < len(over) and over[b][0] * w < (i + 1) * over[b][1]:
+            b += 1
+        stretch[x] = b
         return gone[a] + rate[a] * i // w, gone[b] - (-rate[b] * (i + 1) // w)
 
     waiting = [(*window(x, 0), x, 0) for x in blocks]
