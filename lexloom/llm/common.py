@@ -1,80 +1,20 @@
-"""Helpers that all operators of this subpackage share.
-
-Intermediate tables go to the folder that the session names in
-``spark.checkpoint.dir`` through Spark's own committer, so that every executor
-can read them and a lost executor costs only the tasks it was running.
-"""
+"""Helpers that all operators of this subpackage share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.steps import forget, saved, shared_path  # noqa: F401
+
 #: Rows and bytes that one Arrow batch holds at most on its way to Python.
 BATCH_ROWS, BATCH_BYTES = 4000, 16 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session. Where none is named, a temporary one on a local master, and an error
-    on any other: executors could not read what the driver's machine holds."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = held.get() if held.isDefined() else None
-    if not found:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="lexloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"
-
-
-@contextmanager
-def session(spark: SparkSession, **settings: str) -> Iterator[None]:
-    """Settings (dots written as two underscores) for the time of a step, put back behind it."""
-    names = {k.replace("__", "."): v for k, v in settings.items()}
-    before = {k: spark.conf.get(k, None) for k in names}
-    try:
-        for k, v in names.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
-def saved(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends here. Spark deletes the step's shuffle
-    files when it is written."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    with session(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
-        df.write.option("compression", codec).parquet(path)
-    found = spark.read.schema(df.schema).parquet(path)
-    found.saved_at = path
-    return found
-
-
-def forget(*tables: DataFrame) -> None:
-    """Delete tables from ``saved`` that nothing still to be computed reads."""
-    for df in tables:
-        sc = df.sparkSession.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(df.saved_at)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, so that long texts do not fill a Python worker."""
+    """Bound what one Arrow batch holds, so that long texts do not fill a Python worker. The session keeps the lower
+    bounds: Spark reads them when a result is computed, which is after an operator has returned it."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         now = spark.conf.get(key, None)
         number = int(now) if now and now.isdigit() else 0
