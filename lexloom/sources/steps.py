@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,8 +35,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_SCRATCH: ContextVar[list | None] = ContextVar("scratch", default=None)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lexloom/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/lexloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager
@@ -61,15 +65,45 @@ def saved(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         df.write.option("compression", codec).parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
     found.saved_at = path
+    if (held := _SCRATCH.get()) is not None:
+        held.append(found)
     return found
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables from ``saved`` that nothing still to be computed reads."""
     for df in tables:
-        sc = df.sparkSession.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(df.saved_at)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, df.saved_at)
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """All tables saved inside are deleted behind it, but for those that are handed to what it yields (they come
+    back as they are): what a result that isn't computed yet still reads."""
+    held: list[DataFrame] = []
+    kept: set[str] = set()
+    mark = _SCRATCH.set(held)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df.saved_at)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _SCRATCH.reset(mark)
+        forget(*(df for df in held if df.saved_at not in kept))
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete all tables that this application has saved, once its results are written."""
+    _delete(spark, f"{shared_dir(spark)}/lexloom/{spark.sparkContext.applicationId}")
 
 
 def spread(df: DataFrame) -> DataFrame:

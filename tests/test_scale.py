@@ -122,6 +122,11 @@ def test_steps(spark):
     held = steps.saved(spark.range(10).repartition(3, "id"), "some")
     assert held.count() == 10 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
     steps.forget(held)
+    with steps.scratch() as keep:
+        stays, goes = keep(steps.saved(spark.range(3), "stays")), steps.saved(spark.range(4), "goes")
+    assert stays.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FILE_NOT_EXIST|FileNotFound"):
+        spark.read.parquet(goes.saved_at).count()
     small = spark.range(100, numPartitions=1)
     assert steps.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
