@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.steps import forget, saved, shared_path  # noqa: F401
+from ..sources.steps import forget, saved, scratch, shared_path  # noqa: F401
 
 #: Rows and bytes that one Arrow batch holds at most on its way to Python.
 BATCH_ROWS, BATCH_BYTES = 4000, 16 << 20

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, raw_bytes, saved, texts
+from .common import documents, raw_bytes, saved, scratch, texts
 from .components import components, merged
 
 #: Pairs a member of a bucket that are compared straight away, members of a bucket that one task compares with
@@ -131,27 +131,14 @@ def _confirmed(pairs: DataFrame, full: DataFrame, percent: int, more: bool = Fal
     return joined.select("u", "v", (both * 100 >= (F.size("su") + F.size("more")) * percent).alias("linked"), *(["more"] if more else []))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables: int = 9, rows: int = 2, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row a row of ``docs``.
+def _classes(held: DataFrame) -> DataFrame:
+    """One node a distinct set: the smallest doc_id that has it. Copies meet map-side."""
+    some = held.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    return some.groupBy("hi", "lo").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.first("a").alias("a"), F.first("b").alias("b"))
 
-    Links documents whose shingle sets have ``100 * intersection >= percent * union``;
-    a component's id is the smallest doc_id that can be reached. Null, empty and
-    blank texts have an empty set and are linked with nothing, so each stays, as do
-    rows without a doc_id, which take no part. Rows that repeat a doc_id count as one
-    document, linked by any of its texts; texts that differ only in repeated shingles
-    are linked. An empty table gives no rows.
 
-    A pair of similarity s is missed with probability ``1 - (1 - (1 - s**rows)**tables)**2``:
-    0.0002 at 0.8 with the defaults, 0.00002 at 0.85; in crowded buckets a pair at the
-    threshold is missed with another ``MISS``, a closer one far less. Whatever the hashing
-    proposes is decided exactly; no bucket is capped. A very long text is held as one
-    array of its distinct shingles.
-    """
-    view = texts(docs, id_col, text_col)
-    held = saved(sets(view, words, tables, rows, seed), "minhash-sets")
-    some = held.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    # One node a distinct set: the smallest doc_id that has it. Copies meet map-side.
-    classes = saved(some.groupBy("hi", "lo").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.first("a").alias("a"), F.first("b").alias("b")), "minhash-classes")
+def _labels(view: DataFrame, classes: DataFrame, percent: int, words: int, tables: int, seed: int) -> DataFrame:
+    """(node, component) of the classes that are linked with another."""
     bucket = saved(_buckets(classes, tables), "minhash-buckets")
     full = _needed_sets(view, bucket, words)
     hubs = saved(_hubs(bucket), "minhash-hubs")
@@ -178,6 +165,30 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables:
         pairs = pairs.unionByName(_fine_pairs(_fine_buckets(full.join(crowd, "node"), many, percent, seed), label, percent))
     test(pairs.distinct())
     label = merged(label, linked(tested[2]))
+    return label
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 4, tables: int = 9, rows: int = 2, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row a row of ``docs``.
+
+    Links documents whose shingle sets have ``100 * intersection >= percent * union``;
+    a component's id is the smallest doc_id that can be reached. Null, empty and
+    blank texts have an empty set and are linked with nothing, so each stays, as do
+    rows without a doc_id, which take no part. Rows that repeat a doc_id count as one
+    document, linked by any of its texts; texts that differ only in repeated shingles
+    are linked. An empty table gives no rows.
+
+    A pair of similarity s is missed with probability ``1 - (1 - (1 - s**rows)**tables)**2``:
+    0.0002 at 0.8 with the defaults, 0.00002 at 0.85; in crowded buckets a pair at the
+    threshold is missed with another ``MISS``, a closer one far less. Whatever the hashing
+    proposes is decided exactly; no bucket is capped. A very long text is held as one
+    array of its distinct shingles.
+    """
+    view = texts(docs, id_col, text_col)
+    with scratch() as keep:
+        held = keep(saved(sets(view, words, tables, rows, seed), "minhash-sets"))
+        classes = keep(saved(_classes(held), "minhash-classes"))
+        label = keep(_labels(view, classes, percent, words, tables, seed))
     by_set = classes.join(label, "node", "left").select("hi", "lo", F.coalesce("component", "node").alias("component"))
     rows_out = held.select("doc_id", "n_shingles", "hi", "lo").join(by_set, ["hi", "lo"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

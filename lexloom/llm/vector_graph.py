@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved, small_batches
+from .common import forget, saved, small_batches
 
 #: Vectors of a shard, edges of a vector, beam of a search, relaxation of the pruning, queries searched at once,
 #: queries that one task is given.
@@ -189,8 +189,10 @@ def index(table: DataFrame, shard_rows: int = SHARD, keep: int = 6, degree: int
         edges, entry = build(unit, degree, beam, alpha)
         return pa.table({"dim": pa.array([x.shape[1]], pa.int32()), "shard": pa.array([part.column("shard")[0].as_py()], pa.int64()), "x": pa.array([x.tobytes()], pa.binary()), "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))), "keep": pa.array([keep], pa.int32()), "full": pa.array([any(part.column("full").to_pylist())]), "member": pa.array([member.ravel().astype(np.int32).tobytes()], pa.binary()), "edges": pa.array([edges.astype(np.int32).tobytes()], pa.binary()), "entry": pa.array([entry], pa.list_(pa.int64()))})
 
-    built = dealt.withColumn("first", F.col("ids")[0]).groupBy("dim", "shard").applyInArrow(one, "dim int, shard long, x binary, ids array<array<long>>, keep int, full boolean, member binary, edges binary, entry array<long>")
-    return saved(built, "vector-index")
+    graphs = dealt.withColumn("first", F.col("ids")[0]).groupBy("dim", "shard").applyInArrow(one, "dim int, shard long, x binary, ids array<array<long>>, keep int, full boolean, member binary, edges binary, entry array<long>")
+    built = saved(graphs, "vector-index")
+    forget(points)
+    return built
 
 
 def _shard_search(row: dict, names: np.ndarray, asked: np.ndarray, k: int, beam: int) -> pa.Table:
