@@ -5,8 +5,10 @@ from __future__ import annotations
 import html
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import text as T
 
@@ -91,3 +93,9 @@ def markdown_html(text: str) -> str:
         return f"<p>{inline(' '.join(lines))}</p>"
 
     return "\n".join(block(b.split("\n")) for b in re.split(r"\n\s*\n", text.strip()) if b.strip())
+
+
+@F.pandas_udf(StringType())
+def guide_html(text: pd.Series) -> pd.Series:
+    """``markdown_html`` of a column of guides, nulls as they are."""
+    return text.map(lambda x: None if x is None else markdown_html(x))

@@ -9,7 +9,7 @@ from ..operators import reports as R
 from ..sources import markup, readers, sinks
 from ..sources.steps import saved, shared_path
 from ..streaming import crawl
-from .common import table
+from .common import SQL_LINES, table
 
 
 def json_round_trip(spark, d):
@@ -208,8 +208,31 @@ def dictionary_pass_b(spark, d):
     return readers.dictionary_pages(table(spark, d, "part").select("p_partkey", html.alias("html")), flowing=True, keep=("p_partkey",)).select("p_partkey", F.col("ord").cast("long").alias("ord"), "word", "fr", "en", "pl")
 
 
+def text_file_scan(spark, d):
+    """One text file a document, read whole, without those of a list."""
+    at = shared_path(spark, "texts")
+    sinks.texts(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source"), "text"), at)
+    files = saved(readers.text_files(spark, f"{at}/*"), "text-files")
+    every = files.select(T.short_digest(F.col("text")).alias("digest"))
+    left = readers.text_files(spark, f"{at}/source=1", without=files.select("source").limit(0)).count()
+    assert left == 1 and readers.text_files(spark, f"{at}/source=1", without=files.select("source")).count() == 0
+    return every.groupBy("digest").agg(F.count("*").alias("n"))
+
+
+def line_scan(spark, d):
+    """Lines of each source with their numbers, by digest of the first ten letters."""
+    rows = readers.text_lines(table(spark, d, "documents").select(F.col("doc_id").alias("source"), "text"))
+    return rows.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("line") * F.length("text")).alias("weight"))
+
+
+def guide_pages(spark, d):
+    """Guides of regions as pages: numbered headings, tables, lists, paragraphs."""
+    text = F.concat(F.lit("# 2.1 "), "r_name", F.lit("\n\n| a | b |\n|---|---|\n| *x* | `"), "r_regionkey", F.lit("` |\n\n- one\n- **two**\n\nText & [link](https://x.org/)."))
+    return table(spark, d, "region").select("r_regionkey", R.guide_html(text).alias("page"))
+
+
 _NAMED = [
-    json_round_trip, json_bad_lines, tsv_round_trip, manifest_last_rows, shard_round_trip, decisions_scan, sentence_scan, provenance_scan, cited_line_scan, printed_dictionary, affix_preface, article_scan, crawl_replies, mail_round_trip,
+    text_file_scan, line_scan, guide_pages, json_round_trip, json_bad_lines, tsv_round_trip, manifest_last_rows, shard_round_trip, decisions_scan, sentence_scan, provenance_scan, cited_line_scan, printed_dictionary, affix_preface, article_scan, crawl_replies, mail_round_trip,
     stream_once, wiki_dump, wiki_articles, wiki_books, page_bundle, provenance_append, dictionary_pass_a, dictionary_pass_b,
 ]
 QUERIES = {f.__name__: f for f in _NAMED}
@@ -217,6 +240,9 @@ _DIGEST = "left(sha256({x}), 12)"
 _DUMP = """pg AS (SELECT 'Page:Book ' || doc_id % 7 || '/' || doc_id AS title, CASE WHEN doc_id % 4 = 1 THEN '104' WHEN doc_id % 13 = 2 THEN '1' ELSE '0' END AS ns, doc_id % 11 = 5 AS is_redirect, doc_id,
   CASE WHEN doc_id % 11 = 5 THEN '#REDIRECT [[x]]' WHEN doc_id % 4 = 1 THEN '<noinclude><pagequality level="' || doc_id % 5 || '" user="u" /></noinclude>' || left(source, 9) ELSE 'T ' || lang || ' & <b>' || source || '</b>' END AS text FROM documents)"""
 ORACLE_SQL = {
+    "text_file_scan": r"SELECT left(sha256(regexp_replace(text, '\n$', '') || chr(10)), 12) AS digest, count(*) AS n FROM documents GROUP BY 1",
+    "line_scan": f"WITH {SQL_LINES} SELECT doc_id AS source, count(*) AS n, CAST(sum(line * length(txt)) AS BIGINT) AS weight FROM lines GROUP BY 1",
+    "guide_pages": """SELECT r_regionkey, '<h1 id="section-2-1">2.1 ' || r_name || '</h1>' || chr(10) || '<table><tr><th>a</th><th>b</th></tr><tr><td><em>x</em></td><td><code>' || r_regionkey || '</code></td></tr></table>' || chr(10) || '<ul><li>one</li><li><strong>two</strong></li></ul>' || chr(10) || '<p>Text &amp; <a href="https://x.org/">link</a>.</p>' AS page FROM region""",
     "json_round_trip": "SELECT doc_id, left(sha256(text), 12) AS digest, lang FROM documents",
     "json_bad_lines": "SELECT CASE WHEN doc_id % 10 <> 3 THEN doc_id END AS doc_id, CASE WHEN doc_id % 10 <> 3 THEN lang END AS lang, CASE WHEN doc_id % 10 = 3 THEN '{\"doc_id\": ' || source END AS corrupt FROM documents WHERE doc_id % 10 <> 4",
     "tsv_round_trip": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",

@@ -27,7 +27,7 @@ LEDGER = "lemma string, verdict string, gloss string, note string, reviewed_in a
 
 def text_files(spark: SparkSession, path: str, pattern: str = "*.txt", without: DataFrame | None = None) -> DataFrame:
     """source (file name) and whole text; ``without`` (source) is left out."""
-    found = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path).select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
+    found = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True).select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
     return found if without is None else found.join(without.select("source"), "source", "left_anti")
 
 
