@@ -20,6 +20,7 @@ PREPOSITIONS = ("al", "de", "en", "sur", "la", "um")
 NUMBERS = ["dudek", "tricent", "unu", "dumil", "dudeko", "kvar", "nu"]
 AFFIXES = {"mal": "opposite", "re": "again", "in": "female", "et": "small", "th": "x"}
 HEADS = [("kaj", "et", "and", "und"), ("mal'", "contraire", "opposite", "Gegenteil"), ("in'", "", "", ""), ("dek'", "dix", "ten", "zehn"), ("am'", "aimer", "to love", "lieben"), ("patr'", "père", "father", "Vater"), ("patr'in'", "mère", "mother", "Mutter"), ("mal'am'", "haïr", "to hate", "hassen"), ("bon'", "bon", "good", "gut"), ("la", "le", "the", "der")]
+GRAMMAR = [("kiu", "pron", "x", 0, ""), ("neniam", "adv", "x", 0, ""), ("ant", "suffix", "x", 0, ""), ("it", "suffix", "x", 0, ""), ("mal", "prefix", "x", 0, ""), ("ujo", "noun", "x", 0, ""), ("uj", "suffix", "x", 0, ""), ("ĉi", "particle", "x", 0, ""), ("po", "prep", "x", 0, ""), ("je", "prep", "x", 0, ""), ("amanta", "adj", "corpus-mined", 1, "ant"), ("kies", "verb", "x", 0, "")]
 HSYSTEM = ["chu ghi shi laudis neuzebla", "chu ĝi ĉu ŝi ĥo", "plain words", "Chiu SHI jhus Europo reuzi"]
 
 
@@ -420,6 +421,20 @@ def ranked_roots(spark, d):
     return M.root_stock(entries)
 
 
+def last_resort_roots(spark, d):
+    """Unsplit stems of the benchmark's words as roots of last resort, where nothing else is a root."""
+    entries = _vocabulary(spark, d).select(F.col("form").alias("word"), F.when(F.length("form") % 3 == 0, "ReVo").otherwise("corpus-mined").alias("source"), (F.length("form") % 2 == 0).alias("prefixes_empty"), F.lit(True).alias("suffixes_empty"))
+    return M.mined_roots(entries, {"in": (0, 0), "the": (0, 0)})
+
+
+def grammar_links(spark, d):
+    """Rules of the grammar that words illustrate: forms of the benchmark and some words of every rule."""
+    words = spark.createDataFrame(GRAMMAR, "word string, pos string, source string, affixes int, suffix string")
+    forms = _vocabulary(spark, d).select(F.col("form").alias("word"), T.guess_pos(F.col("form")).alias("pos"), F.lit("corpus-mined").alias("source"), (F.length("form") % 2).cast("int").alias("affixes"), F.substring("form", -2, 2).alias("suffix"))
+    refs = L.grammar_refs(F.col("word"), F.col("pos"), F.col("source"), F.col("affixes"), F.array("suffix"))
+    return words.unionByName(forms).select("word", "pos", F.array_join(F.transform(refs, lambda r: r["section"]), ",").alias("sections"))
+
+
 def layer_heads(spark, d):
     """Entries of a layer's heads of every kind."""
     rows = spark.createDataFrame(HEADS, "word string, fr string, en string, de string")
@@ -459,10 +474,12 @@ _NAMED = [
     minable_forms, parts_of_speech, numeral_forms, gloss_checks, epoch_checks, one_field_texts, x_system_texts, h_system_texts, fixed_sources, source_methods, following_months, root_classes, morpheme_glosses, book_bodies, preambles, review_rows,
     pairs_with_bases, link_counts, drifted_texts, decided_records, promotion_report, batch_entries, rederived_entries, resegmented_entries, recited_entries, refreshed_entries, rebuilt_entries, cited_titles, pinned_cells, merged_derivatives,
     pass_a_repairs, dictionary_lookup, acquisition_reasons, catalog_views, manifest_sums, bucket_totals, type_distribution, brand_options, addition_sizes, site_counts, rejected_books, missing_shard_numbers, unchanged_files, first_verdicts,
-    clash_counts, pending_lemmas, top_forms_per_class, scored_messages, kept_messages_by_year, mined_lemmas, citations_of_turns, concordance_of_turns, ranked_roots, layer_heads, layer_precedence, ledger_merge, verdicts_without_lemma,
+    last_resort_roots, grammar_links, clash_counts, pending_lemmas, top_forms_per_class, scored_messages, kept_messages_by_year, mined_lemmas, citations_of_turns, concordance_of_turns, ranked_roots, layer_heads, layer_precedence, ledger_merge, verdicts_without_lemma,
 ]
 QUERIES = {f.__name__: f for f in _NAMED}
 
+_FRONT = "|".join(DEFAULT.prefixes + DEFAULT.preposition_prefixes)
+_BACK = "|".join(DEFAULT.suffixes + DEFAULT.participles)
 _F = f"{SQL_TOKENS}, f AS (SELECT DISTINCT form FROM t)"
 _LIST = lambda words: ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 _LETTERS = "abcĉdefgĝhĥijĵklmnoprsŝtuŭvz"
@@ -591,6 +608,11 @@ ORACLE_SQL = {
       c AS (SELECT k AS rank, root FROM e UNION ALL SELECT 0, stem FROM e WHERE k = 0 AND stem IS NOT NULL), pr AS (SELECT root, count(*) AS n FROM (SELECT root FROM e UNION ALL SELECT stem FROM e WHERE stem IS NOT NULL AND stem <> root) GROUP BY root),
       pt AS (SELECT unnest([{_LIST(sorted(w for w in DEFAULT.closed_class - DEFAULT.non_deriving if len(w) >= 3))}]) AS root), ba AS (SELECT unnest([{_LIST(sorted(DEFAULT.non_deriving | {w for w in DEFAULT.closed_class if len(w) < 3}))}]) AS root),
       s AS (SELECT root, min(rank) AS rank FROM (SELECT root, rank FROM c WHERE length(root) >= 2 AND root NOT IN (SELECT root FROM ba) UNION ALL SELECT root, 0 FROM pt) GROUP BY root) SELECT root, CAST(rank AS INT) AS rank, CAST(-coalesce(n, 0) AS INT) AS neg_prod FROM s LEFT JOIN pr USING (root)""",
+    "last_resort_roots": f"WITH {SQL_VOCAB} SELECT DISTINCT left(form, length(form) - 1) AS root, 4 AS rank, 0 AS neg_prod FROM vocab WHERE length(form) % 3 <> 0 AND length(form) % 2 = 0 AND regexp_matches(form, '[oaei]$') AND length(form) >= 4 AND left(form, length(form) - 1) NOT IN ('in', 'the') AND NOT regexp_full_match(left(form, length(form) - 1), '({_FRONT}){{0,3}}(in|the)({_BACK}){{0,3}}')",
+    "grammar_links": f"""WITH {SQL_VOCAB}, w AS (SELECT * FROM (VALUES {', '.join(f"('{w}', '{p}', '{s}', {n}, '{x}')" for w, p, s, n, x in GRAMMAR)}) v(word, pos, source, affixes, suffix) UNION ALL SELECT form, {SQL_POS}, 'corpus-mined', length(form) % 2, right(form, 2) FROM vocab),
+      g AS (SELECT *, regexp_full_match(word, '(neni|ki|ti|ĉi|i)(o|u|a|es|e|am|al|el|om)') AND pos IN ('pron', 'adv', 'adj', 'particle', 'noun') AS grid, source = 'corpus-mined' AND affixes > 0 AS mined FROM w)
+      SELECT word, pos, concat_ws(',', CASE WHEN pos IN ('prefix', 'suffix') THEN '2' END, CASE WHEN grid THEN '3' END, CASE WHEN grid AND word LIKE 'neni%' THEN '6.2' END, CASE WHEN pos = 'suffix' AND word IN ('ant', 'int', 'ont', 'at', 'it', 'ot') THEN '2' END, CASE WHEN pos = 'suffix' AND word IN ('at', 'it') THEN '6.6' END,
+        CASE WHEN word = 'ujo' OR (pos = 'suffix' AND word = 'uj') THEN '6.1' END, CASE WHEN word = 'ĉi' AND pos IN ('particle', 'adv') THEN '6.4' END, CASE WHEN word = 'po' AND pos = 'prep' THEN '6.11' END, CASE WHEN word = 'je' AND pos = 'prep' THEN '6.13' END, CASE WHEN mined THEN '2' END, CASE WHEN mined AND suffix IN ('ant', 'int', 'ont', 'at', 'it', 'ot') THEN '2' END) AS sections FROM g""",
     "layer_heads": """SELECT * FROM (VALUES ('kaj', 'conj', 'bare', '', 'and', ''), ('mal', 'prefix', 'affix', 'mal', 'opposite', ''), ('in', 'suffix', 'affix', 'in', 'female', ''), ('dek', 'num', 'numeral', '', 'ten', ''), ('ami', 'verb', 'root', 'am', 'to love', 'AM+i'),
       ('patro', 'noun', 'root', 'patr', 'father', 'PATR+o'), ('patrino', 'noun', 'root', 'patrin', 'mother', 'PATR+in+o'), ('malami', 'verb', 'root', 'malam', 'to hate', 'mal+AM+i'), ('bona', 'adj', 'root', 'bon', 'good', 'BON+a'), ('la', 'art', 'bare', '', 'the', '')) v(word, pos, kind, root, gloss_en, shape)""",
     "layer_precedence": f"WITH {SQL_TOKENS}, g AS (SELECT form AS word, source, min(doc_id) AS ord FROM t GROUP BY ALL) SELECT word, source, ord FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY source DESC) AS r FROM g) WHERE r = 1",

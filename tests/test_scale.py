@@ -37,6 +37,30 @@ def test_a_large_dictionary_is_joined(spark, words):
         assert own == joined and {x: tuple(v) if isinstance(v, tuple) else v for x, v in own.items()} == {x: plain[ways](x) for x in forms}
 
 
+def test_segmentation_by_all_readings():
+    """The best reading among all that putting affixes about a root gives."""
+    from itertools import product
+
+    from lexloom.functions.model import LanguageModel
+
+    model = LanguageModel(prefixes=("mal", "re", "fi"), preposition_prefixes=("sub",), suffixes=("in", "et", "ig"), participles=("ant",), rare_prefixes=frozenset({"fi"}))
+    stock = {"bon": (0, -3), "lin": (1, 0), "ant": (2, 0), "ig": (0, 0), "subet": (3, 0), "et": (2, -1)}
+    fronts, backs = ("mal", "re", "fi", "sub"), ("in", "et", "ig", "ant")
+    every = {}
+    for n in range(4):
+        for m in range(4 - n):
+            for before, after, root in product(product(fronts, repeat=n), product(backs, repeat=m), stock):
+                if (n or m) and not (root in model.affix_roots and (root in ("ig", "iĝ") or any(p not in ("mal", "ne") for p in before))):
+                    every.setdefault("".join((*before, root, *after)), []).append(((n + m, sum(p == "fi" for p in before), stock[root], -len(root)), (before, root, after)))
+    for stem in (*every, "xyz", "malx"):
+        want = None if stem in stock or stem not in every else min(every[stem], key=lambda x: x[0])
+        got = M.segment(stem, stock, model)
+        assert (got is None) == (want is None)
+        if got:
+            cost = (len(got[0]) + len(got[2]), sum(p == "fi" for p in got[0]), stock[got[1]], -len(got[1]))
+            assert cost == want[0] and "".join((*got[0], got[1], *got[2])) == stem
+
+
 def test_long_tokens_are_read_quickly():
     assert M.analyse("ab" * 100_000, {"ab", "abab"}, {"x"})[1] == "unknown"
     assert not M.recognised("ab" * 100_000, {"xy"}, {"x"})
