@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import math
 import random
 import re
@@ -36,7 +37,17 @@ PREFIXES = (b"AKIA", b"ASIA", b"ghp_", b"gho_", b"ghs_", b"github_pat_", b"glpat
 NAMES = (b"token", b"secret", b"passwd", b"password", b"pwd", b"apikey", b"api_key", b"access_key", b"private_key", b"auth", b"bearer", b"credential", b"key", b"client_secret", b"passphrase")
 OTHERS = (b"commit", b"sha", b"sha1", b"sha256", b"md5", b"checksum", b"hash", b"digest", b"uuid", b"guid", b"revision", b"etag", b"integrity", b"build", b"version", b"id", b"isbn", b"serial", b"url", b"http", b"https", b"image", b"class", b"import", b"example", b"sample", b"placeholder", b"dummy", b"fake")
 #: Words that fill placeholders and identifiers.
-WORDS = ("access account admin api application argument array auth backup base block buffer build bytes cache change changeme class client cloud code commit config connection container content context control count create data database date default delete demo digest directory document domain element email empty encode encrypt enter entity error event example expected factory fake field file filter format from function generator global handler header hello host image index input insert instance integer internal invalid item json kernel label length library license list load local location login manager master message method model module name network number object offset option output package page parameter parser password path pattern placeholder plugin pointer policy port private process profile project provider public query random reader record reference register release remote replace request resource response result return root sample schema script search secret section select server service session setting shared simple size source stack start state status storage stream string system table target task template test text thread time title token type unique unknown update upload user util validate value variable vector version view window write your").split()
+WORDS = [
+    "access", "account", "admin", "api", "application", "argument", "array", "auth", "backup", "base", "block", "buffer", "build", "bytes", "cache", "change", "changeme", "class", "client", "cloud", "code", "commit", "config",
+    "connection", "container", "content", "context", "control", "count", "create", "data", "database", "date", "default", "delete", "demo", "digest", "directory", "document", "domain", "element", "email", "empty", "encode",
+    "encrypt", "enter", "entity", "error", "event", "example", "expected", "factory", "fake", "field", "file", "filter", "format", "from", "function", "generator", "global", "handler", "header", "hello", "host", "image", "index",
+    "input", "insert", "instance", "integer", "internal", "invalid", "item", "json", "kernel", "label", "length", "library", "license", "list", "load", "local", "location", "login", "manager", "master", "message", "method",
+    "model", "module", "name", "network", "number", "object", "offset", "option", "output", "package", "page", "parameter", "parser", "password", "path", "pattern", "placeholder", "plugin", "pointer", "policy", "port", "private",
+    "process", "profile", "project", "provider", "public", "query", "random", "reader", "record", "reference", "register", "release", "remote", "replace", "request", "resource", "response", "result", "return", "root", "sample",
+    "schema", "script", "search", "secret", "section", "select", "server", "service", "session", "setting", "shared", "simple", "size", "source", "stack", "start", "state", "status", "storage", "stream", "string", "system",
+    "table", "target", "task", "template", "test", "text", "thread", "time", "title", "token", "type", "unique", "unknown", "update", "upload", "user", "util", "validate", "value", "variable", "vector", "version", "view",
+    "window", "write", "your",
+]
 _TEST = re.compile(rb"test|spec|example|fixture|sample|mock|doc", re.I)
 _CONFIG = re.compile(rb"config|\.env|secret|credential|settings|\.pem|\.ya?ml|\.ini|\.tf", re.I)
 #: A key block reaches to its END line, over headers with hyphens.
@@ -88,55 +99,68 @@ def candidates(text: bytes) -> list[tuple[str, int, int]]:
     return [(rule, begin, end) for begin, end, rule in found]
 
 
-@lru_cache(maxsize=1)
-def _transitions() -> np.ndarray:
-    """log2 probability of a lower-case letter after another, from the word list."""
+@dataclass(frozen=True)
+class Dictionary:
+    """Words by their first four letters, and how letters follow each other in them."""
+
+    words: frozenset[str]
+    lengths: dict[str, tuple[int, ...]]
+    transitions: np.ndarray
+
+    def covered(self, value: str) -> float:
+        """Share of the characters that words cover, longest first from the left."""
+        low, at, got = value.lower(), 0, 0
+        while at < len(low):
+            hit = next((n for n in self.lengths.get(low[at : at + 4], ()) if low[at : at + n] in self.words), 0)
+            at, got = at + (hit or 1), got + hit
+        return got / max(1, len(low))
+
+
+@lru_cache(maxsize=4)
+def dictionary(vocabulary: str | None = "byte_bpe_50k") -> Dictionary:
+    """The words of five letters or more that a public tokenizer's vocabulary holds whole (a name of the public files, or
+    a path without its suffix), with those that fill placeholders; these alone without a vocabulary. The
+    transitions are log2 probabilities of a lower-case letter after another."""
+    words = {w for w in WORDS if len(w) >= 4}
+    if vocabulary:
+        import public_tokenizers as public
+
+        with open(vocabulary + ".json" if "/" in vocabulary else public.path(vocabulary + ".json"), encoding="utf-8") as f:
+            tokens = json.load(f)["model"]["vocab"]
+        words |= {t[1:] for t in tokens if len(t) > 5 and t[0] == "Ġ" and t[1:].isascii() and t[1:].isalpha() and t[1:].islower()}
+    lengths: dict[str, set[int]] = {}
     seen = np.full((27, 27), 0.5)
-    for word in WORDS:
+    for word in sorted(words):
+        lengths.setdefault(word[:4], set()).add(len(word))
         codes = [26, *(ord(c) - 97 for c in word), 26]
-        for a, b in zip(codes, codes[1:], strict=False):
-            seen[a, b] += 1
-    return np.log2(seen / seen.sum(axis=1, keepdims=True))
+        np.add.at(seen, (codes[:-1], codes[1:]), 1)
+    return Dictionary(frozenset(words), {k: tuple(sorted(v, reverse=True)) for k, v in lengths.items()}, np.log2(seen / seen.sum(axis=1, keepdims=True)))
 
 
 #: Of each byte: 0 digit, 1 lower case, 2 upper case, 3 other; and its letter from 0, -1 for none.
 _KIND = np.array([0 if 48 <= c < 58 else 1 if 97 <= c < 123 else 2 if 65 <= c < 91 else 3 for c in range(256)])
 _LETTER = np.array([(c | 32) - 97 if 65 <= c < 91 or 97 <= c < 123 else -1 for c in range(256)])
 
-_BY_START: dict[str, list[str]] = {}
-for _w in sorted((w for w in WORDS if len(w) >= 4), key=lambda w: (-len(w), w)):
-    _BY_START.setdefault(_w[:4], []).append(_w)
-
-
-def _covered(value: str) -> float:
-    """Share of the characters that dictionary words cover, longest first from the left."""
-    low, at, got = value.lower(), 0, 0
-    while at < len(low):
-        hit = next((w for w in _BY_START.get(low[at : at + 4], ()) if low.startswith(w, at)), "")
-        at, got = at + (len(hit) or 1), got + len(hit)
-    return got / max(1, len(low))
-
-
-def describe(text: bytes, begin: int, end: int, path: bytes) -> list[float]:
+def describe(text: bytes, begin: int, end: int, path: bytes, vocabulary: str | None = "byte_bpe_50k") -> list[float]:
     """The features of one candidate."""
-    value = text[begin:end]
+    value, known = text[begin:end], dictionary(vocabulary)
     n, codes = len(value), np.frombuffer(value, np.uint8)
     kinds = _KIND[codes]
     counts = np.bincount(codes, minlength=256)
     p = counts[counts > 0] / max(1, n)
     letters = _LETTER[codes]
     both = (letters[:-1] >= 0) & (letters[1:] >= 0)
-    steps = _transitions()[letters[:-1][both], letters[1:][both]]
+    steps = known.transitions[letters[:-1][both], letters[1:][both]]
     share = np.bincount(kinds, minlength=4) / max(1, n)
     changes = np.flatnonzero(codes[1:] != codes[:-1])
     longest = int(np.diff(np.concatenate([[-1], changes, [n - 1]])).max()) if n else 0
     before = [w.lower() for w in _WORD.findall(text[max(0, begin - AROUND) : begin])][-4:]
     after = [w.lower() for w in _WORD.findall(text[end : end + AROUND])][:3]
-    near = lambda words, known: sum(any(k == w or (len(k) > 3 and k in w) for k in known) for w in words)
+    near = lambda words, names: sum(any(k == w or (len(k) > 3 and k in w) for k in names) for w in words)
     return [
         n, float(-(p * np.log2(p)).sum()), float(np.mean(steps)) if len(steps) else -5.0, float((kinds[1:] != kinds[:-1]).sum() / max(1, n - 1)),
         float(share[0]), float(share[2]), float(share[3]), float(bool(_HEX.fullmatch(value))), float(bool(_UUID.fullmatch(value))),
-        _covered(value.decode("latin-1")), len(p) / max(1, n), longest / max(1, n),
+        known.covered(value.decode("latin-1")), len(p) / max(1, n), longest / max(1, n),
         float(value.startswith(PREFIXES)), float(text[begin : begin + 5] == b"-----"), near(before, NAMES), near(before, OTHERS), near(after, OTHERS),
         float(text[max(0, begin - 4) : begin].rstrip(b"\"' ").endswith((b"=", b":"))), float(text[max(0, begin - 1) : begin] in (b'"', b"'")), value.count(b"/") + value.count(b"."),
         float(text[end : end + 1] == b"@"), float(bool(_TEST.search(path))), float(bool(_CONFIG.search(path))),
@@ -213,20 +237,21 @@ def written_findings(n: int = 6000, seed: int = 7) -> list[tuple[bytes, bytes, i
 @dataclass
 class Detector:
     forest: Forest
+    vocabulary: str | None = "byte_bpe_50k"
 
     def findings(self, text: bytes, path: bytes = b"") -> list[tuple[str, int, int, float]]:
         """(rule, begin, end, score) of every candidate."""
         found = candidates(text)
         if not found:
             return []
-        scores = self.forest.sum(np.array([describe(text, a, b, path) for _, a, b in found]))
+        scores = self.forest.sum(np.array([describe(text, a, b, path, self.vocabulary) for _, a, b in found]))
         return [(kind, a, b, float(s)) for (kind, a, b), s in zip(found, scores, strict=True)]
 
 
-def train(labelled: DataFrame | None = None, most: int = MOST_FINDINGS, trees: int = 60, depth: int = 8, seed: int = 1) -> Detector:
+def train(labelled: DataFrame | None = None, most: int = MOST_FINDINGS, trees: int = 60, depth: int = 8, seed: int = 1, vocabulary: str | None = "byte_bpe_50k") -> Detector:
     """Fit on labelled findings: a DataFrame (line, path, label) of which at most ``most``
     rows are taken (the first by hash), or the written ones. A line's last candidate is its finding;
-    lines without a candidate teach nothing."""
+    lines without a candidate teach nothing. ``vocabulary``: where the dictionary's words come from."""
     if labelled is None:
         rows = written_findings()
     else:
@@ -235,11 +260,11 @@ def train(labelled: DataFrame | None = None, most: int = MOST_FINDINGS, trees: i
     x, y = [], []
     for line, path, label in rows[:most]:
         if found := candidates(line):
-            x.append(describe(line, found[-1][1], found[-1][2], path))
+            x.append(describe(line, found[-1][1], found[-1][2], path, vocabulary))
             y.append(label)
     if not x:
         raise ValueError("no labelled finding holds a candidate")
-    return Detector(random_forest(np.array(x), np.array(y, float), trees=trees, depth=depth, seed=seed))
+    return Detector(random_forest(np.array(x), np.array(y, float), trees=trees, depth=depth, seed=seed), vocabulary)
 
 
 _FOUND = "doc_id long, rule string, start long, end long, score double, is_secret boolean, secret_sha256 string"
