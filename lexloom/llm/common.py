@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,21 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def tidy(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``f``, and behind its last batch what it has freed goes back to the system: Spark keeps idle workers, whose
+    memory counts against the executor's next stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            pass  # another C library has no such call
+
+    return run
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` alone, whatever other columns the table has."""
     small_batches(docs.sparkSession)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, raw_bytes, saved, scratch, texts
+from .common import documents, raw_bytes, saved, scratch, texts, tidy
 from .components import components, merged
 
 #: Pairs a member of a bucket that are compared straight away, members of a bucket that one task compares with
@@ -108,7 +108,7 @@ def sets(docs: DataFrame, words: int = 4, tables: int = 9, rows: int = 2, seed:
             keys = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(a, keys), pa.array(b, keys)], ["doc_id", "n_shingles", "hi", "lo", "a", "b"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, hi long, lo long, a array<long>, b array<long>")
+    return docs.mapInArrow(tidy(run), "doc_id long, n_shingles long, hi long, lo long, a array<long>, b array<long>")
 
 
 def full_sets(docs: DataFrame, words: int = 4) -> DataFrame:
@@ -119,7 +119,7 @@ def full_sets(docs: DataFrame, words: int = 4) -> DataFrame:
             found = [shingle_set(x, words).view(np.int64) for x in raw_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"])
 
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.mapInArrow(tidy(run), "doc_id long, shingles array<long>")
 
 
 def _confirmed(pairs: DataFrame, full: DataFrame, percent: int, more: bool = False) -> DataFrame:
@@ -344,7 +344,7 @@ def _fine_buckets(full: DataFrame, many: int, percent: int, seed: int) -> DataFr
                 keys = scramble(keys + np.arange(len(keys), dtype=np.uint64) * np.uint64(_MIX[1])).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), node)), pa.array(np.full(len(keys), len(own)))], ["key", "node", "n"])
 
-    member = saved(full.select("node", "shingles").mapInArrow(run, "key long, node long, n long"), "minhash-fine")
+    member = saved(full.select("node", "shingles").mapInArrow(tidy(run), "key long, node long, n long"), "minhash-fine")
     return member.join(member.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key")
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, saved, texts
+from .common import documents, saved, texts, tidy
 from .tokens import encoder
 
 _ENCODED = "part string, block_start long, doc_id long, before long, n long, ids binary"
@@ -46,7 +46,7 @@ def encode_partitions(units: DataFrame, vocabulary: str = "byte_bpe_50k", end_id
                 totals[unit] = before[-1] + size
             yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), batch.column(0), pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], ["part", "block_start", "doc_id", "before", "n", "ids"])
 
-    return units.mapInArrow(run, _ENCODED)
+    return units.mapInArrow(tidy(run), _ENCODED)
 
 
 def pack(docs: DataFrame, seq_len: int = 1024, vocabulary: str = "byte_bpe_50k", end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", in_file_order: bool = False) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, raw_bytes, texts
+from .common import documents, raw_bytes, texts, tidy
 from .quality_rules import measure
 from .trees import Forest, boost
 
@@ -58,7 +58,7 @@ def _features(docs: DataFrame) -> DataFrame:
             rows = [statistics(x) for x in raw_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "x"])
 
-    return docs.mapInArrow(run, "doc_id long, x array<double>")
+    return docs.mapInArrow(tidy(run), "doc_id long, x array<double>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", most_rows: int = MOST_ROWS, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> Model:
@@ -85,7 +85,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             x = np.array([statistics(t) for t in raw_bytes(batch.column(1))]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x), pa.float64())], ["doc_id", "score"])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return texts(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

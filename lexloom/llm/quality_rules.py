@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, raw_bytes, small_batches, texts
+from .common import documents, raw_bytes, small_batches, texts, tidy
 
 SYMBOLS = b"#*$%&|<>"
 _SPACES_AND_TAILS = bytes([32, *range(9, 14), *range(0x80, 0xC0)])
@@ -98,7 +98,7 @@ def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * len(MEASURES)
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *MEASURES])
 
-    measured = texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, " + ", ".join(f"{x} long" for x in MEASURES))
+    measured = texts(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, " + ", ".join(f"{x} long" for x in MEASURES))
     return measured.withColumn("failed_bits", failed_bits(rules))
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, raw_bytes, small_batches
+from .common import documents, raw_bytes, small_batches, tidy
 from .trees import Forest, random_forest
 
 #: Labelled findings that a fit takes at most.
@@ -293,7 +293,7 @@ def scan(docs: DataFrame, detector: Detector, threshold: float = 0.5, id_col: st
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "rule", "start", "end", "score", "is_secret", "secret_sha256"])
 
     path = F.col(f"`{path_col}`").cast("string") if path_col and path_col in docs.columns else F.lit("")
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), path.alias("path")).mapInArrow(run, _FOUND)
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), path.alias("path")).mapInArrow(tidy(run), _FOUND)
 
 
 def redacted(docs: DataFrame, detector: Detector, threshold: float = 0.5, mark: str = "[REDACTED]", text_col: str = "text", path_col: str | None = "source", length_col: str | None = "n_chars") -> DataFrame:
@@ -321,7 +321,7 @@ def redacted(docs: DataFrame, detector: Detector, threshold: float = 0.5, mark:
                     columns[length_at] = pa.array([len(new[i]) if i in new else x for i, x in enumerate(columns[length_at].to_pylist())], columns[length_at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_bytes, saved
+from .common import raw_bytes, saved, tidy
 
 #: Bytes that are worked on at once; a block holds four times as many, and a part of the keys stands for so much text.
 PART, KEYS_OF = 1 << 20, 64 << 20
@@ -69,7 +69,7 @@ def text_blocks(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([part << 32 | k], pa.int64()), pa.array([sum(map(len, own))], pa.int64()), pa.array([ids[at : i + 1]], pa.list_(pa.int64())), pa.array([[len(x) for x in own]], pa.list_(pa.int64())), pa.array([[xxhash.xxh3_128_digest(x) for x in own]], pa.list_(pa.binary())), pa.array([pack.compress(b"".join(own))], pa.binary())], ["block", "nbytes", "ids", "lengths", "digests", "texts"])
                     at, k = i + 1, k + 1
 
-    return docs.mapInArrow(run, "block long, nbytes long, ids array<long>, lengths array<long>, digests array<binary>, texts binary")
+    return docs.mapInArrow(tidy(run), "block long, nbytes long, ids array<long>, lengths array<long>, digests array<binary>, texts binary")
 
 
 def opened(row: dict) -> tuple[list, np.ndarray, bytes]:
@@ -102,7 +102,7 @@ def _block_keys(held: DataFrame, spread: int, keys: Keys) -> DataFrame:
                 which, h = keys(ids, lengths, data)
                 yield from key_rows(row["block"], np.array([x or 0 for x in ids], np.int64)[which], h, spread).to_batches()
 
-    return held.mapInArrow(run, KEY_SCHEMA)
+    return held.mapInArrow(tidy(run), KEY_SCHEMA)
 
 
 def _shared(part: pa.Table) -> pa.Table:
@@ -224,7 +224,7 @@ def copies(held: DataFrame, least: int, spread: int) -> DataFrame:
                 use = [i for i, (doc, n) in enumerate(zip(row["ids"], row["lengths"], strict=True)) if doc is not None and n >= least]
                 yield from first_rows(row["block"], np.array([row["ids"][i] for i in use], np.int64), *_halves([row["digests"][i] for i in use]), spread).to_batches()
 
-    return reduce_firsts(held.select("block", "ids", "lengths", "digests").mapInArrow(run, FIRST_SCHEMA), "copies")
+    return reduce_firsts(held.select("block", "ids", "lengths", "digests").mapInArrow(tidy(run), FIRST_SCHEMA), "copies")
 
 
 def copied(row: dict, known: Firsts, least: int) -> np.ndarray:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, saved, shared_path, texts
+from .common import documents, saved, shared_path, texts, tidy
 from .tokens import encoder
 
 #: Bytes of a block, a multiple of every token width; blocks of a scan unit of the prefix scan.
@@ -64,7 +64,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = "byte_bpe_
         if out:
             out.close()
 
-    return saved(texts(docs, id_col, text_col).mapInArrow(run, "file string, ordinal long, doc_id long"), "token-manifest")
+    return saved(texts(docs, id_col, text_col).mapInArrow(tidy(run), "file string, ordinal long, doc_id long"), "token-manifest")
 
 
 def blocks(spark: SparkSession, files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -102,7 +102,7 @@ def separator_scan(block_rows: DataFrame, end_id: int = 50256, width: int = 2, b
 
     width_of_job = max(2, block_rows.sparkSession.sparkContext.defaultParallelism * 2)
     dealt = block_rows.select("path", "file", "block", "bytes").repartition(width_of_job, "path", "block")
-    scanned = saved(dealt.mapInArrow(scan, "file string, block long, n_ids long, n_ends long, last_end long, ends array<long>"), "token-blocks")
+    scanned = saved(dealt.mapInArrow(tidy(scan), "file string, block long, n_ids long, n_ends long, last_end long, ends array<long>"), "token-blocks")
     # Prefix scan in two levels: inside units of blocks, then over the units of a file.
     unit = F.expr(f"block div {UNIT_BLOCKS}")
     narrow = scanned.select("file", "block", "n_ids", "n_ends", "last_end", unit.alias("unit"))
