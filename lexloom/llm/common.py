@@ -25,21 +25,38 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def trim() -> None:
+    """What this process has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library has no such call
+
+
 def tidy(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``f``, and behind its last batch what it has freed goes back to the system: Spark keeps idle workers, whose
     memory counts against the executor's next stages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from f(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):
-            pass  # another C library has no such call
+        trim()
 
     return run
 
 
+def tidy_group(f: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """As ``tidy``, for a function of one group."""
+
+    def run(*tables: pa.Table) -> pa.Table:
+        found = f(*tables)
+        trim()
+        return found
+
+    # Spark tells functions with a key from those without by their number of arguments.
+    return (lambda left, right: run(left, right)) if f.__code__.co_argcount > 1 else (lambda part: run(part))
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` alone, whatever other columns the table has."""
     small_batches(docs.sparkSession)

@@ -24,10 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_bytes, saved, tidy
+from .common import raw_bytes, saved, tidy, tidy_group
 
-#: Bytes that are worked on at once; a block holds four times as many, and a part of the keys stands for so much text.
-PART, KEYS_OF = 1 << 20, 64 << 20
+#: Bytes that are worked on at once; a block holds eight times as many, and a part of the keys stands for so much text.
+PART, KEYS_OF = 1 << 19, 64 << 20
 
 #: (ids, lengths, texts laid end to end) to (text index, key) of whatever may repeat, texts without an id left out.
 Keys = Callable[[list, np.ndarray, bytes], tuple[np.ndarray, np.ndarray]]
@@ -64,7 +64,7 @@ def text_blocks(docs: DataFrame) -> DataFrame:
             at, total = 0, 0
             for i in range(len(rows)):
                 total += len(rows[i])
-                if i + 1 == len(rows) or total >= 4 * PART or i - at >= 4000:
+                if i + 1 == len(rows) or total >= 8 * PART or i - at >= 4000:
                     own, total = rows[at : i + 1], 0
                     yield pa.RecordBatch.from_arrays([pa.array([part << 32 | k], pa.int64()), pa.array([sum(map(len, own))], pa.int64()), pa.array([ids[at : i + 1]], pa.list_(pa.int64())), pa.array([[len(x) for x in own]], pa.list_(pa.int64())), pa.array([[xxhash.xxh3_128_digest(x) for x in own]], pa.list_(pa.binary())), pa.array([pack.compress(b"".join(own))], pa.binary())], ["block", "nbytes", "ids", "lengths", "digests", "texts"])
                     at, k = i + 1, k + 1
@@ -180,7 +180,7 @@ def _firsts(part: pa.Table) -> pa.Table:
 
 
 def reduce_firsts(rows: DataFrame, name: str) -> DataFrame:
-    return saved(rows.groupBy("part").applyInArrow(_firsts, "block long, keys binary, docs binary, split binary"), name, "uncompressed")
+    return saved(rows.groupBy("part").applyInArrow(tidy_group(_firsts), "block long, keys binary, docs binary, split binary"), name, "uncompressed")
 
 
 class Firsts:
@@ -235,7 +235,7 @@ def copied(row: dict, known: Firsts, least: int) -> np.ndarray:
 
 
 def reduce_keys(rows: DataFrame, name: str) -> DataFrame:
-    return saved(rows.groupBy("part").applyInArrow(_shared, "block long, h binary"), name, "uncompressed")
+    return saved(rows.groupBy("part").applyInArrow(tidy_group(_shared), "block long, h binary"), name, "uncompressed")
 
 
 def shared_keys(held: DataFrame, keys: Keys, name: str, spread: int) -> DataFrame:
@@ -306,4 +306,4 @@ def of_kind(right: pa.Table, kind: int, *columns: str) -> pa.Table:
 
 
 def with_blocks(held: DataFrame, side: DataFrame, f, schema: str) -> DataFrame:
-    return held.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(f, schema)
+    return held.groupBy("block").cogroup(side.groupBy("block")).applyInArrow(tidy_group(f), schema)
