@@ -60,8 +60,10 @@ def table(spark: SparkSession, path: str, schema: str | None = None, header: boo
 
 
 def manifest(spark: SparkSession, path: str, key: str = "source") -> DataFrame:
-    """A manifest with one row a source, the last one."""
-    rows = table(spark, path).withColumn("__at", F.monotonically_increasing_id())
+    """A manifest with one row a source, the last one. Files follow each other by their paths and rows as they stand there:
+    Spark reads large files first, so the order in which rows arrive says nothing."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    rows = table(spark, path).withColumn("__at", at)
     return rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in (key, "__at")]), "__at").alias("r")).select(key, "r.*")
 
 

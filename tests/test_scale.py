@@ -141,6 +141,17 @@ def test_files_and_dry_runs(spark, tmp_path):
     assert {r["file"]: r["sha256"] for r in sinks.file_digests(spark, str(tmp_path / "d"), "part-*").collect()} == want
 
 
+def test_manifest_of_files_of_many_sizes(spark, tmp_path):
+    """The last row is that of the last file, though larger files are read first; a file cut into blocks too."""
+    small, large = ["a\t1", "b\t1"], ["a\t2", *(f"x{i}\t{i}" for i in range(3000)), "a\t3", "c\t3"]
+    for name, lines in (("part-0", small), ("part-1", large), ("part-2", ["b\t4"])):
+        (tmp_path / f"{name}.csv").write_text("\n".join(["source\tv", *lines]) + "\n")
+    for most in ("128m", "4k"):
+        with steps.session(spark, spark__sql__files__maxPartitionBytes=most):
+            got = {r["source"]: r["v"] for r in readers.manifest(spark, str(tmp_path)).collect()}
+        assert len(got) == 3003 and (got["a"], got["b"], got["c"]) == ("3", "4", "3")
+
+
 def test_steps(spark):
     before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
     held = steps.saved(spark.range(10).repartition(3, "id"), "some")
