@@ -209,13 +209,16 @@ def dictionary_pass_b(spark, d):
 
 
 def text_file_scan(spark, d):
-    """One text file a document, read whole, without those of a list."""
-    at = shared_path(spark, "texts")
-    sinks.texts(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source"), "text"), at)
-    files = saved(readers.text_files(spark, f"{at}/*"), "text-files")
-    every = files.select(T.short_digest(F.col("text")).alias("digest"))
-    left = readers.text_files(spark, f"{at}/source=1", without=files.select("source").limit(0)).count()
-    assert left == 1 and readers.text_files(spark, f"{at}/source=1", without=files.select("source")).count() == 0
+    """One text file a document, read whole, without those of a list. A document without text has no file and no digest."""
+    at, docs = shared_path(spark, "texts"), table(spark, d, "documents")
+    name = F.concat_ws("-", F.col("doc_id").cast("string"), F.monotonically_increasing_id())
+    sinks.text_files(docs.select(name.alias("source"), "text"), at)
+    files = readers.folders_of_texts(spark, at, "text-digests", lambda f: f.select("source", T.short_digest(F.col("text")).alias("digest")))
+    if one := files.head():
+        path = f"{at}/*/{one['source']}"
+        left = readers.text_files(spark, path, without=files.select("source").limit(0)).count()
+        assert left == 1 and readers.text_files(spark, path, without=files.select("source")).count() == 0
+    every = files.select("digest").unionByName(docs.where("text IS NULL").select(F.lit(None).cast("string").alias("digest")))
     return every.groupBy("digest").agg(F.count("*").alias("n"))
 
 

@@ -8,7 +8,7 @@ import re
 import tarfile
 import xml.etree.ElementTree as ET
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import text as X
+from .steps import saved, session
 
 #: Schemas of the tables that operators exchange.
 ENTRY = "word string, pos string, gloss_en string, gloss_fr string, root string, morphology struct<prefixes: array<struct<m: string, gloss: string>>, stem: string, suffixes: array<struct<m: string, gloss: string>>, ending: string>, source string, derived boolean, dated_gloss string, english_headwords array<string>, grammar_refs array<struct<section: string, topic: string>>, attestation struct<count: bigint, sources: bigint, sources_lit: bigint, sources_wiki: bigint>, citations array<struct<source: string, text: string>>"
@@ -31,6 +32,17 @@ def text_files(spark: SparkSession, path: str, pattern: str = "*.txt", without:
     return found if without is None else found.join(without.select("source"), "source", "left_anti")
 
 
+def folders_of_texts(spark: SparkSession, path: str, name: str, pick: Callable[[DataFrame], DataFrame], pattern: str = "*.txt", without: DataFrame | None = None) -> DataFrame:
+    """``pick`` of the text files in the folders of a folder, saved. The driver holds the name and place of every file that
+    a read lists, so files are read a folder at a time; small files are packed by what opening one costs."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    folders = sorted(f.getPath().toString() for f in found if f.isDirectory())
+    none = pick(spark.createDataFrame([], "source string, text string"))
+    with session(spark, spark__sql__files__openCostInBytes=str(64 << 10)):
+        return saved(none, name, further=(pick(text_files(spark, f, pattern, without)) for f in folders))
+
+
 def text_lines(docs: DataFrame) -> DataFrame:
     """source, line (from 1), text."""
     return docs.select("source", F.posexplode(X.lines(F.col("text"))).alias("line", "text")).withColumn("line", F.col("line") + 1)

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .steps import session, spread
 
 
 def _swap(df: DataFrame, path: str, write, dry_run: bool = False) -> int | None:
@@ -54,6 +59,47 @@ def texts(docs: DataFrame, path: str) -> None:
     _swap(docs, path, lambda p: docs.select("source", F.regexp_replace("text", "\n$", "").alias("value")).write.partitionBy("source").text(p))
 
 
+def text_files(docs: DataFrame, path: str, most: int = 20_000) -> None:
+    """One text file a row (``source``, ``text``), named by its source and ended by one newline, in folders of at most ``most``
+    files; a row without text has no file. A name that comes again goes to another folder; all of a name but ASCII letters,
+    digits and ``-._~``, and a dot or an underscore at its start, is escaped.
+
+    Hadoop's local file system starts a process a file and writes a checksum beside each, so tasks write with
+    ``pyarrow.fs``. A task names the folders it has filled, and those of attempts that failed are deleted."""
+
+    def write(fresh: str) -> None:
+        sc = docs.sparkSession.sparkContext
+        at = lambda p: sc._jvm.org.apache.hadoop.fs.Path(p)
+        fs = at(fresh).getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(at(fresh))
+        uri = fs.makeQualified(at(fresh)).toUri()
+        where = uri.getPath() if uri.getScheme() == "file" else uri.toString()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            store, root = pafs.FileSystem.from_uri(where)
+            folder, names = "", set()
+            for batch in batches:
+                for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    if not folder or len(names) == most or name in names:
+                        folder, names = uuid.uuid4().hex, set()
+                        store.create_dir(f"{root}/{folder}", recursive=True)
+                        yield pa.RecordBatch.from_arrays([pa.array([folder])], ["folder"])
+                    names.add(name)
+                    put, raw = quote(name, safe=""), text.as_py()
+                    put = f"%{ord(put[0]):02X}{put[1:]}" if put[:1] in (".", "_") else put
+                    with store.open_output_stream(f"{root}/{folder}/{put}.txt") as out:
+                        out.write(raw if raw.endswith(b"\n") else raw + b"\n")
+
+        rows = spread(docs.where("text IS NOT NULL").select("source", F.col("text").cast("binary").alias("text")))
+        with session(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="256", spark__sql__execution__arrow__maxBytesPerBatch=str(16 << 20)):
+            whole = {r["folder"] for r in rows.mapInArrow(run, "folder string").collect()}
+        for found in fs.listStatus(at(fresh)):
+            if found.getPath().getName() not in whole:
+                fs.delete(found.getPath(), True)
+
+    _swap(docs, path, write)
+
+
 def append(df: DataFrame, path: str) -> None:
     """Provenance records are only ever added to."""
     df.write.mode("append").json(path)

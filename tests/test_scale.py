@@ -152,6 +152,37 @@ def test_manifest_of_files_of_many_sizes(spark, tmp_path):
         assert len(got) == 3003 and (got["a"], got["b"], got["c"]) == ("3", "4", "3")
 
 
+def test_text_files(spark, tmp_path):
+    """A file a row by its name, whole, in bounded folders, however odd the name; Spark reads them back a folder at a time."""
+    rows = [("a", "x\n\n"), ("a", "again"), ("_b/ĉ", ""), (".c", "\ufeffĝ\r\n"), ("d%20", "two\nlines"), ("none", None), *((f"n{i}", f"t{i}") for i in range(20))]
+    sinks.text_files(spark.createDataFrame(rows, "source string, text string"), str(tmp_path / "t"), most=3)
+    assert len(rows) // 3 <= len(list((tmp_path / "t").iterdir())) and max(len(list(f.iterdir())) for f in (tmp_path / "t").iterdir()) == 3
+    names = {"_b/ĉ": "%5Fb%2F%C4%89", ".c": "%2Ec", "d%20": "d%2520"}
+    put = lambda n: names.get(n, n).replace("%", "%25")  # noqa: E731 (Spark names files as in a URI)
+    want = sorted((put(n) + ".txt", t if t.endswith("\n") else t + "\n") for n, t in rows if t is not None)
+    got = readers.folders_of_texts(spark, str(tmp_path / "t"), "back", lambda f: f)
+    assert sorted(map(tuple, got.collect())) == want
+    without = spark.createDataFrame([("a.txt",)], "source string")
+    assert readers.folders_of_texts(spark, str(tmp_path / "t"), "back", lambda f: f, without=without).count() == len(want) - 2
+    sinks.text_files(spark.createDataFrame([], "source string, text string"), str(tmp_path / "none"))
+    assert readers.folders_of_texts(spark, str(tmp_path / "none"), "back", lambda f: f).count() == 0
+
+
+@pytest.mark.parametrize("docs", [[], [(7, "x\n\n"), (7, "x\n\n"), (None, "x"), (8, None), (9, ""), (None, "x\n"), (10, "b\n\u2028")]])
+def test_text_file_scan_of_odd_documents(spark, tmp_path, docs):
+    """Ids that are null or come twice, missing texts, newlines at the end, no documents: as the SQL says."""
+    import duckdb
+
+    from lexloom.queries import files
+
+    at = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(at)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{at}/*.parquet'")
+    order = lambda found: sorted(map(tuple, found), key=str)
+    assert order(files.text_file_scan(spark, str(tmp_path)).collect()) == order(con.sql(files.ORACLE_SQL["text_file_scan"]).fetchall())
+
+
 def test_steps(spark):
     before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
     held = steps.saved(spark.range(10).repartition(3, "id"), "some")
