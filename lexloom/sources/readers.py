@@ -27,8 +27,11 @@ LEDGER = "lemma string, verdict string, gloss string, note string, reviewed_in a
 
 
 def text_files(spark: SparkSession, path: str, pattern: str = "*.txt", without: DataFrame | None = None) -> DataFrame:
-    """source (file name) and whole text; ``without`` (source) is left out."""
-    found = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True).select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text"))
+    """source (file name) and whole text; ``without`` (source) is left out, and Spark skips files without a byte. Names that end in .txt say that nothing is packed:
+    their bytes are taken as they are, since Spark's text reader copies the session's settings for every file."""
+    reader, source = spark.read.option("pathGlobFilter", pattern), F.col("_metadata.file_name").alias("source")
+    plain = pattern.endswith(".txt")
+    found = reader.format("binaryFile").load(path).select(source, F.col("content").cast("string").alias("text")) if plain else reader.text(path, wholetext=True).select(source, F.col("value").alias("text"))
     return found if without is None else found.join(without.select("source"), "source", "left_anti")
 
 

@@ -168,6 +168,19 @@ def test_text_files(spark, tmp_path):
     assert readers.folders_of_texts(spark, str(tmp_path / "none"), "back", lambda f: f).count() == 0
 
 
+def test_text_files_by_either_reader(spark, tmp_path):
+    """The bytes of plain files, whatever they are, and what packed ones hold."""
+    import gzip
+
+    held = {"a": b"x\r\n\n", "b": b"\xff\xfe\n", "c": b"\xef\xbb\xbf\xc4\x9d", "d": b"y" * 300_000}
+    for name, raw in held.items():
+        (tmp_path / f"{name}.txt").write_bytes(raw)
+        (tmp_path / f"{name}.txt.gz").write_bytes(gzip.compress(raw))
+    for pattern in ("*.txt", "*.t*t", "*.txt.gz"):
+        got = readers.text_files(spark, str(tmp_path), pattern).withColumn("text", F.col("text").cast("binary")).collect()
+        assert (pattern, {r["source"][0]: bytes(r["text"]) for r in got}) == (pattern, held) and len(got) == 4
+
+
 @pytest.mark.parametrize("docs", [[], [(7, "x\n\n"), (7, "x\n\n"), (None, "x"), (8, None), (9, ""), (None, "x\n"), (10, "b\n\u2028")]])
 def test_text_file_scan_of_odd_documents(spark, tmp_path, docs):
     """Ids that are null or come twice, missing texts, newlines at the end, no documents: as the SQL says."""
