@@ -358,8 +358,11 @@ def clash_counts(spark, d):
 
 def pending_lemmas(spark, d):
     """The hundred most frequent unreviewed records with their four commonest forms."""
-    forms = _tokens(spark, d).groupBy(T.citation_form(F.col("form")).alias("lemma"), "form").agg(F.count("*").alias("n"))
-    records = forms.groupBy("lemma").agg(F.sum("n").alias("count"), F.map_from_entries(F.collect_list(F.struct("form", "n"))).alias("forms")).select("lemma", "count", "forms", F.lit("unknown").alias("kind"), F.when(F.length("lemma") < 3, "lemma").alias("verdict"), F.array(F.struct(F.lit("s").alias("source"))).alias("citations"))
+    counts = _tokens(spark, d).groupBy("form").agg(F.count("*").alias("n"))
+    forms = counts.select(T.citation_form(F.col("form")).alias("lemma"), "form", "n")
+    # An aggregate: what depends on the lemma alone would be filtered, and the lemma made, token by token.
+    verdict = F.max(F.when(F.length("lemma") < 3, "lemma")).alias("verdict")
+    records = forms.groupBy("lemma").agg(F.sum("n").alias("count"), F.map_from_entries(F.collect_list(F.struct("form", "n"))).alias("forms"), verdict).select("lemma", "count", "forms", F.lit("unknown").alias("kind"), "verdict", F.array(F.struct(F.lit("s").alias("source"))).alias("citations"))
     return C.pending(records).select("lemma", "count", F.array_join("top_forms", ",").alias("top"))
 
 

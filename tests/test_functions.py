@@ -20,6 +20,22 @@ def test_citation_form(spark, form, lemma):
     assert one(spark, T.citation_form(F.col("w")), w=form) == lemma
 
 
+def test_citation_form_of_all_short_words(spark):
+    """Against the rules one after another, in plain Python."""
+    import itertools
+
+    def plain(raw):
+        low = raw.strip("'")
+        if raw.endswith("'"):
+            return raw[:-1] + "o"
+        rules = [("u", 3, 1, "i"), *((t, 3, 2, "i") for t in ("as", "is", "os", "us")), ("ojn", 4, 3, "o"), ("ajn", 4, 3, "a"), *((e, 3, 2, e[0]) for e in ("oj", "aj", "on", "an", "en")), *((e, 2, 1, "") for e in ("oj", "aj", "on", "an", "en", "un"))]
+        return next((low[:-cut] + put for end, longer, cut, put in rules if low.endswith(end) and len(low) > longer), low)
+
+    words = ["".join(x) for n in range(5) for x in itertools.product("aoeiujns'", repeat=n)] + ["ĉojn", "ĉĉojn", "ŭas", "𝒳on", "𝒳u", "𝒳𝒳u"]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", T.citation_form(F.col("w")).alias("x")).collect()
+    assert [r for r in rows if r["x"] != plain(r["w"])] == []
+
+
 @pytest.mark.parametrize("word, stem", [("vortojn", "vort"), ("estas", "est"), ("granda", "grand"), ("reĝino", "reĝin")])
 def test_strip_ending(spark, word, stem):
     assert one(spark, T.strip_ending(F.col("w")), w=word) == stem

@@ -221,6 +221,20 @@ def test_citations_without_lines_in_shuffles(spark):
     assert "line_text" not in window
 
 
+def test_pending_lemmas_by_the_form(spark, tmp_path):
+    """Lemmas are made once a form, not once a token; counts may lie further apart than 32 bits."""
+    from lexloom.queries import lexicon
+
+    spark.createDataFrame([(1, "s", "Katojn kato katon 'kato kato' la hundoj la"), (2, "s", None), (3, "s", "katon u ju")], "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = lexicon.pending_lemmas(spark, str(tmp_path))
+    assert [tuple(r) for r in found.collect()] == [("kato", 5, "katon,'kato,kato,katojn"), ("hundo", 1, "hundoj"), ("katoo", 1, "kato'")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    by_form, below = plan[plan.rindex("Aggregate [") :].split("\n", 1)
+    assert by_form.startswith("Aggregate [form#") and "CASE WHEN" not in below
+    rows = spark.sql("SELECT 'a' AS lemma, 'unknown' AS kind, 5000000001 AS count, map('b', 1L, 'a', 5000000000L) AS forms, '' AS verdict, array('s') AS citations")
+    assert C.pending(rows).first()["top_forms"] == ["a", "b"]
+
+
 def test_messages(spark):
     ms = spark.createDataFrame([("1",), ("1000000000000",), ("2000000000001",), ("800000000000",), ("x",)], "v string")
     assert [r["x"] for r in ms.select(T.epoch_like(F.col("v")).alias("x")).collect()] == [False, True, False, True, False]
